@@ -2,26 +2,24 @@
 
 from __future__ import annotations
 
-import heapq
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scholarmart.operators.ranking import top_k_per_group
-from scholarmart.session import materialize, shuffle_width
+from scholarmart.session import materialize
 
-QUERY_ROWS = 4096  # query vectors that travel in a closure; checked before they are collected
-BLOCK_ROWS = 4096  # index vectors in one block of a cell
+QUERY_ROWS = 4096  # query vectors that may travel with the tasks; checked before they do
+BLOCK_ROWS = 4096  # vectors of either side that meet in one task
 PIVOTS = 64
 
 
-def _matrix(vectors: pd.Series) -> np.ndarray:
+def _unit_rows(vectors: pd.Series) -> np.ndarray:
     m = np.asarray(vectors.tolist(), dtype=np.float64)
     if m.size == 0:
         return m.reshape(0, 0)
@@ -29,12 +27,14 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
     return m / np.where(length == 0, np.nan, length)
 
 
-def _arrow_matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    return _matrix(pd.Series(column.to_pylist()))
+def _best(sims: np.ndarray, threshold: float, k: int) -> np.ndarray:
+    """Positions of the ``k`` highest values at or above the threshold; earlier ones win ties."""
+    hits = np.flatnonzero(sims >= threshold)
+    return hits[np.argsort(-np.round(sims[hits], 9), kind="stable")][:k]
 
 
-class TooManyQueries(ValueError):
-    """The query side is larger than what may travel with the tasks."""
+def _angles(vectors: pd.Series, centre: np.ndarray) -> np.ndarray:
+    return np.nan_to_num(np.arccos(np.clip(_unit_rows(vectors) @ centre.T, -1.0, 1.0)), nan=9.0)
 
 
 def search_many(
@@ -45,39 +45,39 @@ def search_many(
     A query side of at most ``QUERY_ROWS`` vectors (checked) travels with the tasks
     and documents stay where they are; a larger one takes the cell join.
     """
-    head = queries.select(query_key, vector).limit(QUERY_ROWS + 1).collect()
+    head = queries.filter(F.col(vector).isNotNull()).select(query_key, vector).limit(QUERY_ROWS + 1).collect()
     if len(head) > QUERY_ROWS:
         return nearest(queries, docs, k, threshold, query_key, key, vector)
     names = [r[0] for r in head]
-    wanted = _matrix(pd.Series([r[1] for r in head]))
-    key_type, query_type = docs.schema[key].dataType, queries.schema[query_key].dataType
+    wanted = _unit_rows(pd.Series([r[1] for r in head], dtype=object))
     schema = T.StructType(
-        [T.StructField(query_key, query_type), T.StructField(key, key_type), T.StructField("similitud", T.DoubleType())]
+        [
+            T.StructField(query_key, queries.schema[query_key].dataType),
+            T.StructField(key, docs.schema[key].dataType),
+            T.StructField("similitud", T.DoubleType()),
+        ]
     )
 
-    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if pdf.empty or not names:
                 continue
-            sims = _matrix(pdf[vector]) @ wanted.T
-            ids = pdf[key].to_numpy()
-            order = np.argsort(ids, kind="stable")
-            ids, sims = ids[order], sims[order]
-            for q, name in enumerate(names):
-                col = sims[:, q]
-                hits = np.flatnonzero(col >= threshold)
-                top = hits[np.argsort(-np.round(col[hits], 9), kind="stable")][:k]
-                if len(top):
-                    yield pd.DataFrame({query_key: [name] * len(top), key: ids[top], "similitud": col[top]})
+            pdf = pdf.sort_values(key, kind="stable")
+            ids, sims = pdf[key].to_numpy(), _unit_rows(pdf[vector]) @ wanted.T
+            tops = [_best(sims[:, q], threshold, k) for q in range(len(names))]
+            rows = np.concatenate(tops)
+            which = np.repeat(np.arange(len(names)), [len(t) for t in tops])
+            yield pd.DataFrame({query_key: [names[q] for q in which], key: ids[rows], "similitud": sims[rows, which]})
 
-    part = docs.select(key, vector).filter(F.col(vector).isNotNull()).mapInPandas(best, schema)
-    return top_k_per_group(part, [query_key], k, [F.round("similitud", 9).desc(), F.col(key).asc()])
+    parts = docs.select(key, vector).filter(F.col(vector).isNotNull()).mapInPandas(search, schema)
+    return top_k_per_group(parts, [query_key], k, [F.round("similitud", 9).desc(), F.col(key).asc()])
 
 
-def _pivot_matrix(index: DataFrame, vector: str, pivots: int) -> np.ndarray:
-    """A fixed number of well-spread vectors: those with the smallest hash."""
-    rows = index.select(vector).orderBy(F.xxhash64(vector), vector).limit(pivots).collect()
-    return _matrix(pd.Series([r[0] for r in rows]))
+def _pieces(counts: dict[int, int]) -> tuple[dict[int, int], Column]:
+    """Pieces of at most ``BLOCK_ROWS`` rows per cell, and the column that looks the number up."""
+    pieces = {c: max(1, math.ceil(n / BLOCK_ROWS)) for c, n in counts.items()}
+    table = F.create_map(*[F.lit(x) for pair in pieces.items() for x in pair])
+    return pieces, table[F.col("_cell")]
 
 
 def nearest(
@@ -89,99 +89,83 @@ def nearest(
     key: str = "id",
     vector: str = "embedding",
     pivots: int = PIVOTS,
-    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """For every query vector the ``k`` index vectors with cosine of at least ``threshold``; exact.
+    """For every query vector the ``k`` index vectors with a cosine of at least ``threshold``; exact.
+
+    Cells: every index vector lives with its closest pivot. Angles are a metric, so a
+    query can only have hits in cells whose pivot is no farther than its closest pivot
+    plus twice the threshold angle, and no farther than the cell radius plus the
+    threshold angle. It visits these cells only; the higher the threshold, the fewer.
 
-    Cells: every index vector lives with its closest pivot. The angle is a metric,
-    so a query can only have a hit in a cell whose pivot is within its own smallest
-    pivot angle plus twice the threshold angle, and within the cell radius plus the
-    threshold angle; it is sent to these cells only. Cells above ``block_rows`` are
-    split into blocks, so a crowded cell is worked on by many tasks. A block yields
-    at most ``k`` rows per query.
+    Crowded cells: both sides of a cell are cut into pieces of ``BLOCK_ROWS`` rows and
+    each pair of pieces is a task of its own, which yields at most ``k`` rows per query.
 
-    Copies: equal vectors are searched once, and of each group of equal index
-    vectors only the ``k`` smallest keys can win a tie, so only these are kept.
+    Copies: equal query vectors are searched once, and of equal index vectors only
+    the ``k`` smallest keys can win the tie, so only these are kept.
     """
     index = index.filter(F.col(vector).isNotNull()).select(key, vector)
     asked = queries.filter(F.col(vector).isNotNull()).select(query_key, vector)
     copies = top_k_per_group(index, [vector], k, [F.col(key).asc()], "_copy").drop("_copy")
-    distinct = asked.select(vector).distinct()
-    centre = _pivot_matrix(copies, vector, pivots)
-    if centre.size == 0:
-        return queries.sparkSession.createDataFrame([], _neighbour_schema(asked.schema[query_key].dataType, index.schema[key].dataType, query_key, key))
-    reach = math.acos(min(1.0, max(-1.0, threshold)))
-    slack = 1e-6
-    kind = T.ArrayType(T.DoubleType())
-
-    def home(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            angle = np.arccos(np.clip(_matrix(pdf[vector]) @ centre.T, -1, 1))
-            cell = np.nanargmin(np.nan_to_num(angle, nan=9.0), axis=1)
-            yield pdf.assign(_cell=cell.astype("int32"), _angle=angle[np.arange(len(cell)), cell])
 
-    homed_schema = T.StructType([*copies.schema.fields, T.StructField("_cell", T.IntegerType()), T.StructField("_angle", T.DoubleType())])
-    homed = materialize(copies.mapInPandas(home, homed_schema))
-    cells = {r["_cell"]: (r["n"], r["radius"]) for r in homed.groupBy("_cell").agg(F.count("*").alias("n"), F.max("_angle").alias("radius")).collect()}
-    blocks = {c: max(1, math.ceil(n / block_rows)) for c, (n, _) in cells.items()}
-    radius = np.array([cells.get(c, (0, -9.0))[1] if c in cells else -9.0 for c in range(len(centre))])
+    # a fixed number of pivots: the vectors with the smallest hash
+    chosen = index.select(vector, F.xxhash64(vector).alias("_h")).distinct().orderBy("_h", vector).limit(pivots).collect()
+    centre = _unit_rows(pd.Series([r[0] for r in chosen], dtype=object))
+    reach, slack = math.acos(min(1.0, max(-1.0, threshold))), 1e-6
 
-    def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            if pdf.empty:
-                continue
-            angle = np.nan_to_num(np.arccos(np.clip(_matrix(pdf[vector]) @ centre.T, -1, 1)), nan=9.0)
-            near = (angle <= angle.min(axis=1, keepdims=True) + 2 * reach + slack) & (angle <= radius + reach + slack)
-            rows, cols = np.nonzero(near)
-            out_rows = np.concatenate([np.full(blocks[c], r) for r, c in zip(rows, cols)]) if len(rows) else np.array([], int)
-            if not len(out_rows):
-                continue
-            out_cell = np.concatenate([np.full(blocks[c], c) for c in cols])
-            out_block = np.concatenate([np.arange(blocks[c]) for c in cols])
-            yield pd.DataFrame(
-                {
-                    vector: pdf[vector].to_numpy()[out_rows],
-                    "_cell": out_cell.astype("int32"),
-                    "_block": out_block.astype("int32"),
-                    "_part": (pd.util.hash_array(out_rows) % 1).astype("int32"),
-                }
-            )
-
-    visit_schema = T.StructType(
-        [
-            T.StructField(vector, distinct.schema[vector].dataType),
-            T.StructField("_cell", T.IntegerType()),
-            T.StructField("_block", T.IntegerType()),
-            T.StructField("_part", T.IntegerType()),
-        ]
-    )
-    probes = distinct.mapInPandas(visit, visit_schema)
-    block_of = F.create_map(*[F.lit(x) for c, n in blocks.items() for x in (c, n)])
-    stored = homed.withColumn("_block", F.pmod(F.xxhash64(key), block_of[F.col("_cell")]).cast("int"))
-
-    hit_schema = T.StructType(
-        [T.StructField(vector, distinct.schema[vector].dataType), T.StructField(key, index.schema[key].dataType), T.StructField("similitud", T.DoubleType())]
-    )
+            if not pdf.empty:
+                angle = _angles(pdf[vector], centre)
+                cell = angle.argmin(axis=1)
+                yield pdf.assign(_cell=cell.astype("int32"), _angle=angle[np.arange(len(cell)), cell])
+
+    cell_fields = [T.StructField("_cell", T.IntegerType()), T.StructField("_angle", T.DoubleType())]
+    homes = materialize(copies.mapInPandas(settle, T.StructType([*copies.schema.fields, *cell_fields])))
+    stats = homes.groupBy("_cell").agg(F.count("*").alias("n"), F.max("_angle").alias("radius")).collect()  # one row per pivot
+    radius = np.full(max(len(chosen), 1), -9.0)
+    for row in stats:
+        radius[row["_cell"]] = row["radius"]
 
-    def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
+    def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if not pdf.empty:
+                angle = _angles(pdf[vector], centre)
+                near = (angle <= angle.min(axis=1, keepdims=True) + 2 * reach + slack) & (angle <= radius + reach + slack)
+                yield pdf.assign(_cells=[np.flatnonzero(row).astype("int32") for row in near])
+
+    probe_schema = T.StructType([asked.schema[vector], T.StructField("_cells", T.ArrayType(T.IntegerType()))])
+    hit_schema = T.StructType([asked.schema[vector], index.schema[key], T.StructField("similitud", T.DoubleType())])
+    if not stats:
+        empty = queries.sparkSession.createDataFrame([], hit_schema)
+        return asked.join(empty, vector).select(query_key, key, "similitud", F.lit(1).alias("posicion"))
+    probes = materialize(asked.select(vector).distinct().mapInPandas(visit, probe_schema))
+    visits = probes.select(vector, F.explode("_cells").alias("_cell"))
+    visited = {r["_cell"]: r["n"] for r in visits.groupBy("_cell").agg(F.count("*").alias("n")).collect()}  # one row per pivot
+
+    blocks, block_count = _pieces({r["_cell"]: r["n"] for r in stats})
+    parts, part_count = _pieces({c: visited.get(c, 0) for c in blocks})
+    every = lambda count: F.explode(F.sequence(F.lit(0), count - 1))
+    left = visits.withColumn("_part", F.pmod(F.xxhash64(vector), part_count).cast("int")).withColumn("_block", every(block_count))
+    right = homes.withColumn("_block", F.pmod(F.xxhash64(key), block_count).cast("int")).withColumn("_part", every(part_count))
+
+    def compare(wanted: pd.DataFrame, stored: pd.DataFrame) -> pd.DataFrame:
+        if wanted.empty or stored.empty:
             return pd.DataFrame({vector: [], key: [], "similitud": []})
-        right = right.sort_values(key, kind="stable")
-        ids, there = right[key].to_numpy(), _matrix(right[vector])
-        out_q, out_id, out_s = [], [], []
-        for start in range(0, len(left), 1024):
-            chunk = left[vector].iloc[start : start + 1024]
-            sims = _matrix(chunk) @ there.T
-            for i, q in enumerate(chunk):
-                hits = np.flatnonzero(sims[i] >= threshold)
-                top = hits[np.argsort(-np.round(sims[i][hits], 9), kind="stable")][:k]
-                out_q.extend([q] * len(top))
-                out_id.extend(ids[top])
-                out_s.extend(sims[i][top])
-        return pd.DataFrame({vector: out_q, key: out_id, "similitud": out_s})
-
-    hits = probes.groupBy("_cell", "_block").cogroup(stored.groupBy("_cell", "_block")).applyInPandas(compare, hit_schema)
+        stored = stored.sort_values(key, kind="stable")
+        ids, sims = stored[key].to_numpy(), _unit_rows(wanted[vector]) @ _unit_rows(stored[vector]).T
+        tops = [_best(row, threshold, k) for row in sims]
+        which = np.repeat(np.arange(len(wanted)), [len(t) for t in tops])
+        rows = np.concatenate(tops)
+        return pd.DataFrame({vector: wanted[vector].to_numpy()[which], key: ids[rows], "similitud": sims[which, rows]})
+
+    meet = ["_cell", "_block", "_part"]
+    hits = left.groupBy(*meet).cogroup(right.groupBy(*meet)).applyInPandas(compare, hit_schema)
     best = top_k_per_group(hits, [vector], k, [F.round("similitud", 9).desc(), F.col(key).asc()])
     return asked.join(best, vector).select(query_key, key, "similitud", "posicion")
+
+
+def related(docs: DataFrame, k: int, min_similarity: float, key: str = "id", vector: str = "embedding") -> DataFrame:
+    """The ``k`` documents most similar to each document, itself left out; exact above ``min_similarity``."""
+    found = nearest(docs.select(F.col(key).alias("_of"), vector), docs, k + 1, min_similarity, "_of", key, vector)
+    others = found.filter(F.col("_of") != F.col(key)).select(F.col("_of").alias(key), F.col(key).alias("relacionado"), "similitud")
+    return top_k_per_group(others, [key], k, [F.round("similitud", 9).desc(), F.col("relacionado").asc()])
