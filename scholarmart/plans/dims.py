@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from calendar import monthrange
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,10 +33,9 @@ def calendar_until(spark: SparkSession, as_of: dt.date, start: dt.date = CALENDA
 
 
 def add_month(day: dt.date) -> dt.date:
-    first_after = (day.replace(day=1) + dt.timedelta(days=62)).replace(day=1)
-    return min(day.replace(day=1) + dt.timedelta(days=31 + day.day - 1), first_after - dt.timedelta(days=1)) if day.day > 28 else (
-        (day.replace(day=28) + dt.timedelta(days=4)).replace(day=day.day)
-    )
+    """The same day of the next month, or its last day."""
+    year, month = day.year + day.month // 12, day.month % 12 + 1
+    return dt.date(year, month, min(day.day, monthrange(year, month)[1]))
 
 
 def document_dim(docs: DataFrame) -> DataFrame:
