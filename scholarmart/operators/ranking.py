@@ -80,6 +80,11 @@ def top_k_per_group(df: DataFrame, keys: Sequence[str], k: int, order: Sequence[
     return df.withColumn(name, F.row_number().over(w)).filter(F.col(name) <= k)
 
 
+def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "posicion") -> DataFrame:
+    """Position of every row inside its group."""
+    return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+
+
 def page(df: DataFrame, number: int, size: int, order: Sequence[Column]) -> DataFrame:
     """Rows of one result page, counted from one."""
     top = numbered_top_k(df, number * size, order, "posicion")

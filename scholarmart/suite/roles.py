@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from scholarmart.contracts import INT, LONG, TEXT, TS
 from scholarmart.functions.text import STOP_WORDS, search_tokens, sentences
 from scholarmart.operators.joins import flatten_subjects, flatten_users
-from scholarmart.operators.ranking import top_k_per_group
+from scholarmart.operators.ranking import rank_within, top_k_per_group
 from scholarmart.operators.suggest import popularity
 from scholarmart.plans.dims import calendar, document_dim, interaction_types, type_dim
 from scholarmart.plans.facts import author_fact, document_fact
@@ -187,8 +187,7 @@ class Roles:
     def documento_autor(self) -> DataFrame:
         pairs = self.table("lineitem").groupBy("l_orderkey", "l_suppkey").agg(F.min("l_linenumber").alias("_line"))
         named = pairs.select(F.col("l_orderkey").alias("id_documento"), (F.col("l_suppkey") + 1).alias("id_usuario"), "_line")
-        # signing order of one document; a document has few authors
-        ordered = top_k_per_group(named, ["id_documento"], 32767, [F.col("_line").asc(), F.col("id_usuario").asc()], "orden")
+        ordered = rank_within(named, ["id_documento"], [F.col("_line").asc(), F.col("id_usuario").asc()], "orden")
         return ordered.select("id_documento", "id_usuario", "orden")
 
     @cached_property
