@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from scholarmart.contracts import EMAIL_PATTERN, EPOCH, TEXT, WAREHOUSE_TABLES, Contract, struct
+from scholarmart.contracts import EMAIL_PATTERN, EPOCH, INT, LONG, WAREHOUSE_TABLES, Contract, struct
 from scholarmart.functions.text import html_text
 from scholarmart.operators.aggregates import regroup
 from scholarmart.operators.joins import counts_row
@@ -198,7 +198,7 @@ def s_14_title(r):
 
 @query("s_15", "SELECT id_tipo, count(*) AS documentos FROM (SELECT id_tipo FROM dim_documento UNION ALL SELECT id_tipo FROM dim_documento) GROUP BY id_tipo")
 def s_15(r):
-    root, contract = scratch_path(r.spark, "append"), Contract("docs", struct(("id_documento", TEXT), ("id_tipo", TEXT)), ("id_documento",))
+    root, contract = scratch_path(r.spark, "append"), Contract("docs", struct(("id_documento", LONG), ("id_tipo", INT)), ("id_documento",))
     rows = r.dim_documento.select("id_documento", "id_tipo")
     tables.append(rows, root, contract)
     tables.append(rows, root, contract)
