@@ -1 +1,148 @@
-"""To come."""
+"""Mining (M), the distribution of segments (A-15) and the function surface (UDF)."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from scholarmart.functions.scalar import round_half_up
+from scholarmart.operators import mining
+from scholarmart.suite.registry import query, rnd
+
+START, END = dt.date(1996, 1, 1), dt.date(2000, 12, 31)
+
+
+def segments_sql(school: str = "", start: dt.date = START, end: dt.date = END) -> str:
+    return f"""
+    SELECT id_usuario, autor, nombre_escuela, n_publicaciones, impacto,
+           CASE WHEN q_vol = 2 AND q_imp = 2 THEN 'Referente' WHEN q_vol = 2 THEN 'Prolifico sin alcance'
+                WHEN q_imp = 2 THEN 'Joya oculta' ELSE 'Periferico' END AS segmento
+    FROM (SELECT *, ntile(2) OVER (ORDER BY n_publicaciones, id_usuario) AS q_vol, ntile(2) OVER (ORDER BY impacto, id_usuario) AS q_imp FROM (
+      SELECT u.id_usuario, u.nombre AS autor, u.nombre_escuela,
+             coalesce(sum(f.cant_interacciones) FILTER (WHERE ti.nombre = 'publicacion'), 0)::BIGINT AS n_publicaciones,
+             coalesce(sum(f.cant_interacciones) FILTER (WHERE ti.nombre IN ('visualizacion', 'favorito_agregar')), 0)::BIGINT AS impacto
+      FROM dim_usuario u JOIN fact_interaccion_autor f ON f.id_usuario = u.id_usuario
+      JOIN dim_tipo_interaccion ti ON ti.id_tipo_interaccion = f.id_tipo_interaccion
+      WHERE f.fecha BETWEEN DATE '{start}' AND DATE '{end}' {school} GROUP BY ALL))"""
+
+
+def segments(r, school=None):
+    return mining.segment_authors(r.fact_interaccion_autor, r.dim_usuario, r.dim_tipo_interaccion, START, END, school)
+
+
+@query("m_1", segments_sql())
+def m_1(r):
+    return segments(r)
+
+
+@query("m_1_school", segments_sql("AND u.nombre_escuela = 'EUROPE'"))
+def m_1_school(r):
+    return segments(r, "EUROPE")
+
+
+@query("a_15", f"SELECT segmento, count(*) AS autores FROM ({segments_sql()}) GROUP BY segmento")
+def a_15(r):
+    return mining.segment_sizes(segments(r))
+
+
+def forecast_sql(fact: str, horizon: int = 3, docs: str = "part_doc") -> str:
+    return f"""
+    SELECT s.id_documento, d.titulo, n AS meses_con_datos, {rnd('slope', 3)} AS pendiente_mensual, {rnd('r2', 3)} AS r2, {rnd('prom', 2)} AS prom_mensual,
+           {rnd(f'intercept + slope * (m_max + {horizon})', 2)} AS proyeccion,
+           CASE WHEN slope > 0.5::DOUBLE THEN 'creciente' WHEN slope < -0.5::DOUBLE THEN 'decreciente' ELSE 'estable' END AS tendencia
+    FROM (SELECT id_documento, count(*) AS n, CASE WHEN count(*) >= 2 THEN regr_slope(total, m) END AS slope,
+                 CASE WHEN count(*) >= 2 THEN regr_intercept(total, m) END AS intercept, CASE WHEN count(*) >= 2 THEN regr_r2(total, m) END AS r2,
+                 max(m) AS m_max, avg(total) AS prom
+          FROM (SELECT id_documento, i - min(i) OVER (PARTITION BY id_documento) AS m, total FROM (
+                  SELECT id_documento, year(fecha) * 12 + month(fecha) AS i, sum(cant_interacciones)::BIGINT AS total
+                  FROM {fact} WHERE id_tipo_interaccion = 2 GROUP BY ALL)) GROUP BY id_documento) s
+    LEFT JOIN {docs} d ON s.id_documento = d.id_documento"""
+
+
+@query("m_2", forecast_sql("part_fact"))
+def m_2(r):
+    return mining.forecast(r.part_fact, r.part_doc, r.dim_tipo_interaccion)
+
+
+@query("m_2_documents", forecast_sql("fact_interaccion_documento", 6, "dim_documento"))
+def m_2_documents(r):
+    return mining.forecast(r.fact_interaccion_documento, r.dim_documento, r.dim_tipo_interaccion, horizon=6)
+
+
+@query(
+    "m_3",
+    f"""SELECT * FROM ({forecast_sql('part_fact')}) WHERE id_documento IN (1, 2, 3)
+        UNION ALL SELECT -1, NULL, 0, NULL, NULL, NULL, NULL, 'estable'""",
+)
+def m_3(r):
+    return mining.forecast(r.part_fact, r.part_doc, r.dim_tipo_interaccion, ids=[1, 2, 3, -1])
+
+
+@query("m_4", f"SELECT * FROM ({segments_sql(chr(65) + 'ND u.nombre_escuela = ' + chr(39) + 'ASIA' + chr(39))}) WHERE segmento = 'Referente' ORDER BY impacto DESC, n_publicaciones DESC, id_usuario LIMIT 5")
+def m_4(r):
+    return mining.referents(segments(r, "ASIA"), 5)
+
+
+LEADERS = "SELECT id_usuario, sum(cant_interacciones)::BIGINT AS total FROM fact_interaccion_autor WHERE id_tipo_interaccion IN ({}) GROUP BY ALL ORDER BY total DESC, id_usuario LIMIT 10"
+
+
+@query("m_5", LEADERS.format("1"))
+def m_5(r):
+    return mining.productive_authors(r.fact_interaccion_autor, 10)
+
+
+@query("m_5_impact", LEADERS.format("2, 3"))
+def m_5_impact(r):
+    return mining.influential_authors(r.fact_interaccion_autor, 10)
+
+
+@query(
+    "m_6",
+    f"""WITH a AS (SELECT id_usuario, coalesce(sum(cant_interacciones) FILTER (WHERE id_tipo_interaccion = 1), 0)::BIGINT AS n_publicaciones,
+          coalesce(sum(cant_interacciones) FILTER (WHERE id_tipo_interaccion IN (2, 3)), 0)::BIGINT AS impacto FROM fact_interaccion_autor GROUP BY ALL)
+        SELECT id_usuario, n_publicaciones, impacto, {rnd('impacto / CAST(n_publicaciones AS DOUBLE)', 6)} AS impacto_por_publicacion FROM a
+        WHERE n_publicaciones BETWEEN 1 AND 600 AND impacto >= (SELECT quantile_disc(impacto, 0.5) FROM a)""",
+)
+def m_6(r):
+    rows = mining.one_hit_authors(r.fact_interaccion_autor, 0.5, 600)
+    return rows.withColumn("impacto_por_publicacion", round_half_up("impacto_por_publicacion", 6))
+
+
+@query(
+    "m_7",
+    """WITH c AS (SELECT user_id AS id_usuario, count(*) AS n FROM events WHERE event_type IN ('view', 'purchase') GROUP BY ALL),
+            p AS (SELECT id_usuario, count(*) AS n FROM documento_autor GROUP BY ALL)
+       SELECT coalesce(c.id_usuario, p.id_usuario) AS id_usuario, coalesce(c.n, 0) AS consumo, coalesce(p.n, 0) AS produccion,
+              CASE WHEN c.n > 0 AND p.n > 0 THEN 'mixto' WHEN p.n > 0 THEN 'productor' ELSE 'consumidor' END AS perfil
+       FROM c FULL JOIN p ON c.id_usuario = p.id_usuario""",
+)
+def m_7(r):
+    used = r.table("events").filter(F.col("event_type").isin("view", "purchase")).groupBy(F.col("user_id").alias("id_usuario")).agg(F.count("*").alias("n"))
+    made = r.bridge.groupBy("id_usuario").agg(F.count("*").alias("n"))
+    return mining.user_roles(used, made)
+
+
+@query("m_8", "SELECT user_id, count(*) AS eventos FROM events WHERE event_type IN ('view', 'purchase') GROUP BY ALL ORDER BY eventos DESC, user_id LIMIT 10")
+def m_8(r):
+    return mining.active_consumers(r.table("events").filter(F.col("event_type").isin("view", "purchase")), 10, "user_id")
+
+
+@query("udf_2", f"SELECT segmento, nombre_escuela, count(*) AS autores, sum(impacto)::BIGINT AS impacto FROM ({segments_sql()}) GROUP BY ALL")
+def udf_2(r):
+    segments(r).createOrReplaceTempView("segmentar_autores")
+    return r.spark.sql("SELECT segmento, nombre_escuela, count(*) AS autores, sum(impacto) AS impacto FROM segmentar_autores GROUP BY segmento, nombre_escuela")
+
+
+@query(
+    "udf_3",
+    """SELECT id_documento, visibilidad, CASE WHEN visibilidad <> v THEN 1 ELSE 0 END AS toques FROM
+       (SELECT id_documento, CASE WHEN id_tipo = 3 THEN 'publico' ELSE visibilidad END AS visibilidad, visibilidad AS v FROM dim_documento)""",
+)
+def udf_3(r):
+    from scholarmart.operators.writes import update_where
+
+    rows = r.dim_documento.select("id_documento", "id_tipo", "visibilidad", F.lit(0).alias("toques"))
+    return update_where(rows, F.col("id_tipo") == 3, {"visibilidad": F.lit("publico")}, touch=("toques", F.lit(1))).drop("id_tipo")
+
+
