@@ -101,11 +101,15 @@ def nearest(
     each pair of pieces is a task of its own, which yields at most ``k`` rows per query.
 
     Copies: equal query vectors are searched once, and of equal index vectors only
-    the ``k`` smallest keys can win the tie, so only these are kept.
+    as many of the smallest keys as a query wants can win the tie; only these are kept.
+
+    A query may want more than ``k`` hits by a column ``want``.
     """
     index = index.filter(F.col(vector).isNotNull()).select(key, vector)
-    asked = queries.filter(F.col(vector).isNotNull()).select(query_key, vector)
-    copies = top_k_per_group(index, [vector], k, [F.col(key).asc()], "_copy").drop("_copy")
+    want = F.greatest(F.col("want"), F.lit(k)) if "want" in queries.columns else F.lit(k)
+    asked = queries.filter(F.col(vector).isNotNull()).select(query_key, vector, want.cast("int").alias("_want"))
+    most = asked.agg(F.max("_want")).first()[0] or k
+    copies = top_k_per_group(index, [vector], most, [F.col(key).asc()], "_copy").drop("_copy")
 
     # a fixed number of pivots: the vectors with the smallest hash
     chosen = index.select(vector, F.xxhash64(vector).alias("_h")).distinct().orderBy("_h", vector).limit(pivots).collect()
@@ -133,13 +137,14 @@ def nearest(
                 near = (angle <= angle.min(axis=1, keepdims=True) + 2 * reach + slack) & (angle <= radius + reach + slack)
                 yield pdf.assign(_cells=[np.flatnonzero(row).astype("int32") for row in near])
 
-    probe_schema = T.StructType([asked.schema[vector], T.StructField("_cells", T.ArrayType(T.IntegerType()))])
-    hit_schema = T.StructType([asked.schema[vector], index.schema[key], T.StructField("similitud", T.DoubleType())])
+    distinct = asked.groupBy(vector).agg(F.max("_want").alias("_want"))
+    probe_schema = T.StructType([*distinct.schema.fields, T.StructField("_cells", T.ArrayType(T.IntegerType()))])
+    hit_schema = T.StructType([*distinct.schema.fields, index.schema[key], T.StructField("similitud", T.DoubleType())])
     if not stats:
         empty = queries.sparkSession.createDataFrame([], hit_schema)
-        return asked.join(empty, vector).select(query_key, key, "similitud", F.lit(1).alias("posicion"))
-    probes = materialize(asked.select(vector).distinct().mapInPandas(visit, probe_schema))
-    visits = probes.select(vector, F.explode("_cells").alias("_cell"))
+        return asked.drop("_want").join(empty, vector).select(query_key, key, "similitud", F.lit(1).alias("posicion"))
+    probes = materialize(distinct.mapInPandas(visit, probe_schema))
+    visits = probes.select(vector, "_want", F.explode("_cells").alias("_cell"))
     visited = {r["_cell"]: r["n"] for r in visits.groupBy("_cell").agg(F.count("*").alias("n")).collect()}  # one row per pivot
 
     blocks, block_count = _pieces({r["_cell"]: r["n"] for r in stats})
@@ -150,18 +155,20 @@ def nearest(
 
     def compare(wanted: pd.DataFrame, stored: pd.DataFrame) -> pd.DataFrame:
         if wanted.empty or stored.empty:
-            return pd.DataFrame({vector: [], key: [], "similitud": []})
+            return pd.DataFrame({vector: [], "_want": [], key: [], "similitud": []})
         stored = stored.sort_values(key, kind="stable")
         ids, sims = stored[key].to_numpy(), _unit_rows(wanted[vector]) @ _unit_rows(stored[vector]).T
-        tops = [_best(row, threshold, k) for row in sims]
+        limits = wanted["_want"].to_numpy()
+        tops = [_best(row, threshold, n) for row, n in zip(sims, limits)]
         which = np.repeat(np.arange(len(wanted)), [len(t) for t in tops])
         rows = np.concatenate(tops)
-        return pd.DataFrame({vector: wanted[vector].to_numpy()[which], key: ids[rows], "similitud": sims[which, rows]})
+        found = {vector: wanted[vector].to_numpy()[which], "_want": limits[which], key: ids[rows], "similitud": sims[which, rows]}
+        return pd.DataFrame(found)
 
     meet = ["_cell", "_block", "_part"]
     hits = left.groupBy(*meet).cogroup(right.groupBy(*meet)).applyInPandas(compare, hit_schema)
-    best = top_k_per_group(hits, [vector], k, [F.round("similitud", 9).desc(), F.col(key).asc()])
-    return asked.join(best, vector).select(query_key, key, "similitud", "posicion")
+    best = top_k_per_group(hits, [vector], most, [F.round("similitud", 9).desc(), F.col(key).asc()]).drop("_want")
+    return asked.join(best, vector).filter(F.col("posicion") <= F.col("_want")).select(query_key, key, "similitud", "posicion")
 
 
 def related(docs: DataFrame, k: int, min_similarity: float, key: str = "id", vector: str = "embedding") -> DataFrame:
@@ -169,3 +176,16 @@ def related(docs: DataFrame, k: int, min_similarity: float, key: str = "id", vec
     found = nearest(docs.select(F.col(key).alias("_of"), vector), docs, k + 1, min_similarity, "_of", key, vector)
     others = found.filter(F.col("_of") != F.col(key)).select(F.col("_of").alias(key), F.col(key).alias("relacionado"), "similitud")
     return top_k_per_group(others, [key], k, [F.round("similitud", 9).desc(), F.col("relacionado").asc()])
+
+
+def recommend(profiles: DataFrame, seen: DataFrame, docs: DataFrame, k: int, min_similarity: float, user: str = "id_usuario", key: str = "id") -> DataFrame:
+    """The ``k`` documents closest to each profile vector that its user has not seen.
+
+    A user is given as many hits more as documents were seen, so that ``k`` remain;
+    a user who saw a lot makes only the own list longer.
+    """
+    viewed = seen.select(user, key).distinct()
+    sized = profiles.join(viewed.groupBy(user).agg((F.count("*") + k).alias("want")), user, "left").na.fill(k, ["want"])
+    found = nearest(sized, docs, k, min_similarity, user, key).drop("posicion")
+    fresh = found.join(viewed, [user, key], "left_anti")
+    return top_k_per_group(fresh, [user], k, [F.round("similitud", 9).desc(), F.col(key).asc()])

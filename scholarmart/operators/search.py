@@ -30,7 +30,11 @@ def semantic_search(docs: DataFrame, query: Sequence[float], k: int, threshold:
 
 def term_counts(docs: DataFrame, terms: Sequence[str], tokens: str = "tokens", key: str = "id") -> DataFrame:
     """Length and query-term frequencies of every document; a narrow frame, no shuffle."""
-    found = [F.size(F.filter(tokens, lambda w, t=t: w == t)).alias(f"tf_{i}") for i, t in enumerate(terms)]
+
+    def frequency(term: str) -> Column:
+        return F.size(F.filter(tokens, lambda w: w == term))
+
+    found = [frequency(t).alias(f"tf_{i}") for i, t in enumerate(terms)]
     return docs.select(key, F.size(tokens).alias("dl"), *found)
 
 
@@ -121,10 +125,6 @@ def profile_vectors(seen: DataFrame, vectors: DataFrame, user: str = "id_usuario
     return pairs.groupBy(user).agg(mean.alias("_m")).select(user, vector_to_array("_m").cast("array<float>").alias("embedding"))
 
 
-def unseen(candidates: DataFrame, seen: DataFrame, user: str = "id_usuario", key: str = "id_documento") -> DataFrame:
-    return candidates.join(seen.select(user, key), [user, key], "left_anti")
-
-
 def result_rows(docs: DataFrame, term: str, text: str = "texto", key: str = "id", abstract_size: int = 200) -> DataFrame:
     """Shortened abstract and the piece of text around the match."""
     return docs.select(

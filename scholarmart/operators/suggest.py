@@ -56,8 +56,9 @@ def fuzzy_matches(dictionary: DataFrame, typed: DataFrame) -> DataFrame:
     asked = typed.select("prefix").distinct()
     sizes = asked.select(F.explode(F.array(*[F.char_length("prefix") + d for d in (-1, 0, 1)])).alias("size")).filter("size > 0")
     lengths = sizes.agg(F.sort_array(F.collect_set("size")).alias("sizes"))  # a set of small numbers
-    cut = F.transform(lengths.scalar(), lambda n: F.substring("query_texto", F.lit(1), n))
-    heads = dictionary.select("query_texto", "score", F.explode(F.array_distinct(cut)).alias("_head"))
+    sized = dictionary.select("query_texto", "score", lengths.scalar().alias("_sizes"))
+    cut = F.transform("_sizes", lambda n: F.substring("query_texto", F.lit(1), n))
+    heads = sized.select("query_texto", "score", F.explode(F.array_distinct(cut)).alias("_head"))
     entry_keys = heads.select("*", F.explode(deletion_keys("_head")).alias("_key"))
     typed_keys = asked.select("prefix", F.explode(deletion_keys("prefix")).alias("_key"))
     pairs = typed_keys.join(entry_keys, "_key").filter(F.levenshtein("prefix", "_head", 1) >= 0)

@@ -62,7 +62,8 @@ def with_sentinel(dim_users: DataFrame, sentinel: tuple = SENTINEL) -> DataFrame
 
 
 def load_dims(
-    src: dict[str, DataFrame], dwh: dict[str, DataFrame], as_of: dt.date, changed_since: dt.datetime | None = None
+    src: dict[str, DataFrame], dwh: dict[str, DataFrame], as_of: dt.date, changed_since: dt.datetime | None = None,
+    calendar_start: dt.date = CALENDAR_START,
 ) -> dict[str, DataFrame]:
     """New content of every dimension: full upsert of the sources over what is stored.
 
@@ -82,7 +83,7 @@ def load_dims(
     users_delta = conform(flatten_users(recent(src["usuario"]), src["carrera"], src["escuela"]), WAREHOUSE_TABLES["dim_usuario"])
     return {
         "dim_tipo_interaccion": put("dim_tipo_interaccion", interaction_types(spark)),
-        "dim_tiempo": insert_ignore(dwh["dim_tiempo"], calendar_until(spark, as_of), ["fecha"]),
+        "dim_tiempo": insert_ignore(dwh["dim_tiempo"], calendar_until(spark, as_of, calendar_start), ["fecha"]),
         "dim_materia": put("dim_materia", flatten_subjects(src["materia"], src["carrera"], src["escuela"])),
         "dim_tipo_documento": put("dim_tipo_documento", type_dim(src["tipo_documento"])),
         "dim_usuario": conform(upsert(users, users_delta, ["id_usuario"]), WAREHOUSE_TABLES["dim_usuario"]),

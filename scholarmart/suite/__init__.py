@@ -12,7 +12,6 @@ def load() -> None:
         columns,
         dashboards,
         joins,
-        loads,
         mining,
         pipelines,
         quality,
