@@ -106,7 +106,9 @@ def h_8(r):
 
 
 def near_sql(text: str, typed: str) -> str:
-    return " OR ".join(f"levenshtein(substr({text}, 1, length({typed}) + {d}), {typed}) <= 1" for d in (-1, 0, 1))
+    """DuckDB measures bytes, so every accented letter is stood in for by one capital; texts are in lower case."""
+    plain = lambda e: f"translate({e}, 'áàâäãéèêëíìîïóòôöõúùûüñçß', 'ABCDEFGHIJKLMNOPQRSTUVWXY')"
+    return " OR ".join(f"levenshtein({plain(f'substr({text}, 1, length({typed}) + {d})')}, {plain(typed)}) <= 1" for d in (-1, 0, 1))
 
 
 @query("h_9", f"SELECT query_texto, score FROM popularidad WHERE {near_sql('query_texto', chr(39) + 'qeu' + chr(39))} ORDER BY score DESC, query_texto LIMIT 8")
