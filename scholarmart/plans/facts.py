@@ -19,11 +19,6 @@ def document_deltas(views: DataFrame, favourites: DataFrame, docs: DataFrame) ->
     }
 
 
-def author_deltas(by_document: dict[str, DataFrame], bridge: DataFrame) -> dict[str, DataFrame]:
-    """The same counts credited to the authors."""
-    return {name: credit_authors(delta, bridge) for name, delta in by_document.items()}
-
-
 def union_all(frames) -> DataFrame:
     frames = list(frames)
     out = frames[0]
