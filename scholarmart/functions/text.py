@@ -22,18 +22,22 @@ def fold(text: ColumnLike) -> Column:
     return F.translate(F.lower(F.coalesce(_c(text), F.lit(""))), ACCENTED, PLAIN)
 
 
+# a plural ending of a word of five letters or more
+PLURAL = r"([\p{L}\p{N}]{3})es(?![\p{L}\p{N}])|([\p{L}\p{N}]{4})s(?![\p{L}\p{N}])"
+
+
 def search_tokens(*texts: ColumnLike, stop_words: Sequence[str] = STOP_WORDS, stem: bool = True) -> Column:
     """Normalised search tokens of several texts, in order and with repetitions.
 
-    Folded words of letters and digits, without stop words. ``stem`` drops a plural
-    ending from words longer than four letters, a light rule in place of a full stemmer.
+    Folded words of letters and digits without plural endings and stop words. The
+    endings are cut by one expression over the whole text, a light rule in place of
+    a full stemmer; only the stop words are tested word by word.
     """
     joined = F.concat_ws(" ", *[fold(t) for t in texts])
+    if stem:
+        joined = F.regexp_replace(joined, PLURAL, "$1$2")
     tokens = F.split(joined, r"[^\p{L}\p{N}]+")
-    kept = F.filter(tokens, lambda w: (w != "") & ~w.isin(*stop_words)) if stop_words else F.filter(tokens, lambda w: w != "")
-    if not stem:
-        return kept
-    return F.transform(kept, lambda w: F.when(F.length(w) > 4, F.regexp_replace(w, "(es|s)$", "")).otherwise(w))
+    return F.filter(tokens, lambda w: ~w.isin("", *stop_words))
 
 
 def query_prefixes(text: ColumnLike, stop_words: Sequence[str] = STOP_WORDS) -> Column:

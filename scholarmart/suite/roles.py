@@ -62,10 +62,10 @@ def prefixes_sql(source: str) -> str:
 
 def tokens_sql(text: str) -> str:
     """SQL of the normalised search tokens of a text expression."""
-    return f"""list_transform(list_filter(string_split_regex(
+    return f"""list_filter(list_transform(string_split_regex(
         translate(lower(coalesce({text}, '')), 'áàâäãéèêëíìîïóòôöõúùûüñç', 'aaaaaeeeeiiiiooooouuuunc'), '[^\\p{{L}}\\p{{N}}]+'),
-        lambda w: w <> '' AND NOT list_contains({STOP_SQL}, w)),
-        lambda w: CASE WHEN length(w) > 4 THEN regexp_replace(w, '(es|s)$', '') ELSE w END)"""
+        lambda w: CASE WHEN length(w) > 4 THEN regexp_replace(w, '(es|s)$', '') ELSE w END),
+        lambda w: w <> '' AND NOT list_contains({STOP_SQL}, w))"""
 
 
 ROLE_SQL = {
