@@ -46,17 +46,18 @@ def query_prefixes(text: ColumnLike, stop_words: Sequence[str] = STOP_WORDS) ->
     Prefixes of two or more words that do not end in a stop word; a single word
     gives itself; if every prefix ends in a stop word the whole query is given.
     """
-    w = words(text)
-    lengths = F.filter(F.sequence(F.lit(2), F.greatest(F.size(w), F.lit(2))), lambda i: i <= F.size(w))
-    ends = F.filter(lengths, lambda i: ~F.element_at(w, i).isin(*stop_words))
-    prefixes = F.transform(ends, lambda i: F.array_join(F.slice(w, F.lit(1), i), " "))
-    whole = F.array(F.array_join(w, " "))
-    return (
-        F.when(F.size(w) == 0, F.array().cast("array<string>"))
-        .when(F.size(w) == 1, w)
-        .when(F.size(ends) == 0, whole)
-        .otherwise(F.array_distinct(prefixes))
-    )
+
+    def expand(w: Column) -> Column:
+        ends = F.filter(F.sequence(F.lit(1), F.greatest(F.size(w), F.lit(1))), lambda i: (i >= 2) & ~F.get(w, i - 1).isin(*stop_words))
+        prefixes = F.transform(ends, lambda i: F.array_join(F.slice(w, F.lit(1), i), " "))
+        return (
+            F.when(F.size(w) <= 1, w)
+            .when(F.size(ends) == 0, F.array(F.array_join(w, " ")))
+            .otherwise(F.array_distinct(prefixes))
+        )
+
+    # the words are bound to a variable; as a plain expression they would be split again for every prefix
+    return F.element_at(F.transform(F.array(words(text)), expand), 1)
 
 
 def sentences(text: ColumnLike) -> Column:

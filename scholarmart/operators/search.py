@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -10,13 +11,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scholarmart.functions.text import snippet, truncated
-from scholarmart.functions.vectors import cosine, literal_vector
+from scholarmart.functions.vectors import dot, literal_vector, norm
 from scholarmart.operators.ranking import numbered_top_k, top_k, top_k_per_group
 from scholarmart.session import materialize
 
 
 def scored(docs: DataFrame, query: Sequence[float], vector: str = "embedding") -> DataFrame:
-    return docs.withColumn("similitud", cosine(vector, literal_vector(query)))
+    """Add the cosine similarity to a query; its length is taken out once, not per row."""
+    length = math.sqrt(sum(v * v for v in query))
+    unit = [v / length for v in query]
+    return docs.withColumn("similitud", F.try_divide(dot(vector, literal_vector(unit)), norm(vector)))
 
 
 def semantic_search(docs: DataFrame, query: Sequence[float], k: int, threshold: float, key: str = "id") -> DataFrame:
@@ -61,15 +65,16 @@ def lexical_search(
 
 def postings(docs: DataFrame, tokens: str = "tokens", key: str = "id") -> DataFrame:
     """Term frequencies per document, combined in every task before the shuffle."""
-    return (
-        docs.select(key, F.explode(tokens).alias("termino")).groupBy(key, "termino").agg(F.count("*").alias("tf"))
-    )
+    # a plain explode would tokenise twice: once in a filter for empty arrays that is inferred from it
+    words = docs.select(key, F.explode_outer(tokens).alias("termino")).filter(F.col("termino").isNotNull())
+    return words.groupBy(key, "termino").agg(F.count("*").alias("tf"))
 
 
 def keywords(docs: DataFrame, n: int, tokens: str = "tokens", key: str = "id") -> DataFrame:
     """The ``n`` terms of highest tf-idf of every document."""
     tf = postings(docs, tokens, key)
-    df = tf.groupBy("termino").agg(F.count("*").alias("df"))
+    # the frequency takes part in the sum, so both branches have the same shuffle and Spark runs it once
+    df = tf.groupBy("termino").agg(F.sum((F.col("tf") > 0).cast("long")).alias("df"))
     total = docs.agg(F.count("*").alias("n")).scalar()
     weight = F.col("tf") * F.log((total + 1) / (F.col("df") + 1))
     weighed = tf.join(df, "termino").select(key, "termino", weight.alias("peso"))

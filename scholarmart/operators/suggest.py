@@ -13,7 +13,9 @@ from scholarmart.operators.writes import purge, upsert_add
 
 def expand_prefixes(queries: DataFrame, text: str = "text", score: str = "score") -> DataFrame:
     """One row per suggested sub-query of every query."""
-    return queries.select(F.explode(query_prefixes(text)).alias("query_texto"), F.col(score).alias("score"))
+    # a plain explode would evaluate the prefixes twice: once in a filter for empty arrays that is inferred from it
+    rows = queries.select(F.explode_outer(query_prefixes(text)).alias("query_texto"), F.col(score).alias("score"))
+    return rows.filter(F.col("query_texto").isNotNull())
 
 
 def popularity(queries: DataFrame, text: str = "text", score: str = "score") -> DataFrame:

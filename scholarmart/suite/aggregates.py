@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from scholarmart.contracts import FAVOURITE, VIEW
 from scholarmart.functions.scalar import round_half_up
-from scholarmart.functions.text import query_prefixes
 from scholarmart.operators import access, aggregates, mining, ranking
+from scholarmart.operators.suggest import expand_prefixes
 from scholarmart.plans import dashboard, metrics
 from scholarmart.suite.registry import query, rnd
 from scholarmart.suite.roles import prefixes_sql
@@ -138,8 +138,7 @@ def a_13(r):
 
 @query("a_14", f"SELECT query_texto, sum(score)::BIGINT AS score FROM ({prefixes_sql('raw_queries')}) GROUP BY query_texto")
 def a_14(r):
-    expanded = r.raw_queries.select(F.explode(query_prefixes("text")).alias("query_texto"), "score")
-    return aggregates.prefix_scores(expanded)
+    return aggregates.prefix_scores(expand_prefixes(r.raw_queries))
 
 
 @query(

@@ -278,7 +278,7 @@ class Roles:
     @cached_property
     def raw_queries(self) -> DataFrame:
         asked = self.table("conversations").filter(F.col("role") == "user")
-        return asked.select(F.explode(sentences("text")).alias("text"), F.lit(1).alias("score"))
+        return asked.select(F.explode_outer(sentences("text")).alias("text"), F.lit(1).alias("score")).filter(F.col("text").isNotNull())
 
     @cached_property
     def popularidad(self) -> DataFrame:
