@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from scholarmart.operators import mining
 from scholarmart.plans.dims import interaction_types
@@ -76,11 +75,3 @@ def test_segment_medians_are_of_the_filtered_authors(spark):
     out = mining.segment_authors(fact, users, interaction_types(spark), end=dt.date(2024, 12, 31), school="A")
     assert {r["id_usuario"]: r["segmento"] for r in out.collect()} == {1: "Periferico", 2: "Referente"}
 
-
-def test_segment_plan_has_no_single_task_window(spark):
-    day = dt.date(2024, 5, 1)
-    fact = spark.createDataFrame([(day, i, 1, 1) for i in range(20)], AUTHORS)
-    users = spark.createDataFrame([(i, 1, "c", "e", "n") for i in range(20)], "id_usuario int, id_carrera int, nombre_carrera string, nombre_escuela string, nombre string")
-    out = mining.segment_authors(fact, users, interaction_types(spark), end=dt.date(2024, 12, 31))
-    # the only global order left is over one row per slice
-    assert out.filter(F.col("segmento") == "Referente").count() > 0
