@@ -22,21 +22,21 @@ def fold(text: ColumnLike) -> Column:
     return F.translate(F.lower(F.coalesce(_c(text), F.lit(""))), ACCENTED, PLAIN)
 
 
-# a plural ending of a word of five letters or more
-PLURAL = r"([\p{L}\p{N}]{3})es(?![\p{L}\p{N}])|([\p{L}\p{N}]{4})s(?![\p{L}\p{N}])"
+def singular(word: Column) -> Column:
+    """A word of five letters or more without its plural ending."""
+    ending = F.when(word.endswith("es"), F.lit(2)).otherwise(F.lit(1))
+    return F.when(word.endswith("s") & (F.length(word) > 4), F.substring(word, F.lit(1), F.length(word) - ending)).otherwise(word)
 
 
 def search_tokens(*texts: ColumnLike, stop_words: Sequence[str] = STOP_WORDS, stem: bool = True) -> Column:
     """Normalised search tokens of several texts, in order and with repetitions.
 
-    Folded words of letters and digits without plural endings and stop words. The
-    endings are cut by one expression over the whole text, a light rule in place of
-    a full stemmer; only the stop words are tested word by word.
+    Folded words of letters and digits without plural endings (a light rule in place
+    of a full stemmer) and without stop words.
     """
-    joined = F.concat_ws(" ", *[fold(t) for t in texts])
+    tokens = F.split(F.concat_ws(" ", *[fold(t) for t in texts]), r"[^\p{L}\p{N}]+")
     if stem:
-        joined = F.regexp_replace(joined, PLURAL, "$1$2")
-    tokens = F.split(joined, r"[^\p{L}\p{N}]+")
+        tokens = F.transform(tokens, singular)
     return F.filter(tokens, lambda w: ~w.isin("", *stop_words))
 
 

@@ -130,11 +130,6 @@ def transitions(events: DataFrame, session: Sequence[str], ts: str = "ts", key:
     return steps.groupBy(F.col(kind).alias("paso"), "siguiente").agg(F.count("*").alias("veces"))
 
 
-def daily_active(events: DataFrame, ts: str = "ts") -> DataFrame:
-    """Activity by hour of the day."""
-    return events.groupBy(F.hour(ts).alias("hora")).agg(F.count("*").alias("eventos"))
-
-
 def deduplicated(events: DataFrame, key: str = "event_id") -> DataFrame:
     """Replayed events count once."""
     return events.dropDuplicates([key])
