@@ -3,15 +3,39 @@
 from __future__ import annotations
 
 from scholarmart.llm.common import table
+from scholarmart.llm.decontamination import contained_items
+from scholarmart.llm.language import identify
+from scholarmart.llm.line_dedup import dedup_lines
+from scholarmart.llm.mixing import mix
 from scholarmart.llm.near_dedup import near_groups
 
 
+def op2_line_dedup(spark, sf_dir):
+    return dedup_lines(table(spark, sf_dir, "documents"))
+
+
 def op4_near_dedup(spark, sf_dir):
     return near_groups(table(spark, sf_dir, "documents"), size=4)
 
 
+def op6_source_mix(spark, sf_dir):
+    return mix(table(spark, sf_dir, "documents"))
+
+
+def op8_language(spark, sf_dir):
+    return identify(table(spark, sf_dir, "documents"))
+
+
+def op9_decontamination(spark, sf_dir):
+    return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
+    "op2_line_dedup": op2_line_dedup,
     "op4_near_dedup": op4_near_dedup,
+    "op6_source_mix": op6_source_mix,
+    "op8_language": op8_language,
+    "op9_decontamination": op9_decontamination,
 }
 
 #: exact components of all links, by counting the shared shingles of every pair
@@ -32,6 +56,39 @@ SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, component_id, s.doc_id
 FROM sets s JOIN least_ ON a = s.doc_id
 """
 
+#: draws repeated from the same hashes; the distribution comes from the closed form
+OP6_SQL = """
+WITH counts AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+rates AS (SELECT source, sum(n) OVER () * sqrt(n) / sum(sqrt(n)) OVER () / n AS rate FROM counts),
+pieces AS (SELECT source, rate, greatest(1, ceil(rate / 16)) AS draws FROM rates),
+terms AS (SELECT source, draws, rate / draws AS mean, k FROM pieces, range(0, 120) t(k)),
+cdf AS (SELECT source, draws, sum(exp(-mean + k * ln(mean) - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS c FROM terms),
+draws AS (
+  SELECT d.doc_id, p.source, CAST('0x' || substr(md5('mix-1|' || d.doc_id || '|' || j.j), 1, 13) AS BIGINT) / 4503599627370496.0 AS u
+  FROM documents d JOIN pieces p ON d.source IS NOT DISTINCT FROM p.source JOIN range(0, 100) j(j) ON j.j < p.draws
+),
+copies AS (SELECT x.doc_id, count(*) AS copies FROM draws x JOIN cdf ON x.source IS NOT DISTINCT FROM cdf.source AND cdf.c <= x.u GROUP BY x.doc_id)
+SELECT d.*, CAST(g.k AS INTEGER) AS copy_no FROM documents d JOIN copies c USING (doc_id) JOIN range(0, 1000) g(k) ON g.k < c.copies
+"""
+
+#: exact containment of every item in every document, by shared shingles
+OP9_SQL = r"""
+WITH texts AS (
+  SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark
+), words AS (
+  SELECT kind, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts
+), sets AS (
+  SELECT kind, id, list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM words WHERE len(w) >= 5
+), posted AS (SELECT kind, id, len(s) AS n, unnest(s) AS g FROM sets),
+counts AS (
+  SELECT d.id AS doc_id, i.id AS item_id, CAST(any_value(i.n) AS BIGINT) AS n_shingles, count(*) AS n_found
+  FROM posted d JOIN posted i ON d.g = i.g AND d.kind = 'd' AND i.kind = 'i' GROUP BY ALL
+)
+SELECT *, n_found / n_shingles AS containment FROM counts WHERE 10 * n_found >= 8 * n_shingles
+"""
+
 SQL = {
+    "op6_source_mix": OP6_SQL,
+    "op9_decontamination": OP9_SQL,
     "op4_near_dedup": OP4_SQL,
 }
