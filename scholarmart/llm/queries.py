@@ -8,6 +8,11 @@ from scholarmart.llm.language import identify
 from scholarmart.llm.line_dedup import dedup_lines
 from scholarmart.llm.mixing import mix
 from scholarmart.llm.near_dedup import near_groups
+from scholarmart.llm.toxicity import toxicity
+
+
+def op1_toxicity(spark, sf_dir):
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op2_line_dedup(spark, sf_dir):
@@ -31,6 +36,7 @@ def op9_decontamination(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_line_dedup": op2_line_dedup,
     "op4_near_dedup": op4_near_dedup,
     "op6_source_mix": op6_source_mix,
