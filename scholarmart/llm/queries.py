@@ -5,6 +5,7 @@ from __future__ import annotations
 from scholarmart.llm.common import table
 from scholarmart.llm.decontamination import contained_items
 from scholarmart.llm.language import identify
+from scholarmart.llm.licenses import scan
 from scholarmart.llm.line_dedup import dedup_lines
 from scholarmart.llm.mixing import mix
 from scholarmart.llm.near_dedup import near_groups
@@ -35,6 +36,10 @@ def op9_decontamination(spark, sf_dir):
     return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_licenses(spark, sf_dir):
+    return scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_line_dedup": op2_line_dedup,
@@ -42,6 +47,7 @@ QUERIES = {
     "op6_source_mix": op6_source_mix,
     "op8_language": op8_language,
     "op9_decontamination": op9_decontamination,
+    "op10_licenses": op10_licenses,
 }
 
 #: exact components of all links, by counting the shared shingles of every pair
