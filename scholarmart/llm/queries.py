@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from scholarmart.llm.common import table
 from scholarmart.llm.decontamination import contained_items
+from scholarmart.llm.fingerprints import fingerprints
 from scholarmart.llm.language import identify
 from scholarmart.llm.licenses import scan
 from scholarmart.llm.line_dedup import dedup_lines
@@ -28,6 +29,10 @@ def op6_source_mix(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op7_fingerprints(spark, sf_dir):
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op8_language(spark, sf_dir):
     return identify(table(spark, sf_dir, "documents"))
 
@@ -45,6 +50,7 @@ QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op4_near_dedup": op4_near_dedup,
     "op6_source_mix": op6_source_mix,
+    "op7_fingerprints": op7_fingerprints,
     "op8_language": op8_language,
     "op9_decontamination": op9_decontamination,
     "op10_licenses": op10_licenses,
