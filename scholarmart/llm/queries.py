@@ -10,6 +10,7 @@ from scholarmart.llm.licenses import scan
 from scholarmart.llm.line_dedup import dedup_lines
 from scholarmart.llm.mixing import mix
 from scholarmart.llm.near_dedup import near_groups
+from scholarmart.llm.ppm import scores
 from scholarmart.llm.toxicity import toxicity
 
 
@@ -25,6 +26,10 @@ def op4_near_dedup(spark, sf_dir):
     return near_groups(table(spark, sf_dir, "documents"), size=4)
 
 
+def op5_ppm(spark, sf_dir):
+    return scores(table(spark, sf_dir, "documents"))
+
+
 def op6_source_mix(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents"))
 
@@ -49,6 +54,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_line_dedup": op2_line_dedup,
     "op4_near_dedup": op4_near_dedup,
+    "op5_ppm": op5_ppm,
     "op6_source_mix": op6_source_mix,
     "op7_fingerprints": op7_fingerprints,
     "op8_language": op8_language,
