@@ -11,6 +11,7 @@ from scholarmart.llm.line_dedup import dedup_lines
 from scholarmart.llm.mixing import mix
 from scholarmart.llm.near_dedup import near_groups
 from scholarmart.llm.ppm import scores
+from scholarmart.llm.surrogates import replace_entities
 from scholarmart.llm.toxicity import toxicity
 
 
@@ -22,6 +23,10 @@ def op2_line_dedup(spark, sf_dir):
     return dedup_lines(table(spark, sf_dir, "documents"))
 
 
+def op3_surrogates(spark, sf_dir):
+    return replace_entities(table(spark, sf_dir, "documents"))
+
+
 def op4_near_dedup(spark, sf_dir):
     return near_groups(table(spark, sf_dir, "documents"), size=4)
 
@@ -53,6 +58,7 @@ def op10_licenses(spark, sf_dir):
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_line_dedup": op2_line_dedup,
+    "op3_surrogates": op3_surrogates,
     "op4_near_dedup": op4_near_dedup,
     "op5_ppm": op5_ppm,
     "op6_source_mix": op6_source_mix,
