@@ -1,78 +1,111 @@
-"""Links between near copies, and their components, without comparing all pairs of a group.
+"""Links between near copies, and their components, without emitting all pairs of a group.
 
-A bucket is all ids that share a key. In every round each bucket compares its members with one leader,
-and confirmed links are contracted to components. A bucket whose members are in one component is done:
-further pairs could only repeat a link. Buckets that still hold several components get other leaders; once a
-round merges nothing, the pairs between different components of a bucket are compared exhaustively. So the
-components are those of all pairs that share a key, while a group of n copies costs n comparisons.
+A bucket is all ids that share a key. Twice, each bucket compares its members with one leader, and confirmed links are contracted
+to components, which joins a group of n copies by n comparisons. A bucket whose members are in one component is done:
+further pairs could only repeat a link. What may still be linked in the others is found exactly:
+
+The members of buckets whose leaders belong to one component get one reference set ``b``, and are written as differences to it:
+``new`` (not in b) and the number ``lost`` (in b only). For two members, the symmetric difference of their sets is that of their
+differences, so with ``c`` common elements in them it has ``new + new' + lost + lost' - 2 c``, which a similarity of 0.8 bounds by
+a ninth of ``n + n'``. Hence linked members either share a new element, or ``9 (new + new' + |lost - lost'|) <= n + n'``.
+The first are met by a join on new elements (a prefix of them by hash order is enough, see ``_shared``), the second by a
+join on b under that inequality. Copies with edits of their own satisfy neither, however large their group.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scholarmart.llm.common import written
 
+LEADERS = 2
+
 
 def components(edges: DataFrame) -> DataFrame:
     """Distributed union-find by alternating large and small stars over ``(a, b)`` long ids.
 
     Returns ``(id, component)`` for every id of an edge; the component is its smallest id. Every step is a
-    min per id and a join, so no component passes through one task as a whole.
+    min per id and a join, so no component passes through one task as a whole. It ends when every id
+    has one neighbour, which is nobody's neighbour in turn.
     """
-    edges = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    state = None
+    edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     while True:
         both = edges.union(edges.select("b", "a"))
         low = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        large = written(large, "stars")
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*")
         edges = written(small.where("a <> b").distinct(), "edges")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == state:
+        roles = edges.select(F.col("a").alias("id"), F.lit(1).alias("child"), F.lit(0).alias("parent")).union(edges.select("b", F.lit(0), F.lit(1)))
+        if roles.groupBy("id").agg(F.sum("child").alias("child"), F.max("parent").alias("parent")).where("child > 1 or child = 1 and parent = 1").isEmpty():
             break
-        state = now
-    return written(edges.select(F.col("a").alias("id"), F.col("b").alias("component")).union(edges.select("b", "b").distinct()), "components")
+    return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).union(edges.select("b", "b").distinct())
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    left, right = sets.select(F.col("id").alias("a"), F.col("s").alias("x")), sets.select(F.col("id").alias("b"), F.col("s").alias("y"))
+    both = F.size(F.array_intersect("x", "y"))
+    return pairs.distinct().join(left, "a").join(right, "b").where(100 * both >= 80 * (F.size("x") + F.size("y") - both)).select("a", "b")
 
 
-def link(keys: DataFrame, confirm: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Components of the ids in ``keys(key, id, n)`` under confirmed links.
+def _shared(relative: DataFrame) -> DataFrame:
+    """Pairs of different components that share a new element and whose counts allow a link.
 
-    ``confirm`` takes candidate pairs ``(a, b, n_a, n_b)``, each once, and returns the linked ``(a, b)``; ``n`` is the
-    size of the id's set. Returns ``(id, component)`` for linked ids only.
+    Linked members have ``2 c >= new + new' + |lost - lost'| - (n + n') / 9`` common new elements, and ``new' >= c``, so
+    c >= new - (n + n') / 9 >= new - n / 4. By the pigeonhole principle the first ``n / 4 + 1`` new elements of both,
+    in any fixed order, have one in common.
     """
-    keys = written(keys, "keys")
-    edges, found, turn, merged = None, None, 0, -1
-    while True:
-        if found is None:
-            state = keys.withColumn("component", F.col("id"))
-        else:
-            state = keys.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        open_ = state.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min_by(F.struct("id", "n", "component"), F.xxhash64(F.lit(turn), "key", "id")).alias("leader")).where("low < high").select("key", "leader")
-        open_ = written(open_, "open")
-        if open_.isEmpty():
-            break
-        inside = state.join(open_, "key")
-        if merged == 0:
-            near = inside.select("key", "id", "n", "component")
-            far = near.select("key", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("component").alias("component2"))
-            pairs = near.join(far, "key").where("component < component2").select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("id2").alias("b"), F.col("n2").alias("n_b"))
-        else:
-            pairs = inside.where("component <> leader.component").select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("leader.id").alias("b"), F.col("leader.n").alias("n_b"))
-        pairs = pairs.where("5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)").distinct()
-        new = written(confirm(pairs).select("a", "b"), "links")
-        last, merged = merged == 0, new.count()
-        if merged:
+    first = F.slice(F.array_sort("new"), 1, F.floor(F.col("n") / 4).cast("int") + 1)
+    near = relative.where("size(new) > 0").select("b", "id", "component", "n", F.size("new").alias("added"), "lost", F.explode(first).alias("e"))
+    far = near.select("b", "e", *(F.col(c).alias(f"{c}2") for c in ("id", "component", "n", "added", "lost")))
+    may = (F.col("component") < F.col("component2")) & (9 * (F.abs(F.col("added") - F.col("added2")) + F.abs(F.col("lost") - F.col("lost2"))) <= F.col("n") + F.col("n2"))
+    return near.join(far, ["b", "e"]).where(may).select(F.col("id").alias("a"), F.col("id2").alias("b"))
+
+
+def _close(relative: DataFrame) -> DataFrame:
+    """Pairs of different components whose counts allow a link without a common new element."""
+    near = relative.where("4 * size(new) <= n").select("b", "id", "component", "n", F.size("new").alias("added"), "lost")
+    far = near.select("b", *(F.col(c).alias(f"{c}2") for c in ("id", "component", "n", "added", "lost")))
+    may = (F.col("component") < F.col("component2")) & (9 * (F.col("added") + F.col("added2") + F.abs(F.col("lost") - F.col("lost2"))) <= F.col("n") + F.col("n2"))
+    return near.join(far, "b").where(may).select(F.col("id").alias("a"), F.col("id2").alias("b"))
+
+
+def _open(keys: DataFrame, found: DataFrame | None, turn: int) -> tuple[DataFrame, DataFrame]:
+    """Members with their components, and the buckets of several components with a leader."""
+    state = keys.withColumn("component", F.col("id")) if found is None else keys.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    leader = F.min_by(F.struct("id", "n", "component"), F.struct(F.xxhash64(F.lit(turn), "id"), "id"))
+    buckets = state.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), leader.alias("leader")).where("low < high")
+    return state, written(buckets.select("key", "leader"), "open")
+
+
+def link(keys: DataFrame, sets: DataFrame) -> DataFrame:
+    """Components of the ids in ``keys(key, id, n)`` that share a key and whose ``sets(id, s)`` have a similarity of 0.8 or more.
+
+    ``n`` is the size of the set. Returns ``(id, component)`` for linked ids only.
+    """
+    edges = found = None
+
+    def add(new: DataFrame) -> None:
+        nonlocal edges, found
+        new = written(new.select("a", "b"), "links")
+        if not new.isEmpty():
             edges = new if edges is None else edges.union(new)
             found = components(edges)
-        if last:
-            break
-        turn += 1
-    if found is None:
-        return keys.select("id", F.col("id").alias("component")).where("false")
-    return found
+
+    for turn in range(LEADERS):
+        state, buckets = _open(keys, found, turn)
+        inside = state.join(buckets, "key").where("component <> leader.component and 5 * least(n, leader.n) >= 4 * greatest(n, leader.n)")
+        add(_confirmed(inside.select(F.col("id").alias("a"), F.col("leader.id").alias("b")), sets))
+
+    state, buckets = _open(keys, found, LEADERS)
+    members = state.join(buckets, "key").select(F.col("leader.component").alias("b"), "id", "component", "n").distinct()
+    reference = sets.select(F.col("id").alias("b"), F.col("s").alias("r"))
+    relative = members.join(sets, "id").join(reference, "b").select("b", "id", "component", "n", F.array_except("s", "r").alias("new"), F.size("r").alias("m"))
+    relative = written(relative.withColumn("lost", F.col("m") - F.col("n") + F.size("new")), "relative")
+    both, union = F.col("n") - F.size("new"), F.col("m") + F.size("new")
+    add(relative.where((100 * both >= 80 * union) & (F.col("component") != F.col("b"))).select(F.col("id").alias("a"), "b"))
+    if found is not None:
+        relative = relative.drop("component").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    add(_confirmed(written(_shared(relative).union(_close(relative)).distinct(), "pairs"), sets))
+    return found if found is not None else keys.select("id", F.col("id").alias("component")).where("false")

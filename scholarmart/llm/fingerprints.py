@@ -122,7 +122,7 @@ def _sets(wanted):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             batch = batch[in_bitmap(wanted.value, batch["h"].to_numpy())]
-            yield pd.DataFrame({"id": batch["doc_id"], "s": [np.unique(runs(_bytes(t))).astype(np.int64) for t in batch["text"]]})
+            yield pd.DataFrame({"id": batch["doc_id"].to_numpy(), "s": pd.Series([np.unique(runs(_bytes(t))).astype(np.int64) for t in batch["text"]], dtype=object)})
 
     return run
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from scholarmart.llm.common import WordHashes, bitmap, in_bitmap, minima, mixed, permutations, shingles, words_of, written
 from scholarmart.llm.components import link
 
-HALVES, ROWS, SEED = 9, 2, 41
+HALVES, ROWS, SEED = 12, 3, 41
 SKETCH = "doc_id long, n_shingles long, c1 long, c2 long, halves array<long>"
 
 
@@ -40,7 +40,7 @@ def _sketches(size: int):
                 low = halves = None
                 if len(own) >= 4:  # a smaller set is 0.8 like no other
                     low = minima(own, factors, offsets).reshape(2 * HALVES, ROWS)
-                    halves = mixed(low[:, 0] * np.uint64(0x9E3779B97F4A7C15) + low[:, 1] + np.arange(2 * HALVES, dtype=np.uint64)).view(np.int64)
+                    halves = mixed(mixed(mixed(low[:, 0]) + low[:, 1]) + low[:, 2]).view(np.int64)
                 first, second = own.sum(dtype=np.uint64), mixed(own ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64)
                 out.append((len(own), first.astype(np.int64), second.astype(np.int64), halves))
             frame = pd.DataFrame(out, columns=["n_shingles", "c1", "c2", "halves"])
@@ -56,7 +56,7 @@ def _sets(size: int, wanted):
         for batch in batches:
             batch = batch[in_bitmap(wanted.value, batch["h"].to_numpy())]
             rows = [np.unique(shingles(hashes.of(words_of(text)), size)).view(np.int64) for text in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy(), "s": rows, "c1": [r.view(np.uint64).sum(dtype=np.uint64).astype(np.int64) for r in rows]})
+            yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy(), "s": pd.Series(rows, dtype=object), "c1": [r.view(np.uint64).sum(dtype=np.uint64).astype(np.int64) for r in rows]})
 
     return run
 
@@ -82,14 +82,9 @@ def near_groups(docs: DataFrame, size: int = 5) -> DataFrame:
     seen = spark.sparkContext.broadcast(bitmap(wanted.select(F.xxhash64("id"))))
     sets = slim.where("doc_id is not null").select("doc_id", "text", F.xxhash64("doc_id").alias("h")).mapInPandas(_sets(size, seen), "doc_id long, s array<long>, c1 long")
     owner = classes.select(F.col("id").alias("doc_id"), "c1").where("doc_id is not null")
-    sets = written(sets.join(owner, ["doc_id", "c1"]).join(wanted.withColumnRenamed("id", "doc_id"), "doc_id").dropDuplicates(["doc_id", "c1"]).select("doc_id", "s"), "sets")
+    sets = written(sets.join(owner, ["doc_id", "c1"]).join(wanted.withColumnRenamed("id", "doc_id"), "doc_id").select(F.col("doc_id").alias("id"), "s").dropDuplicates(["id"]), "sets")
 
-    def confirm(pairs: DataFrame) -> DataFrame:
-        left, right = sets.select(F.col("doc_id").alias("a"), F.col("s").alias("s_a")), sets.select(F.col("doc_id").alias("b"), F.col("s").alias("s_b"))
-        both = F.size(F.array_intersect("s_a", "s_b"))
-        return pairs.join(left, "a").join(right, "b").where(100 * both >= 80 * (F.col("n_a") + F.col("n_b") - both))
-
-    found = link(keys, confirm)
+    found = link(keys, sets)
     of_class = written(classes.select("c1", "c2", "id").join(found, "id", "left").select("c1", "c2", F.coalesce("component", "id").alias("component_id")), "of_class")
     out = sketches.join(of_class, ["c1", "c2"], "left")
     own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
