@@ -89,10 +89,11 @@ def truncated(text: ColumnLike, size: int) -> Column:
     return F.when(F.char_length(t) > size, F.concat(F.substring(t, 1, size), F.lit("..."))).otherwise(t)
 
 
-def snippet(text: ColumnLike, term: ColumnLike, before: int = 40, size: int = 120) -> Column:
+def snippet(text: ColumnLike, term: str | Column, before: int = 40, size: int = 120) -> Column:
     """Text around the first match of ``term`` (case-insensitive); empty without a match."""
     t = _c(text)
-    at = F.locate(term, F.lower(t)) if isinstance(term, str) else F.expr("0")
+    wanted = F.lower(F.lit(term) if isinstance(term, str) else term)
+    at = F.when(wanted == "", 0).otherwise(F.instr(F.lower(t), wanted))
     start = F.greatest(at - before, F.lit(1))
     return F.when(at > 0, t.substr(start, F.lit(size))).otherwise(F.lit(""))
 

@@ -88,10 +88,10 @@ def revoked(requests: DataFrame, revocations: DataFrame, token: str, ts: str = "
 
 def mass_revoked(tokens: DataFrame, marks: DataFrame, user: str = "user_id", issued: str = "iat", ts: str = "ts") -> DataFrame:
     """Flag tokens issued before their user's mark, while the mark lives. Marks hold ``user, marca, set_at, expires_at``."""
-    joined = tokens.join(marks, user, "left")
-    live = (F.col("set_at") <= F.col(ts)) & (F.col(ts) < F.col("expires_at"))
-    bad = F.coalesce(live & (F.col(issued) < F.col("marca")), F.lit(False))
-    return joined.withColumn("rechazado", bad).drop("marca", "set_at", "expires_at")
+    # the few marks of a user travel as one row, so several live ones do not multiply the requests
+    per_user = marks.groupBy(user).agg(F.collect_list(F.struct("marca", "set_at", "expires_at")).alias("_marks"))
+    hit = lambda m: (m["set_at"] <= F.col(ts)) & (F.col(ts) < m["expires_at"]) & (F.col(issued) < m["marca"])
+    return tokens.join(per_user, user, "left").withColumn("rechazado", F.coalesce(F.exists("_marks", hit), F.lit(False))).drop("_marks")
 
 
 def login_sessions(logins: DataFrame, ttl_seconds: int = 3600, created: str = "created_at") -> DataFrame:

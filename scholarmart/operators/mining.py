@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from scholarmart.contracts import FAVOURITE, PUBLICATION, VIEW
 from scholarmart.functions.scalar import month_index, round_half_up
 from scholarmart.operators.aggregates import monthly_series, sum_if
-from scholarmart.operators.ranking import global_ntile, top_k
+from scholarmart.operators.ranking import global_ntile, running, top_k
 
 FIRST_DAY = dt.date(2024, 1, 1)
 
@@ -168,7 +168,9 @@ def impact_per_publication(fact: DataFrame) -> DataFrame:
 def one_hit_authors(fact: DataFrame, quantile: float = 0.5, publications: int = 1) -> DataFrame:
     """Authors with at most ``publications`` publications whose impact is at or above a quantile of all authors."""
     authors = impact_per_publication(fact)
-    cut = authors.agg(F.percentile_approx("impacto", quantile, 10000).alias("cut"))
+    # exact: authors are counted by impact, and the first impact that reaches the share is the cut
+    run = running(authors.groupBy("impacto").agg(F.count("*").alias("_n")), [F.col("impacto").asc()], {"n": F.col("_n")}, None)
+    cut = run.filter(F.col("_run_n") >= quantile * F.col("_total_n")).agg(F.min("impacto").alias("cut"))
     few = F.col("n_publicaciones").between(1, publications)
     return authors.filter(few & (F.col("impacto") >= cut.scalar()))
 

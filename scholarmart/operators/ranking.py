@@ -17,7 +17,7 @@ def _slices(df: DataFrame, order: Sequence[Column], slices: int | None) -> DataF
     return materialize(ranged)
 
 
-def _running(df: DataFrame, order: Sequence[Column], totals: Mapping[str, Column], slices: int | None) -> DataFrame:
+def running(df: DataFrame, order: Sequence[Column], totals: Mapping[str, Column], slices: int | None) -> DataFrame:
     """Add the running value of every total in a global order.
 
     Rows are range-partitioned by the order; each slice is summed, the sums of the
@@ -39,13 +39,13 @@ def _running(df: DataFrame, order: Sequence[Column], totals: Mapping[str, Column
 
 
 def global_row_number(df: DataFrame, order: Sequence[Column], name: str, slices: int | None = None) -> DataFrame:
-    out = _running(df, order, {"n": F.lit(1)}, slices)
+    out = running(df, order, {"n": F.lit(1)}, slices)
     return out.select(*df.columns, F.col("_run_n").cast("long").alias(name))
 
 
 def global_ntile(df: DataFrame, tiles: int, order: Sequence[Column], name: str, slices: int | None = None) -> DataFrame:
     """NTILE over the whole frame: sizes differ by at most one, the first tiles are the larger ones."""
-    out = _running(df, order, {"n": F.lit(1)}, slices)
+    out = running(df, order, {"n": F.lit(1)}, slices)
     row, total = F.col("_run_n") - 1, F.col("_total_n")
     small = F.floor(total / tiles)
     extra = total % tiles
@@ -59,7 +59,7 @@ def global_ntile(df: DataFrame, tiles: int, order: Sequence[Column], name: str,
 def cumulative_share(df: DataFrame, measure: str, tie_break: str, slices: int | None = None) -> DataFrame:
     """Position by falling measure and the share of the total reached so far."""
     order = [F.col(measure).desc_nulls_last(), F.col(tie_break).asc()]
-    out = _running(df, order, {"n": F.lit(1), "v": F.col(measure)}, slices)
+    out = running(df, order, {"n": F.lit(1), "v": F.col(measure)}, slices)
     share = F.try_divide(F.col("_run_v"), F.col("_total_v"))
     return out.select(*df.columns, F.col("_run_n").cast("long").alias("posicion"), share.alias("share_acumulado"))
 
@@ -110,6 +110,7 @@ def rank_groups(df: DataFrame, measure: str, name: str) -> DataFrame:
     """
     counts = df.groupBy(measure).agg(F.count("*").alias("_n"))
     order = [F.col(measure).desc_nulls_last()]
-    run = _running(counts, order, {"n": F.col("_n")}, None)
+    run = running(counts, order, {"n": F.col("_n")}, None)
     ranks = run.select(measure, (F.col("_run_n") - F.col("_n") + 1).cast("long").alias(name))
-    return df.join(ranks, measure).select(*df.columns, name)
+    ranks = ranks.withColumnRenamed(measure, "_measure")
+    return df.join(ranks, F.col(measure).eqNullSafe(F.col("_measure"))).select(*df.columns, name)

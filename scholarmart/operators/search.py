@@ -17,8 +17,13 @@ from scholarmart.session import materialize
 
 
 def scored(docs: DataFrame, query: Sequence[float], vector: str = "embedding") -> DataFrame:
-    """Add the cosine similarity to a query; its length is taken out once, not per row."""
+    """Add the cosine similarity to a query; its length is taken out once, not per row.
+
+    A query or a document of length zero has no direction, so its similarity is null.
+    """
     length = math.sqrt(sum(v * v for v in query))
+    if length == 0:
+        return docs.withColumn("similitud", F.lit(None).cast("double"))
     unit = [v / length for v in query]
     return docs.withColumn("similitud", F.try_divide(dot(vector, literal_vector(unit)), norm(vector)))
 

@@ -59,8 +59,10 @@ def visible_to(docs: DataFrame, audience: str, bridge: DataFrame | None = None,
     """Documents an audience may see.
 
     ``guest``: public ones. ``member``: public and internal ones. ``author``: these
-    and the private ones the user wrote or co-wrote.
+    and the private ones the user wrote or co-wrote. Any other audience is an error.
     """
+    if audience not in ("guest", "member", "author"):
+        raise ValueError(f"unknown audience {audience!r}")
     allowed = ["publico"] if audience == "guest" else ["publico", "interno"]
     shown = docs.filter(F.col("visibilidad").isin(*allowed))
     if audience != "author":

@@ -87,12 +87,15 @@ ROLE_SQL = {
                           FROM lineitem GROUP BY l_orderkey, l_suppkey""",
     "evento_visualizacion": "SELECT l_orderkey AS id_documento, l_suppkey + 1 AS id_usuario, l_shipdate AS created_at FROM lineitem WHERE l_returnflag = 'N'",
     "favorito": "SELECT l_orderkey AS id_documento, l_suppkey + 1 AS id_usuario, l_shipdate AS created_at FROM lineitem WHERE l_returnflag = 'R'",
-    "dim_materia": """SELECT m.id AS id_materia, m.nombre AS nombre_materia, c.id AS id_carrera, c.nombre AS nombre_carrera,
-                      e.id AS id_escuela, e.nombre AS nombre_escuela
-                      FROM materia m JOIN carrera c ON m.id_carrera = c.id JOIN escuela e ON c.id_escuela = e.id""",
-    "dim_usuario": """SELECT u.id AS id_usuario, coalesce(u.id_carrera, 0) AS id_carrera, coalesce(c.nombre, 'Sin Carrera') AS nombre_carrera,
-                      coalesce(e.nombre, 'Sin Escuela') AS nombre_escuela, u.nombre
-                      FROM usuario u LEFT JOIN carrera c ON u.id_carrera = c.id LEFT JOIN escuela e ON c.id_escuela = e.id""",
+    # the hierarchy straight from the given tables: customer, nation, region
+    "dim_materia": """SELECT c_custkey AS id_materia, c_name AS nombre_materia, n_nationkey + 1 AS id_carrera, n_name AS nombre_carrera,
+                      n_regionkey + 1 AS id_escuela, r_name AS nombre_escuela
+                      FROM region JOIN nation ON n_regionkey = r_regionkey JOIN customer ON c_nationkey = n_nationkey""",
+    # suppliers of the first 20 nations have a place there; 'Sin Carrera' and 'Sin Escuela' are fixed values
+    "dim_usuario": """SELECT id_usuario, nombre, coalesce(place.id_carrera, 0) AS id_carrera, coalesce(nombre_carrera, 'Sin Carrera') AS nombre_carrera,
+                      coalesce(nombre_escuela, 'Sin Escuela') AS nombre_escuela
+                      FROM (SELECT s_suppkey + 1 AS id_usuario, s_name AS nombre, s_nationkey + 1 AS id_carrera FROM supplier)
+                      LEFT JOIN (SELECT DISTINCT id_carrera, nombre_carrera, nombre_escuela FROM dim_materia WHERE id_carrera <= 20) place USING (id_carrera)""",
     "dim_tipo_documento": "SELECT id AS id_tipo, nombre FROM tipo_documento",
     "dim_documento": """SELECT id AS id_documento, id_tipo, id_materia, titulo, CAST(created_at AS DATE) AS fecha_alta, visibilidad,
                         deleted_at IS NOT NULL AS is_deleted, CAST(deleted_at AS DATE) AS deleted_at FROM documento""",
