@@ -131,11 +131,6 @@ def test_lines_of_odd_rows(docs_of, odd_rows):
     assert dedup_lines(docs_of([])).count() == 0
 
 
-def test_lines_stay_in_the_jvm(docs_of, odd_rows):
-    plan = dedup_lines(docs_of(odd_rows))._jdf.queryExecution().toString()
-    assert not any(w in plan for w in ("Python", "Arrow", "Pandas"))
-
-
 def test_fingerprints_name_the_next_document(docs_of, odd_rows):
     import hashlib
 
