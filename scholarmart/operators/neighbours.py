@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -14,7 +14,6 @@ from pyspark.sql import types as T
 from scholarmart.operators.ranking import top_k_per_group
 from scholarmart.session import materialize
 
-QUERY_ROWS = 4096  # query vectors that may travel with the tasks; checked before they do
 BLOCK_ROWS = 4096  # vectors of either side that meet in one task
 PIVOTS = 64
 
@@ -37,22 +36,18 @@ def _angles(vectors: pd.Series, centre: np.ndarray) -> np.ndarray:
     return np.nan_to_num(np.arccos(np.clip(_unit_rows(vectors) @ centre.T, -1.0, 1.0)), nan=9.0)
 
 
-def search_many(
-    docs: DataFrame, queries: DataFrame, k: int, threshold: float, key: str = "id", query_key: str = "query_id", vector: str = "embedding"
+def search_list(
+    docs: DataFrame, queries: Mapping[str, Sequence[float]], k: int, threshold: float, key: str = "id", query_key: str = "query_id", vector: str = "embedding"
 ) -> DataFrame:
-    """The ``k`` most similar documents for each of many query vectors; exact.
+    """The ``k`` most similar documents for each vector of a given list; exact.
 
-    A query side of at most ``QUERY_ROWS`` vectors (checked) travels with the tasks
-    and documents stay where they are; a larger one takes the cell join.
+    The list travels with the tasks and documents stay where they are. For a table of queries see ``nearest``.
     """
-    head = queries.filter(F.col(vector).isNotNull()).select(query_key, vector).limit(QUERY_ROWS + 1).collect()
-    if len(head) > QUERY_ROWS:
-        return nearest(queries, docs, k, threshold, query_key, key, vector)
-    names = [r[0] for r in head]
-    wanted = _unit_rows(pd.Series([r[1] for r in head], dtype=object))
+    names = list(queries)
+    wanted = _unit_rows(pd.Series([list(v) for v in queries.values()], dtype=object))
     schema = T.StructType(
         [
-            T.StructField(query_key, queries.schema[query_key].dataType),
+            T.StructField(query_key, T.StringType()),
             T.StructField(key, docs.schema[key].dataType),
             T.StructField("similitud", T.DoubleType()),
         ]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from scholarmart.functions.text import snippet, truncated
 from scholarmart.functions.vectors import dot, literal_vector, norm
-from scholarmart.operators.ranking import numbered_top_k, top_k, top_k_per_group
+from scholarmart.operators.ranking import global_row_number, top_k, top_k_per_group
 from scholarmart.session import materialize
 
 
@@ -50,7 +50,12 @@ def term_counts(docs: DataFrame, terms: Sequence[str], tokens: str = "tokens", k
 def lexical_search(
     docs: DataFrame, terms: Sequence[str], k: int, tokens: str = "tokens", key: str = "id", k1: float = 1.2, b: float = 0.75
 ) -> DataFrame:
-    """The ``k`` best documents by BM25. Texts are read once; the statistics come from the narrow frame."""
+    """The ``k`` best documents by BM25."""
+    return top_k(lexical_scores(docs, terms, tokens, key, k1, b), k, F.col("puntaje").desc(), F.col(key).asc())
+
+
+def lexical_scores(docs: DataFrame, terms: Sequence[str], tokens: str = "tokens", key: str = "id", k1: float = 1.2, b: float = 0.75) -> DataFrame:
+    """BM25 of every document with a term. Texts are read once; the statistics come from the narrow frame."""
     counts = materialize(term_counts(docs, terms, tokens, key))
     n_terms = range(len(terms))
     stats = counts.agg(
@@ -65,7 +70,7 @@ def lexical_search(
         df, tf = F.col(f"_s.df_{i}"), F.col(f"tf_{i}")
         idf = F.log(1 + (F.col("_s.n") - df + 0.5) / (df + 0.5))
         score = score + idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("dl") / F.col("_s.avgdl")))
-    return top_k(matched.select(key, score.alias("puntaje")), k, F.col("puntaje").desc(), F.col(key).asc())
+    return matched.select(key, score.alias("puntaje"))
 
 
 def postings(docs: DataFrame, tokens: str = "tokens", key: str = "id") -> DataFrame:
@@ -87,7 +92,7 @@ def keywords(docs: DataFrame, n: int, tokens: str = "tokens", key: str = "id") -
 
 
 def fuse(rankings: Sequence[DataFrame], k: int, key: str = "id", constant: int = 60) -> DataFrame:
-    """Reciprocal-rank fusion of short ranked lists with a ``posicion`` column."""
+    """Reciprocal-rank fusion of ranked lists with a ``posicion`` column."""
     parts = [r.select(key, (F.lit(1.0) / (F.col("posicion") + constant)).alias("puntaje")) for r in rankings]
     union = parts[0]
     for part in parts[1:]:
@@ -101,17 +106,19 @@ def hybrid_search(
     query: Sequence[float],
     terms: Sequence[str],
     k: int,
-    pool: int = 100,
     threshold: float = 0.0,
     key: str = "id",
     vector: str = "embedding",
     tokens: str = "tokens",
 ) -> DataFrame:
-    """Semantic and lexical ranks fused; popularity and age have no say. Filter ``docs`` beforehand."""
+    """Semantic and lexical ranks fused; popularity and age have no say. Filter ``docs`` beforehand.
+
+    Both lists are ranked as a whole, so a document far down in both still counts; one without a vector is ranked
+    by its words alone.
+    """
     near = scored(docs, query, vector).filter(F.col("similitud") >= threshold).select(key, "similitud")
-    semantic = numbered_top_k(near, pool, [F.round("similitud", 9).desc(), F.col(key).asc()], "posicion")
-    lexical = lexical_search(docs, terms, pool, tokens, key)
-    lexical = numbered_top_k(lexical, pool, [F.round("puntaje", 9).desc(), F.col(key).asc()], "posicion")
+    semantic = global_row_number(near, [F.round("similitud", 9).desc(), F.col(key).asc()], "posicion")
+    lexical = global_row_number(lexical_scores(docs, terms, tokens, key), [F.round("puntaje", 9).desc(), F.col(key).asc()], "posicion")
     return fuse([semantic, lexical], k, key)
 
 

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_own: str | None = None
+
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -40,16 +42,18 @@ def build_session(app: str = "scholarmart", master: str | None = None, **conf: s
 def shared_dir(spark: SparkSession) -> str:
     """The folder shared by all executors, as named in ``spark.checkpoint.dir``.
 
-    A folder of our own is only made where the setting is absent and the session
-    runs in local mode; a cluster without the setting is an error.
+    A folder of our own, one for the process, is only made where the setting is absent and
+    the session has no executors of their own; a cluster without the setting is an error.
     """
+    global _own
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    current = spark.sparkContext.getCheckpointDir()
-    return current or tempfile.mkdtemp(prefix="scholarmart-")
+    _own = _own or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="scholarmart-")
+    return _own
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from scholarmart.session import scratch_path
 from scholarmart.sources.tables import ensure_table
 from scholarmart.suite.registry import query, rnd
 from scholarmart.suite.roles import prefixes_sql
-from scholarmart.suite.selection import COSINE_SQL, query_vector
+from scholarmart.suite.selection import COSINE_SQL, QUERY_SQL, query_vector
 
 TERMS = ("the", "und", "que", "tion", "elle")
 
@@ -42,11 +42,20 @@ PAIR = "list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding A
 )
 def h_2(r):
     docs = r.table("embeddings").select(F.col("vec_id").alias("id"), "embedding")
-    return similarity(search_many(r, docs))
+    queries = docs.select(F.col("id").alias("query_id"), "embedding")
+    return similarity(neighbours.nearest(queries, docs, 4, 0.3, "query_id", "id", "embedding"))
 
 
-def search_many(r, docs):
-    return neighbours.search_many(docs, docs.select(F.col("id").alias("query_id"), "embedding"), 4, 0.3)
+@query(
+    "h_2_list",
+    f"""SELECT query_id, id, {rnd('s', 6)} AS similitud, CAST(posicion AS INTEGER) AS posicion FROM (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(s, 9) DESC, id) AS posicion FROM (
+          SELECT q.query_id, e.vec_id AS id, list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), q.v) AS s FROM embeddings e,
+            (SELECT 'a' AS query_id, {QUERY_SQL} AS v UNION ALL SELECT 'b', list_reverse({QUERY_SQL})) q)) WHERE s >= 0.05 AND posicion <= 6""",
+)
+def h_2_list(r):
+    docs = r.table("embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    return similarity(neighbours.search_list(docs, {"a": query_vector(), "b": query_vector()[::-1]}, 6, 0.05))
 
 
 @query(
@@ -143,16 +152,16 @@ def h_11_size(r):
 
 
 def vector_docs(r):
-    """Texts that also have a vector, with their tokens."""
+    """Texts with their tokens and, where there is one, their vector."""
     vectors = r.table("embeddings").select(F.col("vec_id").alias("id"), "embedding")
     texts = r.table("documents").select(F.col("doc_id").alias("id"), "lang", "text", search_tokens("text").alias("tokens"))
-    return texts.join(vectors, "id")
+    return texts.join(vectors, "id", "left")
 
 
-HYBRID_SQL = f"""WITH d AS (SELECT t.id, t.tokens, e.embedding FROM token_docs t JOIN embeddings e ON t.id = e.vec_id JOIN documents x ON x.doc_id = t.id WHERE x.lang <> 'de'),
+HYBRID_SQL = f"""WITH d AS (SELECT t.id, t.tokens, e.embedding FROM token_docs t LEFT JOIN embeddings e ON t.id = e.vec_id JOIN documents x ON x.doc_id = t.id WHERE x.lang <> 'de'),
     sem AS (SELECT id, row_number() OVER (ORDER BY round({COSINE_SQL}, 9) DESC, id) AS p FROM d WHERE {COSINE_SQL} >= 0),
     lex AS (SELECT id, row_number() OVER (ORDER BY round(puntaje, 9) DESC, id) AS p FROM ({bm25_sql('d')}))
-    SELECT id, {rnd('sum(1.0::DOUBLE / (60 + p))', 8)} AS puntaje FROM (SELECT * FROM sem WHERE p <= 100 UNION ALL SELECT * FROM lex WHERE p <= 100)
+    SELECT id, {rnd('sum(1.0::DOUBLE / (60 + p))', 8)} AS puntaje FROM (SELECT * FROM sem UNION ALL SELECT * FROM lex)
     GROUP BY id ORDER BY round(sum(1.0::DOUBLE / (60 + p)), 12) DESC, id LIMIT 10"""
 
 

@@ -46,13 +46,13 @@ def test_a_third_of_equal_vectors(spark):
     assert got == {a: b for a, b in brute(ids, vectors, 3, 0.8).items() if b}
 
 
-def test_large_query_side_takes_the_cell_join(spark, monkeypatch):
+def test_list_and_table_of_queries_find_the_same(spark):
     ids, vectors = np.arange(60), clustered(60, 7)
     docs = frame(spark, ids, vectors)
     queries = docs.select(F.col("id").alias("query_id"), "embedding")
-    small = {tuple(r) for r in neighbours.search_many(docs, queries, 3, 0.5).select("query_id", "id", "posicion").collect()}
-    monkeypatch.setattr(neighbours, "QUERY_ROWS", 10)
-    large = {tuple(r) for r in neighbours.search_many(docs, queries, 3, 0.5).select("query_id", "id", "posicion").collect()}
+    literal = {str(r["id"]): list(r["embedding"]) for r in docs.collect()}
+    small = {(int(r[0]), r[1], r[2]) for r in neighbours.search_list(docs, literal, 3, 0.5).select("query_id", "id", "posicion").collect()}
+    large = {tuple(r) for r in neighbours.nearest(queries, docs, 3, 0.5, "query_id", "id", "embedding").select("query_id", "id", "posicion").collect()}
     assert small == large
 
 
