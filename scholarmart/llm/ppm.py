@@ -32,8 +32,9 @@ from scholarmart.llm.common import remainder, words_of, written
 
 ORDER, KEPT, FREQUENT = 5, 1 << 21, 1 << 20
 PAD, END, SYMBOLS = b"\xff", b"\xfe", 256  # neither byte occurs in UTF-8
-PIECE = 1 << 20
-COUNTED = 1 << 23
+PIECE = 1 << 19
+COUNTED = 1 << 21
+ROWS = 1000  # scored at a time
 END_WORD = b""
 
 
@@ -72,22 +73,26 @@ def _batched(texts, size: int) -> Iterator[list[tuple[int, bytes]]]:
         yield own
 
 
-def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    waiting, total = [], 0
+def _merged(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of counts of equal values."""
+    order = np.argsort(values, kind="stable")
+    values, counts = values[order], counts[order]
+    first = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+    return values[first], np.add.reduceat(counts, first)
 
-    def counted() -> pd.DataFrame:
-        values, counts = np.unique(np.concatenate(waiting), return_counts=True)
-        return pd.DataFrame({"gram": values.view(np.int64), "n": counts})
 
+def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Counts of the runs of a task; what it holds is bounded by ``COUNTED`` different runs and one list of pieces."""
+    values, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
     for batch in batches:
         for own in _batched(batch["text"], PIECE):
-            waiting.append(grams([p for _, p in own])[0])
-            total += len(waiting[-1])
-            if total >= COUNTED:
-                yield counted()
-                waiting, total = [], 0
-    if waiting:
-        yield counted()
+            new, n = np.unique(grams([p for _, p in own])[0], return_counts=True)
+            values, counts = _merged(np.concatenate([values, new]), np.concatenate([counts, n]))
+            if len(values) >= COUNTED:
+                yield pd.DataFrame({"gram": values.view(np.int64), "n": counts})
+                values, counts = values[:0], counts[:0]
+    if len(values):
+        yield pd.DataFrame({"gram": values.view(np.int64), "n": counts})
 
 
 def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -231,25 +236,25 @@ def _score(trie, frequent, symbols: int, distinct: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, row = TaskContext.get().partitionId(), 0
         known = {w: (np.log10(c + 0.5) - denominator) for w, c in frequent.value.items()}
-        for batch in batches:
-            rows = []
-            for text in batch["text"]:
-                words, base, tail, n_known, n = Counter(words_of(text)), 0.0, [], 0, 1
-                words[END_WORD] += 1
-                n = words.total()
-                for word, times in words.items():
-                    value = known.get(word)
-                    if value is None:
-                        tail.append({"word": word, "n": times})
-                    else:
-                        base += times * value
-                        n_known += times
-                rows.append(((part << 40) + row, n, n_known, base, tail))
-                row += 1
-            frame = pd.DataFrame(rows, columns=["row", "n_tokens", "n_known", "base_score", "tail"])
-            frame["doc_id"] = batch["doc_id"].astype("Int64").reset_index(drop=True)
-            frame["score"] = trie.value.text_scores(batch["text"])
-            yield frame
+        for whole in batches:
+            for batch in (whole.iloc[i : i + ROWS] for i in range(0, len(whole), ROWS)):
+                rows = []
+                for text in batch["text"]:
+                    words, base, tail, n_known = Counter(words_of(text)), 0.0, {}, 0
+                    words[END_WORD] += 1
+                    for word, times in words.items():
+                        value = known.get(word)
+                        if value is None:
+                            tail[word] = times
+                        else:
+                            base += times * value
+                            n_known += times
+                    rows.append(((part << 40) + row, words.total(), n_known, base, list(tail.keys()), list(tail.values())))
+                    row += 1
+                frame = pd.DataFrame(rows, columns=["row", "n_tokens", "n_known", "base_score", "words", "times"])
+                frame["doc_id"] = batch["doc_id"].astype("Int64").reset_index(drop=True)
+                frame["score"] = trie.value.text_scores(batch["text"])
+                yield frame
 
     return run
 
@@ -266,10 +271,10 @@ def scores(docs: DataFrame) -> DataFrame:
     frequent = spark.sparkContext.broadcast(dict(zip(common.column("word").to_pylist(), common.column("c").to_pylist())))
     trie = spark.sparkContext.broadcast(count_trie(training))
 
-    schema = "row long, doc_id long, n_tokens long, n_known long, base_score double, tail array<struct<word:binary, n:long>>, score double"
+    schema = "row long, doc_id long, n_tokens long, n_known long, base_score double, words array<binary>, times array<long>, score double"
     part = written(slim.mapInPandas(_score(trie, frequent, symbols, distinct), schema), "scored")
-    tail = part.select("row", F.explode("tail").alias("t")).select("row", "t.word", "t.n").join(words, "word", "left")
+    tail = part.select("row", F.explode(F.arrays_zip("words", "times")).alias("t")).select("row", F.col("t.words").alias("word"), F.col("t.times").alias("n")).join(words, "word", "left")
     value = F.log10((F.coalesce("c", F.lit(0)) + 0.5) / F.lit(symbols + 0.5 * (distinct + 1)))
     tail = tail.groupBy("row").agg(F.sum(F.col("n") * value).alias("rest"), F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("rest_known"))
-    out = part.drop("tail").join(tail, "row", "left")
+    out = part.drop("words", "times").join(tail, "row", "left")
     return out.select("doc_id", held.alias("held_out"), "n_tokens", (F.col("n_known") + F.coalesce("rest_known", F.lit(0))).alias("n_known"), F.lit(symbols).cast("long").alias("train_tokens"), (F.col("base_score") + F.coalesce("rest", F.lit(0.0))).alias("base_score"), "score")
