@@ -180,12 +180,15 @@ def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
     of_text = held.select("u1", "u2", F.explode("own").alias("value")).join(spelled, "value").groupBy("u1", "u2").agg(F.map_from_entries(F.collect_list(F.struct("value", "new"))).alias("put"))
     of_text = written(of_text, "replacements")
 
-    joined = whole.join(of_text, ["u1", "u2"], "left")
+    # texts that cannot hold an entity do not move
+    hinted = F.coalesce(F.col("whole").rlike(HINT), F.lit(False))
+    joined = whole.where(hinted).join(of_text, ["u1", "u2"], "left")
     own = F.when(F.col("put").isNotNull(), matches(F.col("whole"))).otherwise(F.array().cast("array<string>"))
     joined = joined.select("row", "whole", "put", own.alias("own"))
     between = F.split("whole", PATTERN, -1)
     new = F.array_join(F.zip_with(between, F.transform("own", lambda m: F.col("put")[m]), lambda a, b: F.concat(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit("")))), "")
     joined = joined.select("row", F.size("own").alias("n_entities"), F.when(F.size("own") > 0, new).otherwise(F.col("whole")).alias("whole"))
+    joined = joined.union(whole.where(~hinted).select("row", F.lit(0).alias("n_entities"), "whole"))
     put = {"text": F.col("whole")}
     if "n_chars" in docs.columns:
         put["n_chars"] = F.when(F.col("n_entities") > 0, F.char_length("whole").cast("long")).otherwise(F.col("row.n_chars"))
