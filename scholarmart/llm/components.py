@@ -1,25 +1,32 @@
 """Links between near copies, and their components, without emitting all pairs of a group.
 
-A bucket is all ids that share a key. Twice, each bucket compares its members with one leader, and confirmed links are contracted
+A bucket is all ids that share a key. In each of ``LEADERS`` rounds a bucket compares its members with one leader (the first in one of ``ORDERS``
+random orders, so that a group of many buckets has several), and confirmed links are contracted
 to components, which joins a group of n copies by n comparisons. A bucket whose members are in one component is done:
 further pairs could only repeat a link. What may still be linked in the others is found exactly:
 
-The members of buckets whose leaders belong to one component get one reference set ``b``, and are written as differences to it:
-``new`` (not in b) and the number ``lost`` (in b only). For two members, the symmetric difference of their sets is that of their
-differences, so with ``c`` common elements in them it has ``new + new' + lost + lost' - 2 c``, which a similarity of 0.8 bounds by
-a ninth of ``n + n'``. Hence linked members either share a new element, or ``9 (new + new' + |lost - lost'|) <= n + n'``.
-The first are met by a join on new elements (a prefix of them by hash order is enough, see ``_shared``), the second by a
-join on b under that inequality. Copies with edits of their own satisfy neither, however large their group.
+The buckets whose leaders are in one component form a group with one reference set ``r``, and members are written as differences to
+it: ``new`` (not in r) and the number ``lost`` (in r only). For two members, the symmetric difference of their sets is
+that of their differences, so with ``c`` common elements in them it has ``new + new' + lost + lost' - 2 c``, which a similarity of
+0.8 bounds by a ninth of ``n + n'``. Hence linked members either share a new element, or ``9 (new + new' + |lost - lost'|)
+<= n + n'``. The first are met by a join on new elements (a prefix of them is enough, see ``_shared``), the second by a join on
+the group under that inequality. Copies with edits of their own satisfy neither, however large their group.
+
+Any ``r`` gives the same links; one like its members gives few pairs to look at. A group takes the set of its leaders' component's
+id with the most links; one of over ``CROWD`` members takes what most of a few of them, chosen by hash, have in common.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scholarmart.llm.common import written
 
-LEADERS = 2
+LEADERS, ORDERS = 3, 8
+CROWD, ASKED, WORDS = 64, 15, 16
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -43,23 +50,37 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).union(edges.select("b", "b").distinct())
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    left, right = sets.select(F.col("id").alias("a"), F.col("s").alias("x")), sets.select(F.col("id").alias("b"), F.col("s").alias("y"))
+def _confirmed(pairs: DataFrame, items: DataFrame, as_set: Callable[[Column], Column]) -> DataFrame:
+    """Pairs whose sets are similar; what stands for a set travels, and becomes the set after the joins."""
+    left, right = items.select(F.col("id").alias("a"), F.col("s").alias("x")), items.select(F.col("id").alias("b"), F.col("s").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
-    return pairs.distinct().join(left, "a").join(right, "b").where(100 * both >= 80 * (F.size("x") + F.size("y") - both)).select("a", "b")
+    found = pairs.distinct().join(left, "a").join(right, "b").select("a", "b", as_set(F.col("x")).alias("x"), as_set(F.col("y")).alias("y"))
+    return found.where(100 * both >= 80 * (F.size("x") + F.size("y") - both)).select("a", "b")
+
+
+def _bits(elements: str) -> Column:
+    """``64 * WORDS`` bits that hashed elements set, for bounds on what two sets have in common."""
+    word = lambda w: F.filter(elements, lambda e: F.shiftrightunsigned(e, 20).bitwiseAND(F.lit(WORDS - 1)) == w)
+    bit = lambda e: F.call_function("shiftleft", F.lit(1).cast("long"), e.bitwiseAND(F.lit(63)).cast("int"))
+    return F.transform(F.sequence(F.lit(0), F.lit(WORDS - 1)), lambda w: F.aggregate(word(w), F.lit(0).cast("long"), lambda a, e: a.bitwiseOR(bit(e))))
 
 
 def _shared(relative: DataFrame) -> DataFrame:
-    """Pairs of different components that share a new element and whose counts allow a link.
+    """Pairs of different components that share a new element, and whose counts and bits of new elements allow a link.
 
     Linked members have ``2 c >= new + new' + |lost - lost'| - (n + n') / 9`` common new elements, and ``new' >= c``, so
     c >= new - (n + n') / 9 >= new - n / 4. By the pigeonhole principle the first ``n / 4 + 1`` new elements of both,
     in any fixed order, have one in common.
     """
     first = F.slice(F.array_sort("new"), 1, F.floor(F.col("n") / 4).cast("int") + 1)
-    near = relative.where("size(new) > 0").select("b", "id", "component", "n", F.size("new").alias("added"), "lost", F.explode(first).alias("e"))
-    far = near.select("b", "e", *(F.col(c).alias(f"{c}2") for c in ("id", "component", "n", "added", "lost")))
-    may = (F.col("component") < F.col("component2")) & (9 * (F.abs(F.col("added") - F.col("added2")) + F.abs(F.col("lost") - F.col("lost2"))) <= F.col("n") + F.col("n2"))
+    near = relative.where("size(new) > 0").select("b", "id", "component", "n", F.size("new").alias("added"), "lost", "bits", F.explode(first).alias("e"))
+    far = near.select("b", "e", *(F.col(c).alias(f"{c}2") for c in ("id", "component", "n", "added", "lost", "bits")))
+    least, room = F.abs(F.col("lost") - F.col("lost2")), F.col("n") + F.col("n2")
+    may = (F.col("component") < F.col("component2")) & (9 * (F.abs(F.col("added") - F.col("added2")) + least) <= room)
+    # each bit of one side only stands for an element that is not common
+    alone = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q)))), F.lit(0), lambda n, c: n + c)
+    apart = alone("bits", "bits2") + alone("bits2", "bits")
+    may = may & (9 * (apart + least) <= room)
     return near.join(far, ["b", "e"]).where(may).select(F.col("id").alias("a"), F.col("id2").alias("b"))
 
 
@@ -71,20 +92,37 @@ def _close(relative: DataFrame) -> DataFrame:
     return near.join(far, "b").where(may).select(F.col("id").alias("a"), F.col("id2").alias("b"))
 
 
-def _open(keys: DataFrame, found: DataFrame | None, turn: int) -> tuple[DataFrame, DataFrame]:
-    """Members with their components, and the buckets of several components with a leader."""
+def _open(keys: DataFrame, found: DataFrame | None, turn: int, degrees: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Members with their components, and the buckets of several components with a leader: the first in an order of
+    the turn or, with ``degrees``, one of the most links."""
     state = keys.withColumn("component", F.col("id")) if found is None else keys.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    leader = F.min_by(F.struct("id", "n", "component"), F.struct(F.xxhash64(F.lit(turn), "id"), "id"))
+    rank = F.xxhash64(F.lit(turn), F.pmod("key", F.lit(ORDERS)), "id")
+    if degrees is not None:
+        state, rank = state.join(degrees, "id", "left"), -F.coalesce("degree", F.lit(0))
+    leader = F.min_by(F.struct("id", "n", "component"), F.struct(rank, F.xxhash64("id"), "id"))
     buckets = state.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), leader.alias("leader")).where("low < high")
     return state, written(buckets.select("key", "leader"), "open")
 
 
-def link(keys: DataFrame, sets: DataFrame) -> DataFrame:
-    """Components of the ids in ``keys(key, id, n)`` that share a key and whose ``sets(id, s)`` have a similarity of 0.8 or more.
+def _references(members: DataFrame, hubs: DataFrame | None, items: DataFrame, as_set: Callable[[Column], Column]) -> DataFrame:
+    """``of, r``: a set for each group."""
+    sizes = written(members.groupBy("of").count(), "sizes")
+    small = sizes.where(F.col("count") <= CROWD).select("of")
+    small = small.select("of", F.col("of").alias("id")) if hubs is None else small.join(hubs, "of", "left").select("of", F.coalesce("hub", "of").alias("id"))
+    own = small.join(items, "id").select("of", as_set(F.col("s")).alias("r"))
+    asked = members.join(sizes.where(F.col("count") > CROWD), "of").withColumn("turn", F.row_number().over(Window.partitionBy("of").orderBy(F.xxhash64("id"), "id"))).where(F.col("turn") <= ASKED)
+    common = asked.select("of", "id").join(items, "id").select("of", F.explode(as_set(F.col("s"))).alias("e")).groupBy("of", "e").count().where(2 * F.col("count") > ASKED)
+    crowds = sizes.where(F.col("count") > CROWD).select("of").join(common.groupBy("of").agg(F.collect_list("e").alias("r")), "of", "left")
+    return own.union(crowds.select("of", F.coalesce("r", F.array().cast("array<long>"))))
+
+
+def link(keys: DataFrame, items: DataFrame, as_set: Callable[[Column], Column] = lambda s: s) -> DataFrame:
+    """Components of the ids in ``keys(key, id, n)`` that share a key and whose sets have a similarity of 0.8 or more.
 
-    ``n`` is the size of the set. Returns ``(id, component)`` for linked ids only.
+    ``items(id, s)`` holds the sets as arrays of longs, or something shorter of which ``as_set`` makes them; ``n`` is the size
+    of the set. Returns ``(id, component)`` for linked ids only.
     """
-    edges = found = None
+    edges = found = degrees = None
 
     def add(new: DataFrame) -> None:
         nonlocal edges, found
@@ -96,16 +134,14 @@ def link(keys: DataFrame, sets: DataFrame) -> DataFrame:
     for turn in range(LEADERS):
         state, buckets = _open(keys, found, turn)
         inside = state.join(buckets, "key").where("component <> leader.component and 5 * least(n, leader.n) >= 4 * greatest(n, leader.n)")
-        add(_confirmed(inside.select(F.col("id").alias("a"), F.col("leader.id").alias("b")), sets))
-
-    state, buckets = _open(keys, found, LEADERS)
-    members = state.join(buckets, "key").select(F.col("leader.component").alias("b"), "id", "component", "n").distinct()
-    reference = sets.select(F.col("id").alias("b"), F.col("s").alias("r"))
-    relative = members.join(sets, "id").join(reference, "b").select("b", "id", "component", "n", F.array_except("s", "r").alias("new"), F.size("r").alias("m"))
-    relative = written(relative.withColumn("lost", F.col("m") - F.col("n") + F.size("new")), "relative")
-    both, union = F.col("n") - F.size("new"), F.col("m") + F.size("new")
-    add(relative.where((100 * both >= 80 * union) & (F.col("component") != F.col("b"))).select(F.col("id").alias("a"), "b"))
-    if found is not None:
-        relative = relative.drop("component").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    add(_confirmed(written(_shared(relative).union(_close(relative)).distinct(), "pairs"), sets))
+        add(_confirmed(inside.select(F.col("id").alias("a"), F.col("leader.id").alias("b")), items, as_set))
+    degrees = None if edges is None else written(edges.groupBy(F.col("b").alias("id")).agg(F.count("*").alias("degree")), "degrees")
+
+    state, buckets = _open(keys, found, LEADERS, degrees)
+    members = written(state.join(buckets, "key").select(F.col("leader.component").alias("of"), "id", "component", "n").distinct(), "members")
+    hubs = None if degrees is None else degrees.join(found, "id").groupBy(F.col("component").alias("of")).agg(F.max_by("id", F.struct("degree", "id")).alias("hub"))
+    references = written(_references(members, hubs, items, as_set), "references")
+    relative = members.join(items, "id").join(references, "of").select(F.col("of").alias("b"), "id", "component", "n", F.array_except(as_set(F.col("s")), F.col("r")).alias("new"), F.size("r").alias("m"))
+    relative = written(relative.withColumn("lost", F.col("m") - F.col("n") + F.size("new")).withColumn("bits", _bits("new")), "relative")
+    add(_confirmed(written(_shared(relative).union(_close(relative)).distinct(), "pairs"), items, as_set))
     return found if found is not None else keys.select("id", F.col("id").alias("component")).where("false")
