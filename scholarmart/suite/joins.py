@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from scholarmart.contracts import INT, TEXT
 from scholarmart.operators import joins
 from scholarmart.operators.aggregates import regroup
 from scholarmart.plans.facts import document_deltas, union_all
