@@ -4,11 +4,16 @@ The model is a trie of byte contexts of up to ``ORDER`` bytes. A symbol (a byte,
 longest context that the trie knows; if it was not seen there, the context escapes to the one a byte shorter, from whose counts the
 symbols of the longer one are excluded, and so on down to the uniform distribution over the symbols never seen. The
 chance to escape is estimated from the number of distinct symbols of the context (method D: each gives half a count to the
-escape), together with the mass of the symbols that the trie does not keep. Probabilities of all symbols after any text sum to 1.
+escape). Probabilities of all symbols after any text sum to 1.
 
-All training bytes are counted: every task counts runs of ``ORDER + 1`` bytes, Spark sums them, and shorter runs follow from longer
-ones. The trie keeps a run whose share of all training symbols is at least ``1 / KEPT``, which leaves at most ``KEPT`` runs
-of each length whatever the size of the corpus; that bound (about 200 MB; in practice far less) lets every task hold it.
+All training bytes are counted and no run is pruned, so the model grows with the corpus: every task counts runs of
+``ORDER + 1`` bytes, Spark sums them, and shorter runs follow from longer ones. The value of a run, the logarithm of the chance of
+its last byte, depends on the run alone, so it is worked out once for each distinct run of the table. Contexts of three bytes
+and more lie with all their longer ones where the last three bytes of the context are equal; the runs are dealt by those, and a task builds
+the tries of its part, at least ``CHUNK`` runs at a time. Shorter contexts are known to all tasks; the alphabet bounds them, not the corpus.
+
+The ``KEPT`` most frequent runs at most have their values at hand where texts are scored; the others of a text are
+joined with theirs, and summed. That decides where a value is looked up, not which value it is.
 
 The base counts words exactly over all training texts. Words with a share of at least ``1 / FREQUENT`` (so at most that many) are
 scored in the task; all others are joined with their counts.
@@ -30,7 +35,9 @@ from pyspark.sql import functions as F
 
 from scholarmart.llm.common import remainder, words_of, written
 
-ORDER, KEPT, FREQUENT = 5, 1 << 21, 1 << 20
+ORDER, KEPT, FREQUENT = 5, 1 << 20, 1 << 20
+NEAR = 3  # bytes of context by which runs are dealt
+CHUNK = 1 << 18
 PAD, END, SYMBOLS = b"\xff", b"\xfe", 256  # neither byte occurs in UTF-8
 PIECE = 1 << 19
 COUNTED = 1 << 21
@@ -82,17 +89,25 @@ def _merged(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Counts of the runs of a task; what it holds is bounded by ``COUNTED`` different runs and one list of pieces."""
-    values, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+    """Counts of the runs of a task, in all texts and in training texts; what it holds is bounded by ``COUNTED`` different runs
+    and one list of pieces for each kind of text."""
+    held = {kind: (np.empty(0, np.uint64), np.empty(0, np.int64)) for kind in (False, True)}
+
+    def counted(kind: bool) -> pd.DataFrame:
+        values, counts = held[kind]
+        held[kind] = values[:0], counts[:0]
+        return pd.DataFrame({"gram": values.view(np.int64), "n": counts, "trained": np.zeros_like(counts) if kind else counts})
+
     for batch in batches:
-        for own in _batched(batch["text"], PIECE):
-            new, n = np.unique(grams([p for _, p in own])[0], return_counts=True)
-            values, counts = _merged(np.concatenate([values, new]), np.concatenate([counts, n]))
-            if len(values) >= COUNTED:
-                yield pd.DataFrame({"gram": values.view(np.int64), "n": counts})
-                values, counts = values[:0], counts[:0]
-    if len(values):
-        yield pd.DataFrame({"gram": values.view(np.int64), "n": counts})
+        for kind in held:
+            for own in _batched(batch["text"][batch["held"] == kind], PIECE):
+                new, n = np.unique(grams([p for _, p in own])[0], return_counts=True)
+                held[kind] = _merged(np.concatenate([held[kind][0], new]), np.concatenate([held[kind][1], n]))
+                if len(held[kind][0]) >= COUNTED:
+                    yield counted(kind)
+    for kind in held:
+        if len(held[kind][0]):
+            yield counted(kind)
 
 
 def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -216,21 +231,99 @@ class Trie:
         return out
 
 
-def count_trie(texts: DataFrame) -> Trie:
-    """Count all runs of ``texts(text)`` and gather those that the trie keeps."""
-    runs = written(texts.mapInPandas(_count_grams, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")), "grams")
-    symbols = runs.agg(F.sum("n")).first()[0] or 0
-    by_order = runs.select("n", F.explode(F.array(*(F.struct(F.lit(k).alias("k"), F.col("gram").bitwiseAND(F.lit((1 << (8 * (k + 1))) - 1)).alias("run")) for k in range(ORDER + 1)))).alias("r"))
-    by_order = written(by_order.groupBy("r.k", "r.run").agg(F.sum("n").alias("n")), "runs")
-    context = F.shiftright("run", 8)
-    totals = by_order.groupBy("k", context.alias("context")).agg(F.sum("n").alias("total"))
-    large = by_order.where(F.col("n") * KEPT >= symbols).withColumn("context", context)
-    found = large.join(totals, ["k", "context"]).select("k", "run", "n", "total").toArrow()
-    k, run, n, total = (found.column(c).to_numpy() for c in ("k", "run", "n", "total"))
-    return Trie([(run[k == i].astype(np.uint64), n[k == i], total[k == i]) for i in range(ORDER + 1)])
+def _level(runs: np.ndarray, n: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs with a context of ``k`` bytes, from longer ones: counts, and counts of all symbols after their contexts."""
+    runs = runs & np.uint64((1 << (8 * (k + 1))) - 1)
+    if len(runs):
+        runs, n = _merged(runs, n)
+    owner = np.unique(runs >> np.uint64(8), return_inverse=True)[1]
+    return runs, n, np.bincount(owner, n)[owner] if len(runs) else n
+
+
+class Values:
+    """Values of some runs; the index over them is built where it is used and does not travel."""
+
+    def __init__(self, runs: np.ndarray, values: np.ndarray):
+        order = np.argsort(runs)
+        self.runs, self.values, self.index = runs[order], values[order], None
+
+    def __getstate__(self):
+        return self.__dict__ | {"index": None}
+
+    def text_scores(self, texts) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+        """log10 probability of each text as far as its runs are here, and its other runs with their numbers."""
+        self.index = self.index or Index(self.runs)
+        out, rest = np.zeros(len(texts)), []
+        for own in _batched(texts, PIECE):
+            values, starts = grams([p for _, p in own])
+            at, rows = self.index.find(values), np.array([i for i, _ in own])
+            known = at >= 0
+            chances = np.zeros(len(values))
+            chances[known] = self.values[at[known]]
+            np.add.at(out, rows, np.add.reduceat(chances, starts))
+            if not known.all():
+                of_row = np.repeat(rows, np.diff(np.append(starts, len(values)))).astype(np.uint64)
+                rest.append(np.unique((of_row << np.uint64(48) | values)[~known], return_counts=True))
+        codes, times = _merged(np.concatenate([c for c, _ in rest]), np.concatenate([n for _, n in rest])) if rest else (np.empty(0, np.uint64), np.empty(0, np.int64))
+        cuts = np.searchsorted(codes, np.arange(1, len(texts), dtype=np.uint64) << np.uint64(48))
+        runs = (codes & np.uint64((1 << 48) - 1)).astype(np.int64)
+        return out, np.split(runs, cuts), np.split(times, cuts)
+
+
+def _value(short):
+    """Values of runs that come in the order of ``near``; ``short`` has the counts of the contexts below ``NEAR`` bytes."""
+
+    def valued(part: pd.DataFrame) -> pd.DataFrame:
+        runs, trained = part["gram"].to_numpy().astype(np.uint64), part["trained"].to_numpy()
+        seen = trained > 0
+        trie = Trie(short.value + [_level(runs[seen], trained[seen], k) for k in range(NEAR, ORDER + 1)])
+        return pd.DataFrame({"gram": part["gram"], "n": part["n"], "value": trie.log_probabilities(runs)})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, total, most = [], 0, CHUNK
+        for batch in batches:
+            held.append(batch)
+            total += len(batch)
+            if total >= most:
+                whole = pd.concat(held, ignore_index=True)
+                near = whole["near"].to_numpy()
+                at = int(np.searchsorted(near, near[-1]))
+                if at:
+                    yield valued(whole[:at])
+                held = [whole[at:]]
+                total = len(whole) - at
+                most = max(CHUNK, 2 * total)
+        if total:
+            yield valued(pd.concat(held, ignore_index=True))
+
+    return run
+
+
+def run_values(texts: DataFrame) -> DataFrame:
+    """``gram, n, value`` of every distinct run of ``texts(text, held)``, by the counts of those that are not held out."""
+    counted = texts.mapInPandas(_count_grams, "gram long, n long, trained long").groupBy("gram").agg(F.sum("n").alias("n"), F.sum("trained").alias("trained"))
+    counted = written(counted, "grams")
+    low = counted.where("trained > 0").groupBy(F.col("gram").bitwiseAND(F.lit((1 << (8 * NEAR)) - 1)).alias("run")).agg(F.sum("trained").alias("n")).toArrow()
+    runs, n = low.column("run").to_numpy().astype(np.uint64), low.column("n").to_numpy()
+    short = texts.sparkSession.sparkContext.broadcast([_level(runs, n, k) for k in range(NEAR)])
+    near = F.shiftright("gram", 8).bitwiseAND(F.lit((1 << (8 * NEAR)) - 1))
+    dealt = counted.withColumn("near", near).repartition("near").sortWithinPartitions("near")
+    return written(dealt.mapInPandas(_value(short), "gram long, n long, value double"), "values")
+
+
+def _least(values: DataFrame) -> int:
+    """The smallest count that at most ``KEPT`` runs reach."""
+    rows = values.groupBy(F.least("n", F.lit(1 << 16)).alias("n")).agg(F.count("*").alias("runs"), F.sum("n").alias("mass")).toArrow().to_pylist()
+    least, reached = None, 0
+    for row in sorted(rows, key=lambda r: -r["n"]):
+        reached += row["runs"]
+        if reached > KEPT:
+            break
+        least = row["n"]
+    return least or sum(r["mass"] for r in rows) // KEPT + 1
 
 
-def _score(trie, frequent, symbols: int, distinct: int):
+def _score(values, frequent, symbols: int, distinct: int):
     denominator = np.log10(symbols + 0.5 * (distinct + 1))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -253,7 +346,7 @@ def _score(trie, frequent, symbols: int, distinct: int):
                     row += 1
                 frame = pd.DataFrame(rows, columns=["row", "n_tokens", "n_known", "base_score", "words", "times"])
                 frame["doc_id"] = batch["doc_id"].astype("Int64").reset_index(drop=True)
-                frame["score"] = trie.value.text_scores(batch["text"])
+                frame["score"], frame["runs"], frame["run_times"] = values.value.text_scores(batch["text"])
                 yield frame
 
     return run
@@ -269,12 +362,19 @@ def scores(docs: DataFrame) -> DataFrame:
     symbols, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     common = words.where(F.col("c") * FREQUENT >= symbols).toArrow()
     frequent = spark.sparkContext.broadcast(dict(zip(common.column("word").to_pylist(), common.column("c").to_pylist())))
-    trie = spark.sparkContext.broadcast(count_trie(training))
+    values = run_values(slim.select("text", held.alias("held")))
+    least = _least(values)
+    near = values.where(F.col("n") >= least).select("gram", "value").toArrow()
+    near = spark.sparkContext.broadcast(Values(near.column("gram").to_numpy().astype(np.uint64), near.column("value").to_numpy()))
 
-    schema = "row long, doc_id long, n_tokens long, n_known long, base_score double, words array<binary>, times array<long>, score double"
-    part = written(slim.mapInPandas(_score(trie, frequent, symbols, distinct), schema), "scored")
+    schema = "row long, doc_id long, n_tokens long, n_known long, base_score double, words array<binary>, times array<long>, score double, runs array<long>, run_times array<long>"
+    part = written(slim.mapInPandas(_score(near, frequent, symbols, distinct), schema), "scored")
     tail = part.select("row", F.explode(F.arrays_zip("words", "times")).alias("t")).select("row", F.col("t.words").alias("word"), F.col("t.times").alias("n")).join(words, "word", "left")
     value = F.log10((F.coalesce("c", F.lit(0)) + 0.5) / F.lit(symbols + 0.5 * (distinct + 1)))
-    tail = tail.groupBy("row").agg(F.sum(F.col("n") * value).alias("rest"), F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("rest_known"))
-    out = part.drop("words", "times").join(tail, "row", "left")
-    return out.select("doc_id", held.alias("held_out"), "n_tokens", (F.col("n_known") + F.coalesce("rest_known", F.lit(0))).alias("n_known"), F.lit(symbols).cast("long").alias("train_tokens"), (F.col("base_score") + F.coalesce("rest", F.lit(0.0))).alias("base_score"), "score")
+    tail = tail.select("row", (F.col("n") * value).alias("base"), F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0).alias("known"), F.lit(0.0).alias("own"))
+    far = values.where(F.col("n") < least).select("gram", "value")
+    runs = part.select("row", F.explode(F.arrays_zip("runs", "run_times")).alias("t")).select("row", F.col("t.runs").alias("gram"), F.col("t.run_times").alias("times")).join(far, "gram")
+    tail = tail.union(runs.select("row", F.lit(0.0).alias("base"), F.lit(0).alias("known"), (F.col("times") * F.col("value")).alias("own")))
+    tail = tail.groupBy("row").agg(F.sum("base").alias("rest"), F.sum("known").alias("rest_known"), F.sum("own").alias("rest_own"))
+    out = part.drop("words", "times", "runs", "run_times").join(tail, "row", "left")
+    return out.select("doc_id", held.alias("held_out"), "n_tokens", (F.col("n_known") + F.coalesce("rest_known", F.lit(0))).alias("n_known"), F.lit(symbols).cast("long").alias("train_tokens"), (F.col("base_score") + F.coalesce("rest", F.lit(0.0))).alias("base_score"), (F.col("score") + F.coalesce("rest_own", F.lit(0.0))).alias("score"))

@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from scholarmart.llm import ppm
 from scholarmart.llm.decontamination import contained_items, plain_words, without_items
 from scholarmart.llm.language import identify, with_language
 from scholarmart.llm.licenses import BASE, NOTICES, Searcher, edits, plain, scan
@@ -163,6 +164,19 @@ def test_scores_equal_brute_force(docs_of, odd_rows):
     assert scores(docs_of([])).count() == 0
 
 
+@pytest.mark.parametrize("kept, chunk", [(64, 1 << 18), (1000, 50), (1, 1)])
+def test_runs_beyond_the_broadcast_part_are_scored_in_full(docs_of, odd_rows, monkeypatch, kept, chunk):
+    monkeypatch.setattr(ppm, "KEPT", kept)
+    monkeypatch.setattr(ppm, "CHUNK", chunk, raising=False)
+    rng = random.Random(8)
+    rows = odd_rows + [(100 + i, " ".join(f"{rng.choice('bdfgk')}{rng.choice('aeiouä')}{rng.randrange(40)}" for _ in range(60))) for i in range(60)]
+    rows = [(r[0], r[1]) for r in rows]
+    trie, full = trie_of([t or "" for i, t in rows if not held(i, 5, 1)], 1)
+    assert len(full[ORDER][0]) > 2 * kept
+    wanted = collections.Counter((i, round(float(trie.text_scores([t])[0]), 6)) for i, t in rows)
+    assert collections.Counter((r.doc_id, round(r.score, 6)) for r in scores(docs_of(rows)).collect()) == wanted
+
+
 # --- licenses ---------------------------------------------------------------------------
 
 
