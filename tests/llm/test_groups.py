@@ -120,6 +120,16 @@ def test_lines_equal_brute_force(docs_of):
     assert found == wanted
 
 
+def test_one_edit_in_a_short_line_is_found(docs_of):
+    rng = random.Random(7)
+    scripts = ["abcdefghijklmnopqrstuvwxyz", "абвгдежзийклмнопрстуфхцчшщ", "天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收"]
+    lines = ["".join(rng.choice(letters) for _ in range(size)) for letters in scripts for size in (50, 60, 75, 90)]
+    edits = [line[: len(line) // 2] + "7" + line[len(line) // 2 + 1 :] for line in lines]
+    rows = [(1, "\n".join(lines)), (2, "\n".join([*edits, "own"])), (3, "own line at the end\n\u00a0\t" + lines[0].upper() + "\r\u3000")]
+    found = {r.doc_id: (r.text, r.n_dropped) for r in dedup_lines(docs_of(rows)).collect()}
+    assert found == {1: (rows[0][1], 0), 2: ("own", 12), 3: ("own line at the end", 1)}
+
+
 def test_lines_of_odd_rows(docs_of, odd_rows):
     out = dedup_lines(docs_of(odd_rows).withColumnRenamed("lang", "n_lines")).collect()
     assert len(out) == len(odd_rows)
