@@ -29,16 +29,16 @@ _NAME = r"\p{Lu}[\p{L}'’-]+"
 #: in this order, the first that matches at a place decides
 KINDS = {
     "email": r"(?<![\w.+-])[\w.+-]+@[\w-]+(?:\.[\w-]+)+",
-    "secret": r"\bAKIA[0-9A-Z]{16}\b|(?<=\bpassword=)[^\s\"']{6,}|(?<=\btoken = \")[0-9A-Za-z]{16,}|\bgh[pousr]_[0-9A-Za-z]{20,}",
-    "phone": r"(?<![\w+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3}[ .-]?\d{3,4}(?!\w)|(?<!\w)\(\d{3}\) \d{3}-\d{4}(?!\w)|(?<![\w-])\d{3}-\d{3}-\d{4}(?![\w-])",
+    "secret": r"\b(?i:AKIA[0-9A-Z]{16})\b|(?<=\b(?i:password)=)[^\s\"']{6,}|(?<=\b(?i:token) = \")[0-9A-Za-z]{16,}|\b(?i:gh[pousr])_[0-9A-Za-z]{20,}",
+    "phone": r"(?<![\w+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3}[ .-]?\d{3,4}(?!\w)|(?<![\w+])\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\w)|(?<!\w)\(\d{3}\) \d{3}-\d{4}(?!\w)|(?<![\w-])\d{3}-\d{3}-\d{4}(?![\w-])",
     "social": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "card": r"(?<![\w-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?![\w-])",
-    "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w.])",
+    "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\w|\.\d)",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?\b",
-    "name": rf"\b(?:{'|'.join(TITLES.values())})\.? {_NAME}(?: {_NAME})?|\b(?:{'|'.join(GIVEN.values())}) {_NAME}",
+    "name": rf"\b(?iu:{'|'.join(TITLES.values())})\.? {_NAME}(?: {_NAME})?|\b(?iu:{'|'.join(GIVEN.values())}) {_NAME}",
 }
 #: a text without any of these has no entity; looked for first, as most texts have none
-HINT = rf"@|\d{{3}}|\d\.\d|AKIA|password=|token = |gh[pousr]_|\b(?:{'|'.join([*TITLES.values(), *GIVEN.values()])})\b"
+HINT = rf"@|\d{{3}}|\d\.\d|\+\d|(?i:AKIA|password=|token = |gh[pousr]_)|\b(?iu:{'|'.join([*TITLES.values(), *GIVEN.values()])})\b"
 PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
 KEY = "change-me"
 MOST_ROUNDS = 64
@@ -53,7 +53,7 @@ def _kind(value: Column) -> Column:
     out = None
     for kind, pattern in KINDS.items():
         # look-arounds have been checked where the entity stood
-        bare = value.rlike({"secret": r"^(?:AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{20,})$"}.get(kind, f"^(?:{pattern})$"))
+        bare = value.rlike({"secret": r"^(?:(?i:AKIA[0-9A-Z]{16})|(?i:gh[pousr])_[0-9A-Za-z]{20,})$"}.get(kind, f"^(?:{pattern})$"))
         out = F.when(bare, kind) if out is None else out.when(bare, kind)
     return out.otherwise("secret")
 
@@ -65,8 +65,8 @@ def _digits(value: Column) -> Column:
 def _parts(value: Column, kind: Column) -> Column:
     """The parts of an entity that get surrogates: a name's words, else the entity itself."""
     words = F.split(value, " ")
-    title = words[0].rlike(rf"^(?:{'|'.join(TITLES.values())})\.?$")
-    gender = F.when(words[0].rlike(rf"^(?:{TITLES['f']})\.?$|^(?:{GIVEN['f']})$"), "f").when(words[0].rlike(rf"^(?:{TITLES['m']})\.?$|^(?:{GIVEN['m']})$"), "m").otherwise("")
+    title = words[0].rlike(rf"^(?iu:{'|'.join(TITLES.values())})\.?$")
+    gender = F.when(words[0].rlike(rf"^(?iu:{TITLES['f']})\.?$|^(?iu:{GIVEN['f']})$"), "f").when(words[0].rlike(rf"^(?iu:{TITLES['m']})\.?$|^(?iu:{GIVEN['m']})$"), "m").otherwise("")
     given = lambda i: F.when(title, (i == 1) & (F.size(words) == 3)).otherwise(i == 0)
     role = lambda w, i: F.when(title & (i == 0), "title").when(given(i), F.concat(F.lit("given-"), gender)).otherwise("surname")
     as_name = F.transform(words, lambda w, i: F.struct(role(w, i).alias("role"), w.alias("raw")))
@@ -115,7 +115,7 @@ def _name(key: str, consonants: str, vowels: str, female: str, male: str) -> Col
 
 def _surrogate(key: str) -> Column:
     role, canonical = F.col("role"), F.col("canonical")
-    random = _shaped(key, F.when(role == "card", 1).when(role == "phone", F.greatest(F.lit(0), F.length("canonical") - 10)).when(role == "iban", 2).when((role == "secret") & canonical.rlike("^(AKIA|gh[pousr]_)"), 4).otherwise(0))
+    random = _shaped(key, F.when(role == "card", 1).when(role == "phone", F.greatest(F.lit(0), F.length("canonical") - 10)).when(role == "iban", 2).when((role == "secret") & canonical.rlike("^(?i:AKIA|gh[pousr]_)"), 4).otherwise(0))
     card_body = F.concat(F.substring(random, F.lit(1), F.length(random) - 1), F.lit("0"))
     card = F.when(_luhn(canonical) == 0, F.concat(F.substring(random, F.lit(1), F.length(random) - 1), ((10 - _luhn(card_body)) % 10).cast("string"))).otherwise(random)
     octet = lambda i: (_draw(key, 254, i) + 1).cast("string")

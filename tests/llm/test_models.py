@@ -312,6 +312,17 @@ def test_surrogates_are_consistent_and_distinct(docs_of, odd_rows):
     assert other[50] != by[50].text and replace_entities(docs_of([])).count() == 0
 
 
+def test_surrogates_in_any_case_and_before_a_full_stop(docs_of):
+    texts = {
+        'TOKEN = "9233A8EC11223344AB"': "9233A8EC", "PASSWORD=HUNTER2HUNTER": "HUNTER2", "GHP_ABCDEFGHIJ0123456789": "ABCDEFGHIJ", "MRS. MARY STONE CAME": "STONE", "ГОСПОЖА АННА ИВАНОВА": "ИВАНОВА",
+        "Seen from 152.143.123.131.": "152.143.123.131", "Call +44 20 7946 0958.": "7946 0958", "Or +33 1 42 68 53 00.": "42 68 53 00",
+    }
+    out = {r.doc_id: r for r in replace_entities(docs_of(list(enumerate(texts)))).collect()}
+    for i, (text, private) in enumerate(texts.items()):
+        assert out[i].n_entities == 1 and private not in out[i].text and len(out[i].text.split()) == len(text.split()), out[i]
+    assert out[3].text.startswith("MRS. ") and out[3].text.endswith(" CAME") and out[3].text.isupper() and all(out[i].text.endswith(".") for i in (5, 6, 7))
+
+
 def test_surrogates_of_a_small_space_stay_distinct(docs_of):
     rows = [(i, f"{i // 100:03d}-{i % 100:02d}-1234 and 10.0.0.{i}") for i in range(200)]
     out = replace_entities(docs_of(rows)).collect()
