@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from scholarmart.llm import byte_bpe
 from scholarmart.llm.common import table
 from scholarmart.llm.decontamination import contained_items
+from scholarmart.llm.fim import fill_in_middle, restore
 from scholarmart.llm.fingerprints import fingerprints
 from scholarmart.llm.language import identify
+from scholarmart.llm.lexical import search
 from scholarmart.llm.licenses import scan
 from scholarmart.llm.line_dedup import dedup_lines
 from scholarmart.llm.mixing import mix
@@ -55,6 +61,26 @@ def op10_licenses(spark, sf_dir):
     return scan(table(spark, sf_dir, "documents"))
 
 
+def _sha256(column):
+    return F.sha2(F.col(column).cast("binary"), 256)
+
+
+def op11_fim(spark, sf_dir):
+    whole = restore(fill_in_middle(table(spark, sf_dir, "documents")))
+    return whole.select("doc_id", "n", "form", "prefix_chars", "middle_chars", _sha256("output").alias("output_sha256"), _sha256("restored").alias("restored_sha256"))
+
+
+def op12_lexical(spark, sf_dir):
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_byte_bpe(spark, sf_dir, vocabulary=None):
+    ranks = (vocabulary or public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    ids = byte_bpe.encode(table(spark, sf_dir, "documents"), *ranks)
+    whole = ids.withColumn("decoded", byte_bpe.decode(spark, F.col("ids"), *ranks))
+    return whole.select("doc_id", "n_tokens", _sha256("ids").alias("ids_sha256"), _sha256("decoded").alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_line_dedup": op2_line_dedup,
@@ -66,6 +92,9 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_decontamination": op9_decontamination,
     "op10_licenses": op10_licenses,
+    "op11_fim": op11_fim,
+    "op12_lexical": op12_lexical,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 
 #: exact components of all links, by counting the shared shingles of every pair
@@ -117,7 +146,47 @@ counts AS (
 SELECT *, n_found / n_shingles AS containment FROM counts WHERE 10 * n_found >= 8 * n_shingles
 """
 
+#: units as lists of lines; the text itself is what the output restores
+OP11_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), units AS (
+  SELECT *, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS u,
+    list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(h, i, 8) AS BIGINT)) AS d FROM texts
+), cuts AS (
+  SELECT *, least(d[1] % (len(u) + 1), d[2] % (len(u) + 1)) AS a, greatest(d[1] % (len(u) + 1), d[2] % (len(u) + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') THEN 'plain' WHEN d[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM units
+), parts AS (
+  SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:], '') AS s FROM cuts
+)
+SELECT doc_id, CAST(len(u) AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts
+"""
+
+#: scores of every document that shares a term with an item
+OP12_SQL = r"""
+WITH tokens AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents
+), wanted AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), lengths AS (SELECT doc_id, count(*) AS n FROM tokens GROUP BY doc_id),
+whole AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM lengths),
+sizes AS (SELECT doc_id, 100 - 50 + ((50 * n * docs) // total) AS m FROM lengths, whole),
+counts AS (SELECT doc_id, term, count(*) AS tf FROM tokens WHERE term IN (SELECT term FROM wanted) GROUP BY ALL),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM counts, whole GROUP BY term, docs),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM wanted JOIN counts USING (term) JOIN weights USING (term) JOIN sizes USING (doc_id) GROUP BY item_id, doc_id
+), ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM scores WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 50
+"""
+
 SQL = {
+    "op11_fim": OP11_SQL,
+    "op12_lexical": OP12_SQL,
     "op6_source_mix": OP6_SQL,
     "op9_decontamination": OP9_SQL,
     "op4_near_dedup": OP4_SQL,
