@@ -25,11 +25,13 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 import tiktoken
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scholarmart.llm.common import written
 
@@ -37,7 +39,9 @@ CHUNK, OVERLAP, SPREAD = 8192, 256, 32768
 #: code points that a pre-token's match may look at behind its end
 MARGIN = 4
 #: pre-tokens whose ids a task remembers before it forgets all of them
-CACHE = 1 << 18
+CACHE = 1 << 16
+#: texts whose ids are held at a time
+ROWS = 256
 
 
 class Vocabulary:
@@ -162,14 +166,20 @@ def encoded(text: str, own: Vocabulary, chunk: int = CHUNK, overlap: int = OVERL
     return b"".join(own.encode(piece) for piece in pre_tokens(text, own.split, chunk, overlap))
 
 
-def _encoder(sent: Broadcast, chunk: int, overlap: int):
-    @F.pandas_udf("binary")
-    def encode_texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def _encode_texts(sent: Broadcast, chunk: int, overlap: int, decoded: bool):
+    """Ids of whole texts, and if asked for the bytes they stand for, some hundred at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _vocabulary(*sent.value)
-        for texts in batches:
-            yield pd.Series([encoded(t, own, chunk, overlap) for t in texts], dtype=object)
+        for batch in batches:
+            for part in (batch.slice(at, ROWS) for at in range(0, batch.num_rows, ROWS)):
+                ids = [encoded(t.as_py(), own, chunk, overlap) for t in part.column("text")]
+                columns = {"doc_id": part.column("doc_id"), "ids": pa.array(ids, pa.binary())}
+                if decoded:
+                    columns["decoded"] = pa.array(map(own.decode, ids), pa.binary())
+                yield pa.RecordBatch.from_pydict(columns)
 
-    return encode_texts
+    return run
 
 
 # --- the chunks of long texts ----------------------------------------------------------
@@ -250,33 +260,45 @@ def _encode_rests(sent: Broadcast, chunk: int, overlap: int):
     return run
 
 
-def _concatenate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for (key,), rows in _runs(batches, "key"):
-        yield pd.DataFrame({"key": [key], "ids": [b"".join(row.ids for row in rows)]})
+def _concatenate(sent: Broadcast, decoded: bool):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = _vocabulary(*sent.value)
+        for (key,), rows in _runs(batches, "key"):
+            ids = b"".join(row.ids for row in rows)
+            yield pd.DataFrame({"key": [key], "ids": [ids]} | ({"decoded": [own.decode(ids)]} if decoded else {}))
+
+    return run
 
 
-def _encode_long(long: DataFrame, sent: Broadcast, chunk: int, overlap: int) -> DataFrame:
-    """``key, ids`` of every different text of ``long``."""
+def _encode_long(long: DataFrame, sent: Broadcast, chunk: int, overlap: int, decoded: bool) -> DataFrame:
+    """``key, ids`` of every different text of ``long``, and if asked for ``decoded``."""
     chunks = _chunks(long, chunk, overlap)
     rows = chunks.join(_pieces(chunks, sent, chunk, overlap), ["key", "number"])
     several = F.col("high") - F.col("piece") * chunk > chunk + overlap
     schema = "key string, piece int, ids binary"
     pieces = rows.where(~several).mapInPandas(_encode_pieces(sent, chunk, overlap), schema)
     rests = rows.where(several).repartition("key").sortWithinPartitions("key", "piece", "number").mapInPandas(_encode_rests(sent, chunk, overlap), schema)
-    return pieces.union(rests).repartition("key").sortWithinPartitions("key", "piece").mapInPandas(_concatenate, "key string, ids binary")
+    return pieces.union(rests).repartition("key").sortWithinPartitions("key", "piece").mapInPandas(_concatenate(sent, decoded), "key string, ids binary" + ", decoded binary" * decoded)
 
 
 # --- frames --------------------------------------------------------------------------------
 
 
-def encode(docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP, spread: int = SPREAD) -> DataFrame:
-    """``doc_id, n_tokens, ids`` of every row of ``docs``; ids are little-endian unsigned 32-bit integers in one binary value."""
+def encode(
+    docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP, spread: int = SPREAD, decoded: bool = False
+) -> DataFrame:
+    """``doc_id, n_tokens, ids`` of every row of ``docs``; ids are little-endian unsigned 32-bit integers in one binary value.
+
+    With ``decoded``, ids are decoded where they are made, and their bytes added as a column.
+    """
     sent = vocabulary(docs.sparkSession, path, pattern)
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    values = ["ids", "decoded"] if decoded else ["ids"]
+    schema = T.StructType([T.StructField("doc_id", rows.schema["doc_id"].dataType), *(T.StructField(v, T.BinaryType()) for v in values)])
     long = rows.where(F.length("text") > spread).select("doc_id", "text", F.sha2(F.col("text").cast("binary"), 256).alias("key"))
-    short = rows.where(F.length("text") <= spread).select("doc_id", _encoder(sent, chunk, overlap)("text").alias("ids"))
-    both = short.union(long.select("doc_id", "key").join(_encode_long(long, sent, chunk, overlap), "key").select("doc_id", "ids"))
-    return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids")
+    short = rows.where(F.length("text") <= spread).mapInArrow(_encode_texts(sent, chunk, overlap, decoded), schema)
+    both = short.union(long.select("doc_id", "key").join(_encode_long(long, sent, chunk, overlap, decoded), "key").select("doc_id", *values))
+    return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), *values)
 
 
 def decode(spark: SparkSession, ids: Column, path: str, pattern: str) -> Column:

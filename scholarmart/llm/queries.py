@@ -76,8 +76,7 @@ def op12_lexical(spark, sf_dir):
 
 def op13_byte_bpe(spark, sf_dir, vocabulary=None):
     ranks = (vocabulary or public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
-    ids = byte_bpe.encode(table(spark, sf_dir, "documents"), *ranks)
-    whole = ids.withColumn("decoded", byte_bpe.decode(spark, F.col("ids"), *ranks))
+    whole = byte_bpe.encode(table(spark, sf_dir, "documents"), *ranks, decoded=True)
     return whole.select("doc_id", "n_tokens", _sha256("ids").alias("ids_sha256"), _sha256("decoded").alias("decoded_sha256"))
 
 
