@@ -107,6 +107,15 @@ def fingerprints(docs: DataFrame, slice_rows: int = 1000) -> DataFrame:
     return both.mapInPandas(_compare, OUT)
 
 
+def _band_keys(low: np.ndarray) -> np.ndarray:
+    """A 64-bit key for each band of minima; two bands with one key are compared as candidates, so a clash does no harm."""
+    key = np.arange(1, len(low) + 1, dtype=np.uint64) * _MUL
+    for column in low.T.astype(np.uint64):
+        key = (key ^ column) * _MUL
+        key ^= key >> np.uint64(29)
+    return key.view(np.int64)
+
+
 def _banded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
@@ -114,7 +123,7 @@ def _banded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             data = _bytes(text)
             if data:
                 low = minhash(data).reshape(-1, BAND)
-                rows.append((doc, len(np.unique(runs(data))), [f"{i}:{band.tobytes().hex()}" for i, band in enumerate(low)]))
+                rows.append((doc, len(np.unique(runs(data))), _band_keys(low)))
         yield pd.DataFrame(rows, columns=["id", "n", "bands"])
 
 
@@ -138,7 +147,7 @@ def near_copies(docs: DataFrame) -> DataFrame:
     classes = written(hashed.groupBy("m").agg(F.min("doc_id").alias("id")), "equal")
     owners = written(hashed.select("doc_id", "m").join(classes, "m").select("doc_id", "id"), "owners")
     texts = slim.join(owners.where("doc_id = id").select("doc_id"), "doc_id")
-    banded = written(texts.mapInPandas(_banded, "id long, n long, bands array<string>"), "bands")
+    banded = written(texts.mapInPandas(_banded, "id long, n long, bands array<long>"), "bands")
     keys = banded.select("id", "n", F.explode("bands").alias("key"))
     crowded = written(keys.groupBy("key").count().where("count > 1").select("key"), "crowded")
     keys = written(keys.join(crowded, "key"), "candidates")
