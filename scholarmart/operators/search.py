@@ -7,12 +7,12 @@ from collections.abc import Sequence
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scholarmart.functions.text import snippet, truncated
 from scholarmart.functions.vectors import dot, literal_vector, norm
-from scholarmart.operators.ranking import global_row_number, top_k, top_k_per_group
+from scholarmart.operators.ranking import top_k, top_k_per_group
 from scholarmart.session import materialize
 
 
@@ -101,6 +101,41 @@ def fuse(rankings: Sequence[DataFrame], k: int, key: str = "id", constant: int =
     return top_k(fused, k, F.round("puntaje", 12).desc(), F.col(key).asc())
 
 
+def positions_of(scores: DataFrame, wanted: DataFrame, key: str = "id", score: str = "puntaje") -> DataFrame:
+    """``key, posicion`` of a few wanted rows in a list by falling score, then key; the list itself is not sorted.
+
+    Every row is counted between the two wanted ones that it lies between, so one small sum per wanted row leaves a task.
+    ``wanted`` must be a bounded list; it travels as one array.
+    """
+    place = lambda: F.struct((-F.col(score)).alias("s"), F.col(key).alias("k"))
+    marks = scores.join(wanted.select(key), key, "left_semi").agg(F.array_sort(F.collect_list(place())).alias("m")).scalar()
+    behind = F.size(F.filter(F.col("_m"), lambda m: m < F.col("_p")))
+    gaps = scores.select(place().alias("_p"), marks.alias("_m")).select(behind.alias("_gap")).groupBy("_gap").agg(F.count("*").alias("_n"))
+    upto = Window.orderBy("_gap")  # one row for each wanted row
+    counted = gaps.select("_gap", (F.sum("_n").over(upto)).alias("_sum"))
+    # a wanted row is the last of its own gap: the rows ahead of it are those of the gaps up to there, less itself
+    listed = scores.sparkSession.range(1).select(F.posexplode(marks).alias("_gap", "_row"))
+    return listed.join(counted, "_gap").select(F.col("_row.k").alias(key), F.col("_sum").cast("long").alias("posicion"))
+
+
+def fuse_scores(lists: Sequence[DataFrame], k: int, key: str = "id", score: str = "puntaje", constant: int = 60) -> DataFrame:
+    """Reciprocal-rank fusion of scored lists, ranked as a whole but never sorted as a whole.
+
+    With ``m = len(lists)``, a row behind place ``top`` of every list gets less than ``m / (constant + top)``, and each of the first ``k`` of any list
+    at least ``1 / (constant + k)``. So only the first ``top = (m - 1) * constant + m * k`` of each list can be among the best ``k``; their places
+    in the other lists are counted (``positions_of``). Equal scores are ordered by key.
+    """
+    top = (len(lists) - 1) * constant + len(lists) * k
+    order = [F.col(score).desc(), F.col(key).asc()]
+    lists = [materialize(scores.select(key, score)) for scores in lists]  # two narrow columns, read three times
+    wanted = None
+    for scores in lists:
+        first = top_k(scores, top, *order).select(key)
+        wanted = first if wanted is None else wanted.unionByName(first)
+    wanted = materialize(wanted.distinct())
+    return fuse([positions_of(scores, wanted, key, score) for scores in lists], k, key, constant)
+
+
 def hybrid_search(
     docs: DataFrame,
     query: Sequence[float],
@@ -116,10 +151,17 @@ def hybrid_search(
     Both lists are ranked as a whole, so a document far down in both still counts; one without a vector is ranked
     by its words alone.
     """
-    near = scored(docs, query, vector).filter(F.col("similitud") >= threshold).select(key, "similitud")
-    semantic = global_row_number(near, [F.round("similitud", 9).desc(), F.col(key).asc()], "posicion")
-    lexical = global_row_number(lexical_scores(docs, terms, tokens, key), [F.round("puntaje", 9).desc(), F.col(key).asc()], "posicion")
-    return fuse([semantic, lexical], k, key)
+    return fuse_scores([semantic_scores(docs, query, threshold, key, vector), rounded(lexical_scores(docs, terms, tokens, key))], k, key)
+
+
+def semantic_scores(docs: DataFrame, query: Sequence[float], threshold: float, key: str = "id", vector: str = "embedding") -> DataFrame:
+    """The similarity of every document at or above a threshold, as a list to fuse."""
+    near = scored(docs, query, vector).filter(F.col("similitud") >= threshold)
+    return near.select(key, F.round("similitud", 9).alias("puntaje"))
+
+
+def rounded(scores: DataFrame) -> DataFrame:
+    return scores.withColumn("puntaje", F.round("puntaje", 9))
 
 
 def near_misses(docs: DataFrame, query: Sequence[float], k: int, lower: float, threshold: float, key: str = "id") -> DataFrame:

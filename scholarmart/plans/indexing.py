@@ -16,6 +16,8 @@ from scholarmart.contracts import EMBEDDING_DIMS
 from scholarmart.functions.scalar import embedding_text
 from scholarmart.functions.text import html_text, html_title, search_tokens
 from scholarmart.operators.ranking import global_row_number
+from scholarmart.plans import postings
+from scholarmart.sources import versions
 
 
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -57,3 +59,18 @@ def ingest(new: DataFrame, existing: DataFrame, order: list[Column]) -> tuple[Da
     docs = numbered.withColumn("id", F.col("_n") + last.scalar()).drop("_n")
     bridge = docs.select(F.col("id").alias("id_documento"), F.col("id_uploader").alias("id_usuario"), F.lit(1).cast("short").alias("orden"))
     return docs, bridge
+
+
+def store(docs: DataFrame, bridge: DataFrame, root: str, *texts: str) -> versions.Manifest:
+    """Documents with their search tokens, author rows and postings, in one commit: a document is stored and found, or neither.
+
+    ``docs`` gets the column ``texto_busqueda`` from the named texts; both frames are read back from their files, so ids stay as given.
+    """
+    spark, folder = docs.sparkSession, versions.new_folder()
+    base = versions.manifest(spark, root)
+    whole = docs.withColumn("texto_busqueda", search_tokens(*texts))
+    added: dict[str, versions.Parts] = {"documento": versions.write_parts(whole, root, f"{folder}/documento")}
+    stored = versions.scan(spark, root, versions.Manifest(1, added), "documento", whole.schema)
+    own = bridge.join(stored.select(F.col("id").alias("id_documento")), "id_documento", "left_semi").select(*bridge.columns)
+    added["documento_autor"] = versions.write_parts(own, root, f"{folder}/documento_autor")
+    return versions.commit(spark, root, base, added={**added, **postings.segment(stored, root, base, "texto_busqueda")})

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scholarmart.contracts import SOURCE_TABLES, WAREHOUSE_TABLES, Contract, check_schema
+from scholarmart.sources import versions
 
 MONTH_PARTITION = "mes_fecha"
 
@@ -19,8 +20,10 @@ def contract_of(name: str) -> Contract:
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Scan one declared table; the schema is given, never inferred."""
+    """Scan one declared table, as the newest manifest has it if the folder is versioned; the schema is given, never inferred."""
     contract = contract_of(name)
+    if versions.is_versioned(spark, root) and name in (now := versions.manifest(spark, root)).tables:
+        return versions.scan(spark, root, now, name, contract.schema)
     return check_schema(spark.read.schema(contract.schema).parquet(f"{root}/{name}"), contract)
 
 
@@ -86,6 +89,12 @@ def list_tables(spark: SparkSession, database: str | None = None, pattern: str =
     return names.select(F.col("tableName").alias("table_name")).orderBy("table_name")
 
 
+def write_version(df: DataFrame, root: str, folder: str, contract: Contract) -> dict[str, list[str]]:
+    """Write content of a declared table below a fresh folder of a versioned root; returns its parts for a commit."""
+    by = contract.partition_by[0] if contract.partition_by else None
+    return versions.write_parts(balanced(with_partitions(df, contract), contract), root, f"{folder}/{contract.name}", by)
+
+
 def append(df: DataFrame, root: str, contract: Contract) -> None:
     write_table(df, root, contract, "append")
 

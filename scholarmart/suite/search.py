@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from scholarmart.contracts import WAREHOUSE_TABLES
 from scholarmart.functions.scalar import round_half_up
 from scholarmart.functions.text import search_tokens
-from scholarmart.operators import neighbours, ranking, search, suggest
-from scholarmart.plans import indexing, metrics
+from scholarmart.operators import neighbours, ranking, search, selection, suggest
+from scholarmart.plans import indexing, metrics, postings
 from scholarmart.plans.popularity import load_popularity
 from scholarmart.session import scratch_path
 from scholarmart.sources.tables import ensure_table
@@ -81,11 +81,44 @@ def bm25_sql(source: str, terms=TERMS, k1=1.2, b=0.75) -> str:
         SELECT id, {score} AS puntaje FROM c, s WHERE {any_term} > 0"""
 
 
+INDEXES: dict[tuple[str, str], str] = {}
+
+
+def stored_index(r) -> postings.Index:
+    """The postings of a folder's documents: written when they are first asked for in a session, read by buckets from then on."""
+    key = (r.spark.sparkContext.applicationId, r.dir)
+    if key not in INDEXES:
+        root = scratch_path(r.spark, "postings")
+        postings.append(r.token_docs, root)
+        INDEXES[key] = root
+    return postings.Index(r.spark, INDEXES[key])
+
+
 @query("h_4", f"SELECT id, {rnd('puntaje', 6)} AS puntaje FROM ({bm25_sql('token_docs')}) ORDER BY round(puntaje, 9) DESC, id LIMIT 25")
 def h_4(r):
+    return stored_index(r).search(TERMS, 25).withColumn("puntaje", round_half_up("puntaje", 6))
+
+
+@query("h_4_scan", f"SELECT id, {rnd('puntaje', 6)} AS puntaje FROM ({bm25_sql('token_docs')}) ORDER BY round(puntaje, 9) DESC, id LIMIT 25")
+def h_4_scan(r):
+    """Without stored postings: the tokens of all documents are read."""
     return search.lexical_search(r.token_docs, TERMS, 25).withColumn("puntaje", round_half_up("puntaje", 6))
 
 
+@query(
+    "h_4_segments",
+    f"""SELECT id, {rnd('puntaje', 6)} AS puntaje FROM ({bm25_sql("(SELECT t.* FROM token_docs t LEFT JOIN labels l ON l.doc_id = t.id WHERE coalesce(l.toxic, 0) = 0)")})""",
+)
+def h_4_segments(r):
+    """Two batches of documents, by language; the toxic ones are removed after that; all scores."""
+    root = scratch_path(r.spark, "segments")
+    german = r.table("documents").filter("lang = 'de'").select(F.col("doc_id").alias("id"))
+    postings.append(r.token_docs.join(german, "id", "left_semi"), root)
+    postings.append(r.token_docs.join(german, "id", "left_anti"), root)
+    postings.remove(r.table("labels").filter("toxic = 1").select(F.col("doc_id").alias("id")), root)
+    return postings.Index(r.spark, root).scores(TERMS).withColumn("puntaje", round_half_up("puntaje", 6))
+
+
 @query("h_5", prefixes_sql("raw_queries"))
 def h_5(r):
     return suggest.expand_prefixes(r.raw_queries)
@@ -151,24 +184,47 @@ def h_11_size(r):
     return suggest.dictionary_size(r.popularidad)
 
 
-def vector_docs(r):
-    """Texts with their tokens and, where there is one, their vector."""
-    vectors = r.table("embeddings").select(F.col("vec_id").alias("id"), "embedding")
-    texts = r.table("documents").select(F.col("doc_id").alias("id"), "lang", "text", search_tokens("text").alias("tokens"))
-    return texts.join(vectors, "id", "left")
-
-
-HYBRID_SQL = f"""WITH d AS (SELECT t.id, t.tokens, e.embedding FROM token_docs t LEFT JOIN embeddings e ON t.id = e.vec_id JOIN documents x ON x.doc_id = t.id WHERE x.lang <> 'de'),
+def hybrid_sql(allowed: str) -> str:
+    return f"""WITH d AS (SELECT t.id, t.tokens, e.embedding FROM token_docs t LEFT JOIN embeddings e ON t.id = e.vec_id WHERE t.id IN ({allowed})),
     sem AS (SELECT id, row_number() OVER (ORDER BY round({COSINE_SQL}, 9) DESC, id) AS p FROM d WHERE {COSINE_SQL} >= 0),
     lex AS (SELECT id, row_number() OVER (ORDER BY round(puntaje, 9) DESC, id) AS p FROM ({bm25_sql('d')}))
     SELECT id, {rnd('sum(1.0::DOUBLE / (60 + p))', 8)} AS puntaje FROM (SELECT * FROM sem UNION ALL SELECT * FROM lex)
     GROUP BY id ORDER BY round(sum(1.0::DOUBLE / (60 + p)), 12) DESC, id LIMIT 10"""
 
 
-@query("h_12", HYBRID_SQL)
+def hybrid(r, allowed):
+    """Vectors and postings of the allowed documents, fused; texts are not read."""
+    vectors = r.table("embeddings").select(F.col("vec_id").alias("id"), "embedding").join(allowed, "id", "left_semi")
+    lists = [search.semantic_scores(vectors, query_vector(), 0.0), search.rounded(stored_index(r).scores(TERMS, allowed))]
+    return search.fuse_scores(lists, 10).withColumn("puntaje", round_half_up("puntaje", 8))
+
+
+@query("h_12", hybrid_sql("SELECT doc_id FROM documents WHERE lang <> 'de'"))
 def h_12(r):
-    docs = vector_docs(r).filter("lang <> 'de'")
-    return search.hybrid_search(docs, query_vector(), TERMS, 10).withColumn("puntaje", round_half_up("puntaje", 8))
+    return hybrid(r, r.table("documents").filter("lang <> 'de'").select(F.col("doc_id").alias("id")))
+
+
+@query(
+    "h_12_filters",
+    hybrid_sql(
+        """SELECT d.id_documento FROM dim_documento d JOIN dim_materia m ON d.id_materia = m.id_materia JOIN documents x ON x.doc_id = d.id_documento
+           WHERE m.id_escuela IN (3) AND d.fecha_alta BETWEEN DATE '1993-01-01' AND DATE '2000-12-31'
+             AND (visibilidad IN ('publico', 'interno') OR EXISTS (SELECT 1 FROM documento_autor b WHERE b.id_documento = d.id_documento AND b.id_usuario = 7))"""
+    ),
+)
+def h_12_filters(r):
+    """What a request asks for and what its author may see: the texts with an entry among the documents of the star."""
+    wanted = selection.search_filters(r.dim_documento, r.dim_materia, school=3, since=dt.date(1993, 1, 1), until=dt.date(2000, 12, 31))
+    shown = selection.visible_to(wanted, "author", r.bridge, 7).select(F.col("id_documento").cast("long").alias("id"))
+    return hybrid(r, shown.join(r.table("documents").select(F.col("doc_id").alias("id")), "id", "left_semi"))
+
+
+@query("h_12_scan", hybrid_sql("SELECT doc_id FROM documents WHERE lang <> 'de'"))
+def h_12_scan(r):
+    """Without stored postings: tokens of the texts, and their vectors where there are any."""
+    vectors = r.table("embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    texts = r.table("documents").filter("lang <> 'de'").select(F.col("doc_id").alias("id"), search_tokens("text").alias("tokens"))
+    return search.hybrid_search(texts.join(vectors, "id", "left"), query_vector(), TERMS, 10).withColumn("puntaje", round_half_up("puntaje", 8))
 
 
 @query("h_13", f"SELECT vec_id AS id, {rnd(COSINE_SQL, 6)} AS similitud FROM embeddings WHERE {COSINE_SQL} >= 0.05 AND {COSINE_SQL} < 0.2 ORDER BY {COSINE_SQL} DESC, vec_id LIMIT 10")
@@ -192,7 +248,7 @@ def h_13_counts(r):
         SELECT id, termino, {rnd('peso', 6)} AS peso, CAST(posicion AS INTEGER) AS posicion FROM p WHERE posicion <= 5""",
 )
 def h_14(r):
-    return search.keywords(r.token_docs, 5).withColumn("peso", round_half_up("peso", 6))
+    return stored_index(r).keywords(5).withColumn("peso", round_half_up("peso", 6))
 
 
 def seen_vectors(r):

@@ -3,9 +3,11 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from scholarmart.contracts import WAREHOUSE_TABLES
 from scholarmart.plans import etl
 from scholarmart.plans.dims import add_month, calendar_until
 from scholarmart.plans.removal import remove_documents
+from scholarmart.sources import tables, versions
 from scholarmart.sources.tables import read_table
 from tests.conftest import utc
 
@@ -86,23 +88,58 @@ def test_unknown_document_stops_or_is_set_aside(spark, tmp_path):
     assert spark.read.parquet(f"{aside}/_quarantine/r/fact_interaccion_documento/id_documento").count() == 1
 
 
-def test_an_interrupted_run_is_finished_by_the_next(spark, tmp_path, monkeypatch):
+def test_an_interrupted_run_leaves_the_star_as_it_was(spark, tmp_path, monkeypatch):
     dst = str(tmp_path)
     first = sources(spark, docs=[(1, at(1))], views=[(1, at(2))])
-    publish = etl._publish
+    commit = versions.commit
 
-    def crash(*args):
-        raise RuntimeError("executor lost")
+    def crash(*args, **kwargs):
+        if kwargs.get("run"):
+            raise RuntimeError("driver lost")
+        return commit(*args, **kwargs)
 
-    monkeypatch.setattr(etl, "_publish", crash)
+    monkeypatch.setattr(versions, "commit", crash)
     with pytest.raises(RuntimeError):
         etl.run_etl(spark, first, dst, RUN)
-    monkeypatch.setattr(etl, "_publish", publish)
-    assert fact(spark, dst, "fact_interaccion_documento") == []
+    monkeypatch.setattr(versions, "commit", commit)
+    assert fact(spark, dst, "fact_interaccion_documento") == [] and fact(spark, dst, "dim_documento") == []
+    etl.run_etl(spark, first, dst, RUN)  # the same run id again
     etl.run_etl(spark, sources(spark, docs=[(1, at(1))], views=[(1, at(2)), (1, at(3))]), dst, RUN + dt.timedelta(hours=1))
     assert (DAY, 1, 2, 2) in fact(spark, dst, "fact_interaccion_documento")
 
 
+def test_a_second_load_writes_what_changes(spark, tmp_path):
+    dst, april = str(tmp_path), utc(2026, 4, 4, 1)
+    base = dict(docs=[(1, april)], bridge=[(1, 1)])
+    etl.run_etl(spark, sources(spark, views=[(1, april)], **base), dst, RUN)
+    before = versions.manifest(spark, dst)
+    old = read_table(spark, dst, "fact_interaccion_documento")
+    etl.run_etl(spark, sources(spark, views=[(1, april), (1, at(2))], **base), dst, RUN + dt.timedelta(hours=1))
+    now = versions.manifest(spark, dst)
+    assert all(now.tables[n] == before.tables[n] for n in etl.DIMS)
+    for name in etl.FACTS:
+        assert now.tables[name]["2026-04"] == before.tables[name]["2026-04"] and set(now.tables[name]) == {"2026-04", "2026-05"}
+    assert old.count() == 2 and read_table(spark, dst, "fact_interaccion_documento").count() == 3  # an open reader keeps its version
+
+
+def test_recomputing_days_empties_a_month(spark, tmp_path):
+    dst = str(tmp_path)
+    etl.run_etl(spark, sources(spark, docs=[(1, utc(2026, 3, 1))], favourites=[(1, 1, utc(2026, 4, 2)), (1, 1, at(1))], views=[(1, at(1))], bridge=[(1, 1)]), dst, RUN)
+    options = etl.EtlOptions(mode="recompute", recompute_days=50)  # from the middle of January on
+    etl.run_etl(spark, sources(spark, docs=[(1, utc(2026, 3, 1))], favourites=[(1, 1, at(1))], views=[(1, at(1))], bridge=[(1, 1)]), dst, RUN + dt.timedelta(hours=1), options=options)
+    assert fact(spark, dst, "fact_interaccion_documento") == [(dt.date(2026, 3, 1), 1, 1, 1), (DAY, 1, 2, 1), (DAY, 1, 3, 1)]
+
+
+def test_a_plain_star_is_taken_over(spark, tmp_path):
+    dst = str(tmp_path)
+    src = sources(spark, docs=[(1, at(1))], views=[(1, at(2))], bridge=[(1, 1)])
+    etl.run_etl(spark, src, f"{dst}/a", RUN)
+    for name, df in etl.read_warehouse(spark, f"{dst}/a").items():
+        tables.write_table(df, f"{dst}/b", WAREHOUSE_TABLES[name])
+    etl.run_etl(spark, sources(spark, docs=[(1, at(1))], views=[(1, at(2)), (1, at(3))], bridge=[(1, 1)]), f"{dst}/b", RUN + dt.timedelta(hours=1))
+    assert (DAY, 1, 2, 2) in fact(spark, f"{dst}/b", "fact_interaccion_documento")
+
+
 def test_same_run_twice_changes_nothing(spark, tmp_path):
     dst, src = str(tmp_path), sources(spark, docs=[(1, at(1))], views=[(1, at(2))])
     for _ in range(2):
@@ -126,15 +163,32 @@ def test_empty_sources_leave_the_marks(spark, tmp_path):
     assert [r["y"] for r in marks] == [1970] * 3
 
 
-def test_removal(spark, tmp_path):
-    dst = str(tmp_path)
-    src = sources(spark, docs=[(1, at(1)), (2, at(1))], views=[(1, at(2)), (2, at(2)), (2, at(3))], bridge=[(1, 1), (2, 1)])
+def test_removal(spark, tmp_path, monkeypatch):
+    dst, april = str(tmp_path), utc(2026, 4, 4, 1)
+    src = sources(
+        spark, docs=[(1, at(1)), (2, at(1)), (3, april)], views=[(1, at(2)), (2, at(2)), (2, at(3)), (3, april), (1, at(4))], favourites=[(1, 2, at(3))],
+        bridge=[(1, 1), (2, 1), (2, 2), (3, 1)],
+    )
     etl.run_etl(spark, src, dst, RUN)
-    remove_documents(spark, dst, src["documento_autor"], spark.createDataFrame([(2,)], "id_documento int"), DAY)
-    assert fact(spark, dst, "fact_interaccion_documento") == [(DAY, 1, 1, 1), (DAY, 1, 2, 1)]
-    assert fact(spark, dst, "fact_interaccion_autor") == [(DAY, 1, 1, 1), (DAY, 1, 2, 1)]
-    gone = read_table(spark, dst, "dim_documento").filter("is_deleted").collect()
-    assert [(r["id_documento"], r["deleted_at"]) for r in gone] == [(2, DAY)]
+    before = versions.manifest(spark, dst)
+    gone = spark.createDataFrame([(2,), (2,), (77,)], "id_documento int")
+    commit = versions.commit
+
+    def crash(*args, **kwargs):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(versions, "commit", crash)
+    with pytest.raises(RuntimeError):
+        remove_documents(spark, dst, src["documento_autor"], gone, DAY)
+    monkeypatch.setattr(versions, "commit", commit)
+    assert versions.manifest(spark, dst) == before
+    now = remove_documents(spark, dst, src["documento_autor"], gone, DAY)
+    assert fact(spark, dst, "fact_interaccion_documento") == [(april.date(), 3, 1, 1), (april.date(), 3, 2, 1), (DAY, 1, 1, 1), (DAY, 1, 2, 2)]
+    assert fact(spark, dst, "fact_interaccion_autor") == [(april.date(), 1, 1, 1), (april.date(), 1, 2, 1), (DAY, 1, 1, 1), (DAY, 1, 2, 2)]
+    for name in etl.FACTS:  # untouched months keep their files
+        assert now.tables[name]["2026-04"] == before.tables[name]["2026-04"] and now.tables[name]["2026-05"] != before.tables[name]["2026-05"]
+    marked = read_table(spark, dst, "dim_documento").filter("is_deleted").collect()
+    assert [(r["id_documento"], r["deleted_at"]) for r in marked] == [(2, DAY)]
 
 
 def test_phases_run_after_a_failure(spark):
