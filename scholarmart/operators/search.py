@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scholarmart.functions.text import snippet, truncated
 from scholarmart.functions.vectors import dot, literal_vector, norm
@@ -101,39 +103,44 @@ def fuse(rankings: Sequence[DataFrame], k: int, key: str = "id", constant: int =
     return top_k(fused, k, F.round("puntaje", 12).desc(), F.col(key).asc())
 
 
-def positions_of(scores: DataFrame, wanted: DataFrame, key: str = "id", score: str = "puntaje") -> DataFrame:
-    """``key, posicion`` of a few wanted rows in a list by falling score, then key; the list itself is not sorted.
+def positions_of(scores: DataFrame, wanted: Sequence, key: str = "id", score: str = "puntaje") -> dict:
+    """Places of a few wanted keys in a list by falling score, then key; the list itself is not sorted.
 
-    Every row is counted between the two wanted ones that it lies between, so one small sum per wanted row leaves a task.
-    ``wanted`` must be a bounded list; it travels as one array.
+    Every row is counted between the two wanted ones that it lies between, so a task passes on one sum for each wanted key.
     """
-    place = lambda: F.struct((-F.col(score)).alias("s"), F.col(key).alias("k"))
-    marks = scores.join(wanted.select(key), key, "left_semi").agg(F.array_sort(F.collect_list(place())).alias("m")).scalar()
-    behind = F.size(F.filter(F.col("_m"), lambda m: m < F.col("_p")))
-    gaps = scores.select(place().alias("_p"), marks.alias("_m")).select(behind.alias("_gap")).groupBy("_gap").agg(F.count("*").alias("_n"))
-    upto = Window.orderBy("_gap")  # one row for each wanted row
-    counted = gaps.select("_gap", (F.sum("_n").over(upto)).alias("_sum"))
-    # a wanted row is the last of its own gap: the rows ahead of it are those of the gaps up to there, less itself
-    listed = scores.sparkSession.range(1).select(F.posexplode(marks).alias("_gap", "_row"))
-    return listed.join(counted, "_gap").select(F.col("_row.k").alias(key), F.col("_sum").cast("long").alias("posicion"))
+    kind = scores.schema[key].dataType.simpleString()
+    fixed = lambda values, schema: F.from_json(F.lit(json.dumps(values)), schema)  # noqa: E731 - one literal, parsed once
+    marks = sorted((-r[score], r[key]) for r in scores.filter(F.array_contains(fixed(wanted, f"array<{kind}>"), F.col(key))).collect())
+    if not marks:
+        return {}
+    place = F.struct((-F.col(score)).alias("s"), F.col(key).alias("k"))
+    listed = fixed([{"s": s, "k": k} for s, k in marks], f"array<struct<s:double,k:{kind}>>")
+    gap = F.size(F.filter(listed, lambda m: m < place))  # wanted rows ahead
+    gaps = dict(scores.groupBy(gap.alias("gap")).count().collect())
+    places, passed = {}, 0
+    for at, (_, k) in enumerate(marks):  # a wanted row is the last one of its own gap
+        passed += gaps.get(at, 0)
+        places[k] = passed
+    return places
 
 
 def fuse_scores(lists: Sequence[DataFrame], k: int, key: str = "id", score: str = "puntaje", constant: int = 60) -> DataFrame:
     """Reciprocal-rank fusion of scored lists, ranked as a whole but never sorted as a whole.
 
     With ``m = len(lists)``, a row behind place ``top`` of every list gets less than ``m / (constant + top)``, and each of the first ``k`` of any list
-    at least ``1 / (constant + k)``. So only the first ``top = (m - 1) * constant + m * k`` of each list can be among the best ``k``; their places
-    in the other lists are counted (``positions_of``). Equal scores are ordered by key.
+    at least ``1 / (constant + k)``. So only the first ``top = (m - 1) * constant + m * k`` of each list can be among the best ``k``; these few come to the
+    driver, and their places in the other lists are counted (``positions_of``). Equal scores are ordered by key.
     """
     top = (len(lists) - 1) * constant + len(lists) * k
-    order = [F.col(score).desc(), F.col(key).asc()]
     lists = [materialize(scores.select(key, score)) for scores in lists]  # two narrow columns, read three times
-    wanted = None
+    wanted = sorted({r[key] for scores in lists for r in top_k(scores, top, F.col(score).desc(), F.col(key).asc()).collect()})
+    total: dict = {}
     for scores in lists:
-        first = top_k(scores, top, *order).select(key)
-        wanted = first if wanted is None else wanted.unionByName(first)
-    wanted = materialize(wanted.distinct())
-    return fuse([positions_of(scores, wanted, key, score) for scores in lists], k, key, constant)
+        for found, place in positions_of(scores, wanted, key, score).items():
+            total[found] = total.get(found, 0.0) + 1.0 / (place + constant)
+    best = sorted(total.items(), key=lambda r: (-round(r[1], 12), r[0]))[:k]
+    schema = T.StructType([lists[0].schema[key], T.StructField("puntaje", T.DoubleType())])
+    return lists[0].sparkSession.createDataFrame(best, schema)
 
 
 def hybrid_search(

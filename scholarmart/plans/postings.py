@@ -37,20 +37,23 @@ def bucket_of(term: str = "termino") -> Column:
 
 
 def count_postings(docs: DataFrame, tokens: str = "tokens", key: str = "id") -> DataFrame:
-    """``termino, id, tf, dl`` of documents with one id a row; counted inside each row, so nothing is shuffled for it."""
-    words = F.array_sort(F.col(tokens))
-    # runs of the sorted tokens: a term's count is the distance to the next different term
-    starts = F.filter(F.sequence(F.lit(0), F.size("_w") - 1), lambda i: (i == 0) | (F.get("_w", i) != F.get("_w", i - 1)))
-    rows = docs.filter(F.size(tokens) > 0).select(F.col(key).cast("long").alias("id"), words.alias("_w")).select("id", "_w", starts.alias("_s"))
-    ends = F.concat(F.slice("_s", F.lit(2), F.size("_s")), F.array(F.size("_w")))
-    runs = F.transform("_s", lambda s, k: F.struct(F.get("_w", s).alias("termino"), (F.get("_e", k) - s).cast("long").alias("tf")))
-    return rows.select("id", "_w", "_s", ends.alias("_e")).select("id", F.size("_w").cast("long").alias("dl"), F.inline(runs)).select("termino", "id", "tf", "dl")
+    """``termino, id, tf, dl`` of documents with one id a row; combined in every task before the shuffle."""
+    # a plain explode would tokenise twice: once in a filter for empty arrays that is inferred from it
+    words = docs.select(F.col(key).cast("long").alias("id"), F.size(tokens).cast("long").alias("dl"), F.explode_outer(tokens).alias("termino"))
+    return words.filter(F.col("termino").isNotNull()).groupBy("termino", "id", "dl").agg(F.count("*").alias("tf")).select("termino", "id", "tf", "dl")
 
 
 def append(docs: DataFrame, root: str, tokens: str = "tokens", key: str = "id") -> Manifest:
     """Add documents as a segment. Ids that are stored already have to be removed before."""
-    base = versions.manifest(docs.sparkSession, root)
-    return versions.commit(docs.sparkSession, root, base, added=segment(docs, root, base, tokens, key))
+    spark = docs.sparkSession
+    base, passing = versions.manifest(spark, root), versions.new_folder()
+    # texts are tokenised once, for lengths and postings alike
+    slim = docs.select(F.col(key).cast("long").alias("id"), F.col(tokens).alias("tokens"))
+    slim.write.parquet(f"{root}/{passing}")
+    slim = spark.read.schema(slim.schema).parquet(f"{root}/{passing}")
+    done = versions.commit(spark, root, base, added=segment(slim, root, base))
+    versions.drop(spark, root, passing)
+    return done
 
 
 def segment(docs: DataFrame, root: str, base: Manifest, tokens: str = "tokens", key: str = "id") -> dict[str, versions.Parts]:
