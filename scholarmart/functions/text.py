@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -73,14 +75,33 @@ def html_text(html: ColumnLike) -> Column:
     out = F.regexp_replace(out, r"(?is)<style[^>]*>.*?</style>", " ")
     out = F.regexp_replace(out, r"(?s)<!--.*?-->", " ")
     out = F.regexp_replace(out, r"(?s)<[^>]*>", " ")
-    for entity, plain in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        out = F.replace(out, F.lit(entity), F.lit(plain))
-    return F.trim(F.regexp_replace(out, r"\s+", " "))
+    return F.trim(F.regexp_replace(unescaped(out), r"\s+", " "))
 
 
 def html_title(html: ColumnLike) -> Column:
     title = F.regexp_extract(_c(html), r"(?is)<title>(.*?)</title>", 1)
-    return F.trim(F.regexp_replace(F.replace(title, F.lit("&amp;"), F.lit("&")), r"\s+", " "))
+    return F.trim(F.regexp_replace(unescaped(title), r"\s+", " "))
+
+
+ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,7});"
+
+
+def unescaped(text: ColumnLike) -> Column:
+    """Text with its numeric and Latin named entities decoded, once each; unknown ones stay as they are. A hard space becomes a blank."""
+    names = F.from_json(F.lit(json.dumps({f"&{n};": chr(c) for n, c in name2codepoint.items()} | {"&apos;": "'"})), "map<string,string>")
+
+    def decode(entity: Column) -> Column:
+        digits = F.substring(entity, F.lit(3), F.length(entity) - 3)
+        hexadecimal = F.lower(F.substring(digits, F.lit(1), F.lit(1))) == "x"
+        code = F.when(hexadecimal, F.conv(F.substring(digits, F.lit(2), F.length(digits)), 16, 10)).otherwise(digits).cast("int")
+        known = ((code > 0) & (code < 0xD800)) | ((code > 0xDFFF) & (code < 0x110000))
+        numeric = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.when(entity.startswith("&#"), F.when(known, numeric).otherwise(entity)).otherwise(F.coalesce(F.element_at(names, entity), entity))
+
+    t = _c(text)
+    found, between = F.regexp_extract_all(t, F.lit(ENTITY), F.lit(0)), F.split(t, ENTITY, -1)
+    whole = F.array_join(F.zip_with(between, F.transform(found, decode), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    return F.translate(F.when(F.contains(t, F.lit("&")), whole).otherwise(t), "\u00a0", " ")
 
 
 def truncated(text: ColumnLike, size: int) -> Column:

@@ -42,14 +42,14 @@ def read_since(source: DataFrame, ts_col: str, low: Column, high: Column) -> Dat
     return source.filter((F.col(ts_col) > low) & (F.col(ts_col) <= high))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
 def table_exists(spark: SparkSession, root: str, name: str) -> bool:
-    return _exists(spark, f"{root}/{name}/_SUCCESS")
+    return exists(spark, f"{root}/{name}/_SUCCESS")
 
 
 def with_partitions(df: DataFrame, contract: Contract) -> DataFrame:

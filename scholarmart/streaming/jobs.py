@@ -12,11 +12,12 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from scholarmart.operators.access import rate_limit, window_counts
 from scholarmart.operators.aggregates import daily_counts
 from scholarmart.operators.joins import credit_authors
+from scholarmart.sources.tables import exists as table_exists_at
 
 BATCH = "batch_id"
 
@@ -34,11 +35,53 @@ def timed(stream: DataFrame, ts: str, delay: str) -> DataFrame:
     return stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
 
 
-def run(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
-    """Process what is there and stop; results go to a folder."""
+METRICS = T.StructType([T.StructField("entradas", T.LongType()), T.StructField("tardias", T.LongType())])
+
+
+class BatchMetrics(StreamingQueryListener):
+    """Rows read and rows dropped as too late of every micro-batch; unlike ``recentProgress``, of all of them.
+
+    Late rows are those that reached a stateful operator behind the watermark: single rows before a de-duplication or a join, groups
+    of rows before an aggregation, which Spark combines first. A batch that is run again counts once.
+    """
+
+    def __init__(self) -> None:
+        self.batches: dict[int, tuple[int, int]] = {}
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        late = sum(op.numRowsDroppedByWatermark for op in progress.stateOperators)
+        read, dropped = self.batches.get(progress.batchId, (0, 0))  # an idle batch is reported under its number once more
+        self.batches[progress.batchId] = (max(read, progress.numInputRows), max(dropped, late))
+
+    def onQueryStarted(self, event) -> None: ...
+
+    def onQueryIdle(self, event) -> None: ...
+
+    def onQueryTerminated(self, event) -> None: ...
+
+    @property
+    def late(self) -> int:
+        return sum(dropped for _, dropped in self.batches.values())
+
+
+def run(stream: DataFrame, path: str, checkpoint: str, mode: str = "append", metrics: str | None = None) -> StreamingQuery:
+    """Process what is there and stop; results go to a folder, and rows read and late rows of every batch to ``metrics`` if named."""
+    spark = stream.sparkSession
     writer = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
-    query = writer.outputMode(mode).trigger(availableNow=True).start()
-    query.awaitTermination()
+    listener = BatchMetrics()
+    if metrics:
+        spark.streams.addListener(listener)
+    try:
+        query = writer.outputMode(mode).trigger(availableNow=True).start()
+        query.awaitTermination()
+        if metrics:
+            spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        if metrics:
+            spark.streams.removeListener(listener)
+    for batch_id, counts in sorted(listener.batches.items()):
+        put_batch(spark.createDataFrame([counts], METRICS), metrics, batch_id)
     return query
 
 
@@ -54,9 +97,10 @@ def put_batch(df: DataFrame, path: str, batch_id: int) -> None:
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType, before: int | None = None) -> DataFrame:
     """All folders of a sink, or those of earlier batches."""
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/{BATCH}=-1")  # so that there is one
-    fields = [*schema.fields, T.StructField(BATCH, T.LongType())]
-    df = spark.read.schema(T.StructType(fields)).parquet(path)
+    whole = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
+    if not table_exists_at(spark, path):
+        return spark.createDataFrame([], whole)
+    df = spark.read.schema(whole).parquet(path)
     return df if before is None else df.filter(F.col(BATCH) < before)
 
 
@@ -153,9 +197,9 @@ def stream_deduplicated(events: DataFrame, delay: str, keys: Sequence[str] = ("e
 
 
 def stream_revoked(requests: DataFrame, revocations: DataFrame, delay: str, ttl_seconds: int, token: str, key: str = "event_id", ts: str = "ts") -> DataFrame:
-    """Requests with the revocation that hit them, if any; both sides bounded by the time a revocation lives.
+    """Requests with the revocation that hit them, or null; both sides bounded by the time a revocation lives.
 
-    Overlapping revocations of one token give one row each.
+    A request without one is given out once the watermark has passed it. Overlapping revocations of one token give one row each.
     """
     asked = timed(requests, ts, delay)
     marks = timed(revocations.select(F.col(token).alias("_token"), F.col(ts).alias("set_at")), "set_at", delay)
@@ -164,6 +208,11 @@ def stream_revoked(requests: DataFrame, revocations: DataFrame, delay: str, ttl_
     return asked.join(marks, hit, "left_outer").select(key, token, ts, "set_at")
 
 
-def dropped_late(query: StreamingQuery) -> int:
-    """Rows the state operators of a finished query dropped as too late."""
-    return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in p["stateOperators"])
+def batch_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """``entradas, tardias, batch_id`` of every batch that ``run`` has stored."""
+    return spark.read.schema(T.StructType([*METRICS.fields, T.StructField(BATCH, T.LongType())])).parquet(path)
+
+
+def dropped_late(spark: SparkSession, path: str) -> int:
+    """Rows dropped as too late in all runs that stored their metrics there."""
+    return batch_metrics(spark, path).agg(F.coalesce(F.sum("tardias"), F.lit(0))).first()[0]

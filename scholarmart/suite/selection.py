@@ -180,7 +180,7 @@ def html_sql(html: str) -> str:
     out = html
     for pattern, flags in (("(?is)<script[^>]*>.*?</script>", "g"), ("(?is)<style[^>]*>.*?</style>", "g"), ("(?s)<!--.*?-->", "g"), ("(?s)<[^>]*>", "g")):
         out = f"regexp_replace({out}, '{pattern}', ' ', '{flags}')"
-    for entity, plain in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+    for entity, plain in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
         out = f"replace({out}, '{entity}', '{plain}')"
     return f"trim(regexp_replace({out}, '\\s+', ' ', 'g'))"
 

@@ -8,7 +8,7 @@ from scholarmart.contracts import VIEW
 from scholarmart.operators import access
 from scholarmart.session import scratch_path
 from scholarmart.sources.keyvalue import live_at, seconds_left, with_expiry
-from scholarmart.streaming import jobs
+from scholarmart.streaming import jobs, state
 from scholarmart.suite.registry import query
 from scholarmart.suite.roles import TABLES
 
@@ -86,19 +86,48 @@ def t_3(r):
     return access.revoked(requests, revocations(r), "user_id").select("event_id", "user_id", "rechazado")
 
 
-@query(
-    "t_3_stream",
-    """SELECT e.event_id, count(v.event_id) > 0 AS rechazado FROM events e JOIN events v ON v.event_type = 'error' AND v.user_id = e.user_id
-       AND v.ts <= e.ts AND e.ts < v.ts + INTERVAL 1 HOUR WHERE e.event_type <> 'error' GROUP BY e.event_id""",
-)
+@query("t_3_stream", f"SELECT event_id, rechazado FROM ({REVOKED_SQL}) JOIN events USING (event_id) WHERE ts <= (SELECT min(t) - INTERVAL 2 HOUR FROM (SELECT max(ts) AS t FROM events GROUP BY event_type = 'error'))")
 def t_3_stream(r):
+    """Every request that the watermark has closed, with its flag; later ones wait for the stream to go on."""
     out, checkpoint = places(r, "revoked")
     requests = stream(r, "events").filter("event_type <> 'error'")
     marks = stream(r, "events").filter("event_type = 'error'").select("user_id", "ts")
     flagged = jobs.stream_revoked(requests, marks, "2 hours", 3600, "user_id")
     jobs.run(flagged, out, checkpoint)
-    hits = stored(r, out, flagged).filter(F.col("set_at").isNotNull())
-    return hits.select("event_id", F.lit(True).alias("rechazado")).distinct()
+    ends = r.table("events").groupBy(F.col("event_type") == "error").agg(F.max("ts").alias("t"))  # the slower of both streams
+    closed = ends.agg((F.min("t") - F.expr("interval 2 hours")).alias("t")).scalar()
+    hits = stored(r, out, flagged).filter(F.col("ts") <= closed)
+    return hits.groupBy("event_id").agg(F.max(F.col("set_at").isNotNull()).alias("rechazado"))
+
+
+CLOSED = "epoch_ms(ts) < (SELECT max(epoch_ms(ts)) - 7200000 FROM events)"
+
+
+def verdicts(r, name: str, hours: int, mass: bool):
+    """All events as one stream of requests and marks, through keyed state."""
+    out, checkpoint = places(r, name)
+    events = stream(r, "events")
+    requests = events.filter("event_type <> 'error'").withColumn("iat", F.col("ts") - F.expr("interval 6 hours"))
+    marks = events.filter("event_type = 'error'").withColumn("expires_at", F.col("ts") + F.expr(f"interval {hours} hours"))
+    rows = state.requests_and_marks(requests, marks, "user_id", issued="iat" if mass else None, mark="ts" if mass else None, salts=2)
+    state.run_verdicts(r.spark, rows, 7200, out, checkpoint)
+    found = r.spark.read.schema("pedido long, momento timestamp, rechazado boolean").parquet(out)
+    return found.select(F.col("pedido").alias("event_id"), "rechazado")
+
+
+@query("t_3_state", f"SELECT event_id, rechazado FROM ({REVOKED_SQL}) JOIN events USING (event_id) WHERE {CLOSED}")
+def t_3_state(r):
+    return verdicts(r, "revoked-state", 1, False)
+
+
+@query(
+    "t_4_stream",
+    f"""SELECT event_id, EXISTS (SELECT 1 FROM events v WHERE v.event_type = 'error' AND v.user_id = e.user_id AND v.ts <= e.ts
+        AND e.ts < v.ts + INTERVAL 12 HOUR AND e.ts - INTERVAL 6 HOUR < v.ts) AS rechazado FROM events e WHERE event_type <> 'error' AND {CLOSED}""",
+)
+def t_4_stream(r):
+    """Every error revokes the tokens that its user was given before it."""
+    return verdicts(r, "mass-state", 12, True)
 
 
 @query(
@@ -199,6 +228,29 @@ def t_10(r):
     return late.groupBy("event_type").agg(F.count("*").alias("tardias"))
 
 
+@query(
+    "t_10_stream",
+    """WITH arrivals AS (SELECT *, dense_rank() OVER (ORDER BY event_type) - 1 AS b FROM events),
+            marks AS (SELECT b, max(max(ts)) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) - INTERVAL 1 HOUR AS mark FROM arrivals GROUP BY b)
+       SELECT count(*) AS entradas, count(*) FILTER (WHERE ts <= mark) AS tardias, count(*) FILTER (WHERE mark IS NULL OR ts > mark) AS unicas
+       FROM arrivals JOIN marks USING (b)""",
+)
+def t_10_stream(r):
+    """Events that arrive kind by kind, each kind a micro-batch: rows behind the watermark are dropped and counted batch by batch.
+
+    A batch drops what is behind the watermark that the batch before it ran with, which is made of those before that one.
+    """
+    out, checkpoint = places(r, "late")
+    arrivals = scratch_path(r.spark, "arrivals")
+    kinds = sorted(x[0] for x in r.table("events").select("event_type").distinct().collect())
+    for kind in kinds:  # files are taken in the order of their times
+        r.table("events").filter(F.col("event_type") == kind).coalesce(1).write.mode("append").parquet(arrivals)
+    once = jobs.stream_deduplicated(jobs.event_stream(r.spark, arrivals, TABLES["events"], "*.parquet", 1), "1 hour")
+    jobs.run(once, out, checkpoint, metrics=f"{out}-metrics")
+    sums = jobs.batch_metrics(r.spark, f"{out}-metrics").agg(F.sum("entradas").alias("entradas"), F.sum("tardias").alias("tardias"))
+    return sums.withColumn("unicas", stored(r, out, once).agg(F.count("*").alias("n")).scalar())
+
+
 @query("t_11", "SELECT event_id, event_type FROM events")
 def t_11(r):
     twice = r.table("events").unionByName(r.table("events"))

@@ -112,3 +112,17 @@ def test_month_series(spark):
 
     rows = month_series(spark, dt.date(2024, 1, 1), dt.date(2026, 5, 1)).collect()
     assert len(rows) == 29 and rows[-1]["ord"] == 29
+
+
+def test_entities(spark):
+    import html
+
+    from scholarmart.functions.text import html_text, html_title, unescaped
+
+    texts = ["a &amp; b", "&amp;lt;", "&eacute;&Ntilde;&szlig; &#233; &#xE9; &#x1F600; &#0; &#55296; &nope; & &; &#;", "x&nbsp;y", "", "&hellip;", "no", None, "&#9999999; &apos;"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    found = {r.i: r.u for r in rows.select("i", unescaped("t").alias("u")).collect()}
+    kept = {2: html.unescape(texts[2].replace("&#0;", "@").replace("&#55296;", "%")).replace("@", "&#0;").replace("%", "&#55296;"), 8: "&#9999999; '"}
+    assert found == {i: None if t is None else kept.get(i, html.unescape(t).replace("\u00a0", " ")) for i, t in enumerate(texts)}
+    page = spark.createDataFrame([("<title>Tesis &amp; Dise&ntilde;o</title><p>M&aacute;s&nbsp; &#8364;5 &lt;b&gt;</p>",)], "h string")
+    assert page.select(html_title("h"), html_text("h")).first()[:] == ("Tesis & Diseño", "Tesis & Diseño Más €5 <b>")
