@@ -50,40 +50,40 @@ def window_counts(requests: DataFrame, seconds: int = 60, user: str = "user_id",
 def sliding_counts(requests: DataFrame, seconds: int, user: str = "user_id", ts: str = "ts", key: str = "event_id") -> DataFrame:
     """Requests of the same user in the last ``seconds`` seconds, up to and with each request.
 
-    Time is cut into pieces of that length; a request also goes to the following
-    piece, where it is counted but not returned. A busy user spreads over pieces.
+    Requests are counted per second first, in every task before the shuffle; the window slides over these counts. Time is cut into pieces of
+    ``seconds`` seconds, and a count also goes to the following piece, where it is added but not returned; so a window sees
+    at most twice ``seconds`` rows, however busy a user is.
     """
     second = F.unix_timestamp(F.col(ts).cast("timestamp"))
-    piece = F.floor(second / seconds)
-    copies = requests.select(
-        user, ts, key, second.alias("_s"), F.explode(F.array(*[F.struct((piece + d).alias("_piece"), F.lit(d == 0).alias("_own")) for d in (0, 1)])).alias("_p")
-    ).select(user, ts, key, "_s", "_p.*")
+    placed = requests.select(user, ts, key, second.alias("_s"))
+    piece = F.floor(F.col("_s") / seconds)
+    copies = F.explode(F.array(*[F.struct((piece + d).alias("_piece"), F.lit(d == 0).alias("_own")) for d in (0, 1)])).alias("_p")
+    counted = placed.groupBy(user, "_s").agg(F.count("*").alias("_n")).select(user, "_s", "_n", copies).select(user, "_s", "_n", "_p.*")
     w = Window.partitionBy(user, "_piece").orderBy("_s").rangeBetween(-(seconds - 1), 0)
-    return copies.withColumn("n", F.count("*").over(w)).filter("_own").drop("_s", "_piece", "_own")
+    slid = counted.withColumn("n", F.sum("_n").over(w)).filter("_own").select(F.col(user).alias("_user"), F.col("_s").alias("_at"), "n")
+    return placed.join(slid, F.col(user).eqNullSafe(F.col("_user")) & (F.col("_s") == F.col("_at"))).select(user, ts, key, "n")
 
 
 def revoked(requests: DataFrame, revocations: DataFrame, token: str, ts: str = "ts") -> DataFrame:
     """Flag requests whose token was revoked at that time; revocations hold ``token, set_at, expires_at``.
 
-    Equal tokens meet in pieces of time, so a hot token spreads over tasks.
+    Equal tokens meet in pieces of time, so a hot token spreads over tasks. Overlapping revocations of a piece are merged first and travel
+    as one row, so requests are read and joined once and never multiplied.
     """
     width = 3600
     piece = lambda c: F.floor(F.unix_timestamp(c) / width)
-    spans = revocations.select(
-        token, "set_at", "expires_at", F.explode(F.sequence(piece(F.col("set_at")), piece(F.col("expires_at")))).alias("_piece")
+    spans = revocations.filter((F.col("set_at") < F.col("expires_at")) & F.col(token).isNotNull()).select(
+        F.col(token).alias("_token"), F.col("set_at").alias("_from"), F.col("expires_at").alias("_to"), F.explode(F.sequence(piece(F.col("set_at")), piece(F.col("expires_at")))).alias("_span")
     )
+    before = Window.partitionBy("_token", "_span").orderBy("_from", "_to").rowsBetween(Window.unboundedPreceding, -1)
+    apart = F.coalesce(F.col("_from") > F.max("_to").over(before), F.lit(True))
+    island = F.sum(apart.cast("int")).over(Window.partitionBy("_token", "_span").orderBy("_from", "_to").rowsBetween(Window.unboundedPreceding, 0))
+    merged = spans.distinct().withColumn("_island", island).groupBy("_token", "_span", "_island").agg(F.min("_from").alias("a"), F.max("_to").alias("b"))
+    lists = merged.groupBy("_token", "_span").agg(F.collect_list(F.struct("a", "b")).alias("_spans"))  # disjoint
     asked = requests.withColumn("_piece", piece(F.col(ts).cast("timestamp")))
-    spans = spans.withColumnsRenamed({token: "_token", "_piece": "_span"})
-    hit = (
-        (F.col(token) == F.col("_token"))
-        & (F.col("_piece") == F.col("_span"))
-        & (F.col("set_at") <= F.col(ts))
-        & (F.col(ts) < F.col("expires_at"))
-    )
-    # a semi join stops at the first match, so overlapping revocations do not multiply requests
-    bad = asked.join(spans, hit, "left_semi").withColumn("rechazado", F.lit(True))
-    good = asked.join(spans, hit, "left_anti").withColumn("rechazado", F.lit(False))
-    return bad.unionByName(good).drop("_piece")
+    both = asked.join(lists, (F.col(token) == F.col("_token")) & (F.col("_piece") == F.col("_span")), "left")
+    hit = F.exists("_spans", lambda s: (s["a"] <= F.col(ts)) & (F.col(ts) < s["b"]))
+    return both.withColumn("rechazado", F.coalesce(hit, F.lit(False))).select(*requests.columns, "rechazado")
 
 
 def mass_revoked(tokens: DataFrame, marks: DataFrame, user: str = "user_id", issued: str = "iat", ts: str = "ts") -> DataFrame:

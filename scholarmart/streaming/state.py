@@ -1,6 +1,9 @@
-"""Revocation and mass revocation as keyed state with expiry: one operator, exact verdicts, nothing of earlier batches read again.
+"""Limits and revocation as keyed state with expiry: exact verdicts, and nothing of earlier batches is read again.
 
-Requests and marks come as one stream, keyed by token or user. A key's state holds the requests that wait for the watermark and the marks that
+**Rate limit** (``run_limits``). The state of a user and a fixed window is one number, the requests counted so far; a timer takes it away when the
+watermark has passed the window's end. Within a batch the first requests by time and id are accepted, as long as the number allows.
+
+**Revocation** (``run_verdicts``). Requests and marks come as one stream, keyed by token or user. A key's state holds the requests that wait for the watermark and the marks that
 may still hit one. When the watermark has passed a request, all marks up to its time are there (rows that come later than the delay are late and
 dropped), so its verdict is final: rejected if a mark was set at or before it, lives on, and covers it. A mark with a time ``marca``
 covers tokens issued before that; a mark without one covers every request of its key. Every request comes out once, with
@@ -14,11 +17,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
+from scholarmart.operators.access import window_start
 from scholarmart.streaming import jobs
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -108,11 +113,63 @@ def verdicts(rows: DataFrame, delay_seconds: int) -> DataFrame:
     return out.select("pedido", F.timestamp_micros("momento").alias("momento"), "rechazado")
 
 
-def run_verdicts(spark: SparkSession, rows: DataFrame, delay_seconds: int, path: str, checkpoint: str) -> StreamingQuery:
+class Limits(StatefulProcessor):
+    """A number for every user and window; rows of a batch are ordered by time and id.
+
+    The rows that one user sends in one window and batch are ordered in one task, three numbers each; the size of a batch bounds them
+    (``per_trigger`` of ``jobs.event_stream``). ``jobs.limit_verdicts`` spreads such rows.
+    """
+
+    def __init__(self, limit: int, seconds: int):
+        self.limit, self.seconds = limit, seconds
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.used = handle.getValueState("used", "n long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        used = self.used.get()[0] if self.used.exists() else 0
+        batch = pd.concat(list(rows), ignore_index=True)
+        order = np.lexsort((batch["pedido"].to_numpy(), batch["momento"].to_numpy()))
+        accepted = np.zeros(len(batch), bool)
+        accepted[order[: max(0, self.limit - used)]] = True
+        self.used.update((int(used + len(batch)),))
+        self.handle.registerTimer((int(key[1]) + self.seconds) * 1000)
+        yield pd.DataFrame({"clave": batch["clave"], "pedido": batch["pedido"], "ventana": batch["ventana"], "aceptado": accepted})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.used.clear()
+        return iter(())
+
+    def close(self) -> None: ...
+
+
+def limits(requests: DataFrame, limit: int, seconds: int, delay_seconds: int, user: str = "user_id", ts: str = "ts", pedido: str = "event_id") -> DataFrame:
+    """``clave, pedido, ventana, aceptado`` of every request, as soon as it comes; three numbers of each travel to the state."""
+    rows = requests.select(
+        F.col(user).cast("long").alias("clave"), F.col(pedido).cast("long").alias("pedido"), F.col(ts).cast("timestamp").alias("ts"),
+        window_start(ts, seconds).cast("long").alias("ventana"), F.unix_micros(F.col(ts).cast("timestamp")).alias("momento"),
+    )
+    keyed = rows.withWatermark("ts", f"{delay_seconds} seconds").groupBy("clave", "ventana")
+    return keyed.transformWithStateInPandas(Limits(limit, seconds), "clave long, pedido long, ventana long, aceptado boolean", "Append", "eventTime")
+
+
+def run_limits(
+    requests: DataFrame, path: str, checkpoint: str, limit: int, seconds: int = 60, delay_seconds: int = 3600, user: str = "user_id", ts: str = "ts", pedido: str = "event_id"
+) -> StreamingQuery:
+    return _with_state(limits(requests, limit, seconds, delay_seconds, user, ts, pedido), path, checkpoint)
+
+
+def run_verdicts(rows: DataFrame, delay_seconds: int, path: str, checkpoint: str) -> StreamingQuery:
+    return _with_state(verdicts(rows, delay_seconds), path, checkpoint)
+
+
+def _with_state(out: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Process what is there and stop; a later call with the same checkpoint goes on with the state."""
+    spark = out.sparkSession
     before = spark.conf.get(PROVIDER)
     spark.conf.set(PROVIDER, ROCKSDB)  # keyed state with timers needs it; a query keeps the setting it was started with
     try:
-        return jobs.run(verdicts(rows, delay_seconds), path, checkpoint)
+        return jobs.run(out, path, checkpoint)
     finally:
         spark.conf.set(PROVIDER, before)

@@ -34,13 +34,16 @@ def j_3(r):
        JOIN dim_tiempo t ON f.fecha = t.fecha GROUP BY ALL""",
 )
 def j_4(r):
+    """The fact is added up before every join that its rows are too many for: per document and year, then per subject."""
+    keys = ["id_tipo_interaccion", "anio"]
+    yearly = joins.star(r.fact_interaccion_documento, (r.dim_tiempo.select("fecha", "anio"), "fecha"))
+    yearly = regroup(yearly, ["id_documento", *keys])
+    by_subject = joins.star(yearly, (r.dim_documento.select("id_documento", "id_materia", "id_tipo"), "id_documento"))
     full = joins.star(
-        r.fact_interaccion_documento,
-        (r.dim_documento.select("id_documento", "id_materia", "id_tipo"), "id_documento"),
+        regroup(by_subject, ["id_materia", "id_tipo", *keys]),
         (r.dim_materia.select("id_materia", "nombre_escuela"), "id_materia"),
         (r.dim_tipo_documento.withColumnRenamed("nombre", "tipo_documento"), "id_tipo"),
         (r.dim_tipo_interaccion.withColumnRenamed("nombre", "tipo_evento"), "id_tipo_interaccion"),
-        (r.dim_tiempo.select("fecha", "anio"), "fecha"),
     )
     return full.groupBy("nombre_escuela", "tipo_documento", "tipo_evento", "anio").agg(F.sum("cant_interacciones").alias("total"))
 

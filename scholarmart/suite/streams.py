@@ -48,6 +48,15 @@ def t_1_stream(r):
     return r.spark.read.parquet(f"{out}/verdicts").select("event_id", "user_id", "aceptado")
 
 
+@query("t_1_state", LIMIT_SQL)
+def t_1_state(r):
+    """The limit as keyed state: a number for every user and window."""
+    out, checkpoint = places(r, "limit-state")
+    state.run_limits(stream(r, "events"), out, checkpoint, 3, DAY)
+    found = r.spark.read.schema("clave long, pedido long, aceptado boolean").parquet(out)
+    return found.select(F.col("pedido").alias("event_id"), F.col("clave").alias("user_id"), "aceptado")
+
+
 @query(
     "t_2",
     """SELECT event_id, user_id, count(*) OVER (PARTITION BY user_id ORDER BY CAST(floor(epoch(ts)) AS BIGINT) RANGE BETWEEN 21599 PRECEDING AND CURRENT ROW) AS n FROM events""",
@@ -110,7 +119,7 @@ def verdicts(r, name: str, hours: int, mass: bool):
     requests = events.filter("event_type <> 'error'").withColumn("iat", F.col("ts") - F.expr("interval 6 hours"))
     marks = events.filter("event_type = 'error'").withColumn("expires_at", F.col("ts") + F.expr(f"interval {hours} hours"))
     rows = state.requests_and_marks(requests, marks, "user_id", issued="iat" if mass else None, mark="ts" if mass else None, salts=2)
-    state.run_verdicts(r.spark, rows, 7200, out, checkpoint)
+    state.run_verdicts(rows, 7200, out, checkpoint)
     found = r.spark.read.schema("pedido long, momento timestamp, rechazado boolean").parquet(out)
     return found.select(F.col("pedido").alias("event_id"), "rechazado")
 

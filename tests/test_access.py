@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -64,3 +65,21 @@ def test_overlapping_revocations_keep_one_row(spark):
     revocations = with_expiry(spark.createDataFrame([("j", at(0)), ("j", at(10))], "jti string, t timestamp"), "t", 60).drop("t")
     requests = spark.createDataFrame([(1, "j", at(20))], "id int, jti string, ts timestamp")
     assert access.revoked(requests, revocations, "jti").count() == 1
+
+
+def test_overlapping_revocations_and_busy_tokens(spark):
+    rng = random.Random(2)
+    marks = [(rng.choice(["a", "b", None]), at(s := rng.randrange(20_000)), at(s + rng.choice([0, 5, 900, 9000]))) for _ in range(60)]
+    asked = [(i, rng.choice(["a", "a", "b", "c", None]), at(rng.randrange(30_000))) for i in range(400)] + [(1, "a", at(5))]
+    revocations = spark.createDataFrame(marks, "jti string, set_at timestamp, expires_at timestamp")
+    out = access.revoked(spark.createDataFrame(asked, "id int, jti string, ts timestamp"), revocations, "jti").collect()
+    wanted = sorted((i, str(j), any(j == k and a <= t < b for k, a, b in marks if k)) for i, j, t in asked)
+    assert sorted((r.id, str(r.jti), r.rechazado) for r in out) == wanted and out[0].asDict().keys() == {"id", "jti", "ts", "rechazado"}
+
+
+def test_sliding_window_of_busy_seconds(spark):
+    rng = random.Random(3)
+    asked = [(i, rng.choice([7, 7, 8, None]), at(rng.randrange(300))) for i in range(500)]
+    out = access.sliding_counts(spark.createDataFrame(asked, "event_id int, user_id int, ts timestamp"), 60).collect()
+    wanted = {i: sum(v == u and 0 <= (t - s).total_seconds() < 60 for _, v, s in asked) for i, u, t in asked}
+    assert len(out) == 500 and {r.event_id: r.n for r in out} == wanted

@@ -93,7 +93,7 @@ def test_verdicts_by_keyed_state_over_a_restart(spark, tmp_path):
             asked = stream.filter("not mark").withColumn("iat", F.col("ts") - F.expr("interval 20 minutes"))
             set_ = stream.filter("mark").withColumn("expires_at", F.col("ts") + F.expr("interval 30 minutes"))
             both = state.requests_and_marks(asked, set_, "user_id", issued="iat" if mass else None, mark="ts" if mass else None, salts=3)
-            state.run_verdicts(spark, both, 600, out, cp)
+            state.run_verdicts(both, 600, out, cp)
 
         for k, part in enumerate((rows[:110], rows[110:220])):
             spark.createDataFrame(part, schema).coalesce(1).write.parquet(f"{src}/f{k}")
@@ -105,3 +105,16 @@ def test_verdicts_by_keyed_state_over_a_restart(spark, tmp_path):
         wanted = {i: any(u == v and live(t, m) for _, v, m in marks) for i, u, t in requests}
         got = spark.read.parquet(out).collect()
         assert 0 < first < 300 and len(got) == 300 and {r.pedido: r.rechazado for r in got} == wanted and len(set(wanted.values())) == 2
+
+
+def test_limit_by_keyed_state_over_a_restart(spark, tmp_path):
+    src, out, cp = (str(tmp_path / x) for x in ("in", "out", "cp"))
+    rows = [(i, 7 if i % 3 else 8, utc(2026, 1, 1) + dt.timedelta(seconds=i)) for i in range(200)]
+    for k, part in enumerate((rows[:70], rows[70:100], rows[100:])):
+        spark.createDataFrame(part[::-1], SCHEMA).coalesce(1).write.parquet(f"{src}/f{k}")
+        if k:
+            stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(src)
+            state.run_limits(stream, out, cp, 10, 60, 60)
+    wanted = {r.event_id: r.aceptado for r in rate_limit(spark.createDataFrame(rows, SCHEMA), 10, 60).collect()}
+    got = spark.read.parquet(out).collect()
+    assert len(got) == 200 and {r.pedido: r.aceptado for r in got} == wanted
