@@ -1,8 +1,8 @@
 """Links between near copies, and their components, without emitting all pairs of a group.
 
 A bucket is all ids that share a key. In each of ``LEADERS`` rounds a bucket compares its members with one leader (the first in one of ``ORDERS``
-random orders, so that a group of many buckets has several), and confirmed links are contracted
-to components, which joins a group of n copies by n comparisons. A bucket whose members are in one component is done:
+random orders, so that a group of many buckets has several), where each component takes one of the leaders of its buckets. Confirmed links are
+contracted to components, which joins a group of n copies by about n comparisons and links. A bucket whose members are in one component is done:
 further pairs could only repeat a link. What may still be linked in the others is found exactly:
 
 The buckets whose leaders are in one component form a group with one reference set ``r``, and members are written as differences to
@@ -50,6 +50,18 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).union(edges.select("b", "b").distinct())
 
 
+def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after further links; only the components that these join go through union-find."""
+    place = lambda c: found.select(F.col("id").alias(c), F.col("component").alias(f"{c}_at"))
+    ends = links.join(place("a"), "a", "left").join(place("b"), "b", "left").select(F.coalesce("a_at", "a").alias("a"), F.coalesce("b_at", "b").alias("b"))
+    ends = written(ends.where("a <> b").distinct(), "joins")
+    if ends.isEmpty():
+        return found
+    roots = written(components(ends), "roots")
+    moved = found.join(roots.select(F.col("id").alias("component"), F.col("component").alias("root")), "component", "left").select("id", F.coalesce("root", "component").alias("component"))
+    return written(moved.union(roots.join(found.select("id"), "id", "left_anti")), "found")
+
+
 def _confirmed(pairs: DataFrame, items: DataFrame, as_set: Callable[[Column], Column]) -> DataFrame:
     """Pairs whose sets are similar; what stands for a set travels, and becomes the set after the joins."""
     left, right = items.select(F.col("id").alias("a"), F.col("s").alias("x")), items.select(F.col("id").alias("b"), F.col("s").alias("y"))
@@ -127,14 +139,17 @@ def link(keys: DataFrame, items: DataFrame, as_set: Callable[[Column], Column] =
     def add(new: DataFrame) -> None:
         nonlocal edges, found
         new = written(new.select("a", "b"), "links")
-        if not new.isEmpty():
-            edges = new if edges is None else edges.union(new)
-            found = components(edges)
+        if new.isEmpty():
+            return
+        edges = new if edges is None else edges.union(new)
+        found = components(new) if found is None else _merged(found, new)
 
     for turn in range(LEADERS):
         state, buckets = _open(keys, found, turn)
         inside = state.join(buckets, "key").where("component <> leader.component and 5 * least(n, leader.n) >= 4 * greatest(n, leader.n)")
-        add(_confirmed(inside.select(F.col("id").alias("a"), F.col("leader.id").alias("b")), items, as_set))
+        # one leader for each component: more could hardly tell more, and what they miss is found below
+        chosen = inside.groupBy("component").agg(F.min_by(F.struct("id", F.col("leader.id").alias("to")), F.struct(F.xxhash64(F.lit(turn), "leader.component"), F.xxhash64("id", "leader.id"))).alias("p"))
+        add(_confirmed(chosen.select(F.col("p.id").alias("a"), F.col("p.to").alias("b")), items, as_set))
     degrees = None if edges is None else written(edges.groupBy(F.col("b").alias("id")).agg(F.count("*").alias("degree")), "degrees")
 
     state, buckets = _open(keys, found, LEADERS, degrees)
