@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from scholarmart.llm.common import WordHashes, shingles, words_of
 from scholarmart.llm.components import components, link
@@ -141,6 +142,16 @@ def test_lines_of_odd_rows(docs_of, odd_rows):
     assert dedup_lines(docs_of([])).count() == 0
 
 
+def test_line_dedup_stage_keeps_columns_of_any_name(docs_of):
+    line = "this very line stands in both of the documents"
+    docs = docs_of([(1, f"{line}\nand one"), (2, f"{line}\nand two")])
+    docs = docs.withColumns({"n_lines": F.lit(77), "n_dropped": F.col("doc_id") + 87, "rest": F.lit("x"), "row": F.lit("y")})
+    out = without_repeated_lines(docs)
+    assert out.columns == docs.columns
+    found = sorted((r.doc_id, r.text, r.n_chars, r.n_lines, r.n_dropped, r.rest, r.row) for r in out.collect())
+    assert found == [(1, f"{line}\nand one", len(line) + 8, 77, 88, "x", "y"), (2, "and two", 7, 77, 89, "x", "y")]
+
+
 def test_fingerprints_name_the_next_document(docs_of, odd_rows):
     import hashlib
 
