@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from scholarmart.contracts import FAVOURITE, PUBLICATION, VIEW
 from scholarmart.functions.scalar import month_index, round_half_up
 from scholarmart.operators.aggregates import monthly_series, sum_if
-from scholarmart.operators.ranking import global_ntile, running, top_k
+from scholarmart.operators.ranking import ntile_by_counts, running, top_k
 
 FIRST_DAY = dt.date(2024, 1, 1)
 
@@ -42,11 +42,11 @@ def segment_authors(
     school: str | None = None,
     slices: int | None = None,
 ) -> DataFrame:
-    """Authors in a matrix of volume and impact, both cut at the median of the filtered authors."""
+    """Authors in a matrix of volume and impact, both cut at the median of the filtered authors, which counts per value give."""
     metrics = author_metrics(fact, users, types, start, end or dt.date.today(), school)
-    by_volume = global_ntile(metrics, 2, [F.col("n_publicaciones").asc(), F.col("id_usuario").asc()], "q_vol", slices)
-    both = global_ntile(by_volume, 2, [F.col("impacto").asc(), F.col("id_usuario").asc()], "q_imp", slices)
-    high_volume, high_impact = F.col("q_vol") == 2, F.col("q_imp") == 2
+    halves = {"half_of_volume": ("n_publicaciones", 2), "half_of_impact": ("impacto", 2)}
+    both = ntile_by_counts(metrics, halves, "id_usuario", slices)
+    high_volume, high_impact = F.col("half_of_volume") == 2, F.col("half_of_impact") == 2
     segment = (
         F.when(high_volume & high_impact, "Referente")
         .when(high_volume, "Prolifico sin alcance")

@@ -56,6 +56,71 @@ def global_ntile(df: DataFrame, tiles: int, order: Sequence[Column], name: str,
     return out.select(*df.columns, (tile + 1).cast("int").alias(name))
 
 
+def tile_starts(rows: int, tiles: int) -> list[int]:
+    """Where the second and later tiles of NTILE begin, counted from zero; tiles without rows are left out."""
+    small, extra = divmod(rows, tiles)
+    starts = (j * small + min(j, extra) for j in range(1, tiles))
+    return [s for s in starts if s < rows]
+
+
+def _reached(value: Column, tie: Column, at: object, first: object) -> Column:
+    """Whether a row is at or behind a cut; nulls come first."""
+    behind = value.isNotNull() if at is None else F.coalesce(value > F.lit(at), F.lit(False))
+    there = value.isNull() if at is None else value.eqNullSafe(F.lit(at))
+    return behind | (there if first is None else there & (tie >= F.lit(first)))
+
+
+def ntile_by_counts(df: DataFrame, tiles: Mapping[str, tuple[str, int]], tie: str, slices: int | None = None) -> DataFrame:
+    """NTILE columns ``name: (measure, tiles)`` in rising order of the measure, then of ``tie``, which must be unique and not null.
+
+    Rows are counted per distinct value, and running sums over these counts tell in which value a tile begins. Only the rows of
+    such a value (at most ``tiles - 1`` of them) are put in order, over many tasks however many rows share it, to find the first ``tie`` of the tile. Then every
+    row compares itself with the cuts: the frame is neither sorted nor shuffled nor written. ``df`` is computed three times.
+    Null measures come first, as in Spark's ascending order; an empty frame stays empty.
+    """
+    measures = list(dict.fromkeys(m for m, _ in tiles.values()))
+    counts = materialize(df.groupBy(*measures).agg(F.count("*").alias("_n")))
+    total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    starts = {name: tile_starts(total, n) for name, (_, n) in tiles.items()}
+    wanted = {m: sorted({s for name, (of, _) in tiles.items() if of == m for s in starts[name]}) for m in measures}
+
+    # (measure, place) -> the value that place falls into; as many rows as there are tiles
+    values: dict[tuple[str, int], object] = {}
+    shared: list[tuple[str, object, int, list[int]]] = []  # values that a tile begins inside of
+    for measure, places in wanted.items():
+        if not places:
+            continue
+        run = running(counts.groupBy(measure).agg(F.sum("_n").alias("_n")), [F.col(measure).asc()], {"n": F.col("_n")}, slices)
+        begin = F.col("_run_n") - F.col("_n")
+        holds = F.exists(F.array(*map(F.lit, places)), lambda p: (begin <= p) & (p < F.col("_run_n")))
+        for value, first, n in run.filter(holds).select(measure, begin.cast("long"), "_n").collect():
+            inside = [p for p in places if first <= p < first + n]
+            values.update({(measure, p): value for p in inside})
+            if any(p > first for p in inside):
+                shared.append((measure, value, n, [p - first for p in inside if p > first]))
+                values.update({(measure, p): (value, len(shared) - 1, p - first) for p in inside if p > first})
+
+    ties: dict[tuple[int, int], object] = {}
+    if shared:
+        groups = F.array_compact(F.array(*[F.when(F.col(m).eqNullSafe(F.lit(v)), g) for g, (m, v, _, _) in enumerate(shared)]))
+        rows = df.select(F.explode(groups).alias("_g"), F.col(tie).alias("_tie"))
+        offsets = [sum(n for _, _, n, _ in shared[:g]) for g in range(len(shared))]
+        targets = {offsets[g] + place + 1: (g, place) for g, (_, _, _, inside) in enumerate(shared) for place in inside}
+        ordered = running(rows, [F.col("_g").asc(), F.col("_tie").asc()], {"n": F.lit(1)}, slices)
+        hits = ordered.filter(F.col("_run_n").isin(list(targets))).select("_run_n", "_tie")
+        ties = {targets[at]: first for at, first in hits.collect()}
+
+    def tile(name: str) -> Column:
+        measure, number = tiles[name][0], F.lit(1)
+        for place in starts[name]:
+            found = values[measure, place]
+            at, first = (found[0], ties[found[1], found[2]]) if isinstance(found, tuple) else (found, None)
+            number = number + _reached(F.col(measure), F.col(tie), at, first).cast("int")
+        return number.cast("int").alias(name)
+
+    return df.select(*df.columns, *[tile(name) for name in tiles])
+
+
 def cumulative_share(df: DataFrame, measure: str, tie_break: str, slices: int | None = None) -> DataFrame:
     """Position by falling measure and the share of the total reached so far."""
     order = [F.col(measure).desc_nulls_last(), F.col(tie_break).asc()]

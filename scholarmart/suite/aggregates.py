@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from scholarmart.contracts import FAVOURITE, VIEW
 from scholarmart.functions.scalar import round_half_up
-from scholarmart.operators import access, aggregates, mining, ranking
+from scholarmart.operators import access, aggregates, mining, ranking, sketches
 from scholarmart.operators.suggest import expand_prefixes
 from scholarmart.plans import dashboard, metrics
+from scholarmart.session import scratch_path
 from scholarmart.suite.registry import query, rnd
 from scholarmart.suite.roles import prefixes_sql
 
@@ -184,6 +185,22 @@ def a_19_approx(r):
     return metrics.type_diversity(r.dim_documento, r.dim_materia, approximate=True)
 
 
+@query(
+    "a_19_sketch",
+    """SELECT event_type, CAST(date_trunc('month', ts) AS DATE) AS mes, count(DISTINCT CAST(ts AS DATE)) AS dias, count(DISTINCT user_id) AS usuarios, true AS dentro FROM events GROUP BY ALL""",
+)
+def a_19_sketch(r):
+    """Users per kind and month by merging stored daily sketches, held against the exact count: within five standard errors."""
+    path, events = scratch_path(r.spark, "sketches"), r.table("events")
+    sketches.daily_sketches(events, ["event_type"], F.to_date("ts"), "user_id").write.parquet(path)
+    daily = r.spark.read.parquet(path).withColumn("mes", F.trunc("fecha", "month"))
+    days = daily.groupBy("event_type", "mes").agg(F.count("*").alias("dias"))
+    found = sketches.merged_distinct(daily, ["event_type", "mes"], "estimado").join(days, ["event_type", "mes"])
+    exact = events.groupBy("event_type", F.to_date(F.date_trunc("month", "ts")).alias("mes")).agg(F.countDistinct("user_id").alias("usuarios"))
+    near = F.abs(F.col("estimado") - F.col("usuarios")) <= F.lit(5 * sketches.relative_error()) * F.col("usuarios")
+    return exact.join(found, ["event_type", "mes"], "left").select("event_type", "mes", "dias", "usuarios", F.coalesce(near, F.lit(False)).alias("dentro"))
+
+
 @query("a_20", "SELECT CAST(hour(ts) AS INTEGER) AS hora, count(*) AS eventos FROM events GROUP BY ALL")
 def a_20(r):
     return metrics.activity_by_hour(r.table("events"))
@@ -214,8 +231,18 @@ def a_21_favourites(r):
 )
 def w_1(r):
     rows = r.fact_interaccion_autor.filter("id_tipo_interaccion IN (2, 3)").groupBy("id_usuario").agg(F.sum("cant_interacciones").alias("impacto"))
-    order = [F.col("impacto").asc(), F.col("id_usuario").asc()]
-    return ranking.global_ntile(ranking.global_ntile(rows, 2, order, "mitad"), 7, order, "septil")
+    return ranking.ntile_by_counts(rows, {"mitad": ("impacto", 2), "septil": ("impacto", 7)}, "id_usuario")
+
+
+@query(
+    "w_1_ties",
+    """SELECT event_id, hora, CAST(ntile(10) OVER (ORDER BY hora, event_id) AS INTEGER) AS decil, CAST(ntile(3) OVER (ORDER BY largo, event_id) AS INTEGER) AS tercio
+       FROM (SELECT event_id, CAST(hour(ts) AS INTEGER) AS hora, length(event_type) AS largo FROM events)""",
+)
+def w_1_ties(r):
+    """Few distinct values, each with many rows."""
+    rows = r.table("events").select("event_id", F.hour("ts").alias("hora"), F.char_length("event_type").alias("largo"))
+    return ranking.ntile_by_counts(rows, {"decil": ("hora", 10), "tercio": ("largo", 3)}, "event_id").drop("largo")
 
 
 @query("w_2", SERIES_SQL)

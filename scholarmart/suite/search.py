@@ -10,7 +10,7 @@ from scholarmart.contracts import WAREHOUSE_TABLES
 from scholarmart.functions.scalar import round_half_up
 from scholarmart.functions.text import search_tokens
 from scholarmart.operators import neighbours, ranking, search, selection, suggest
-from scholarmart.plans import indexing, metrics, postings
+from scholarmart.plans import completions, indexing, metrics, postings
 from scholarmart.plans.popularity import load_popularity
 from scholarmart.session import scratch_path
 from scholarmart.sources.tables import ensure_table
@@ -168,6 +168,32 @@ def h_9_batch(r):
     return suggest.fuzzy_matches(r.popularidad, typed)
 
 
+def batch_sql(typed: str, hit: str, n: int) -> str:
+    """The first ``n`` hits of every prefix that was typed."""
+    return f"""SELECT prefix, posicion, query_texto, score FROM (SELECT t.prefix, p.query_texto, p.score,
+          CAST(row_number() OVER (PARTITION BY t.prefix ORDER BY p.score DESC, p.query_texto) AS INTEGER) AS posicion
+        FROM popularidad p JOIN ({typed}) t ON {hit}) WHERE posicion <= {n}"""
+
+
+def completion_table(r, n: int):
+    root = scratch_path(r.spark, "completions")
+    completions.store(r.popularidad, root, n)
+    return completions.stored(r.spark, root)
+
+
+@query("h_8_batch", batch_sql("SELECT DISTINCT substr(lower(text), 1, n) AS prefix FROM benchmark, range(0, 6) s(n)", "starts_with(p.query_texto, t.prefix)", 5))
+def h_8_batch(r):
+    typed = r.table("benchmark").select(F.explode(F.transform(F.sequence(F.lit(0), F.lit(5)), lambda n: F.substring(F.lower("text"), F.lit(1), n))).alias("prefix"))
+    return completions.complete(completion_table(r, 5), typed, 5)
+
+
+@query("h_9_batch_n", batch_sql("SELECT DISTINCT substr(string_split(lower(text), ' ')[1], 1, n) AS prefix FROM benchmark, range(1, 5) s(n)", near_sql("p.query_texto", "t.prefix"), 4))
+def h_9_batch_n(r):
+    first = F.element_at(F.split(F.lower("text"), " "), 1)
+    typed = r.table("benchmark").select(F.explode(F.transform(F.sequence(F.lit(1), F.lit(4)), lambda n: F.substring(first, F.lit(1), n))).alias("prefix"))
+    return completions.complete_fuzzy(completion_table(r, 4), typed, 4)
+
+
 @query("h_10", "SELECT query_texto, sum(score)::BIGINT AS score FROM (SELECT * FROM popularidad UNION ALL SELECT text, 1 FROM raw_queries) GROUP BY query_texto")
 def h_10(r):
     return suggest.increment(r.popularidad, r.raw_queries.select(F.col("text").alias("query_texto")))

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scholarmart.contracts import VIEW
 from scholarmart.operators import access
 from scholarmart.session import scratch_path
 from scholarmart.sources.keyvalue import live_at, seconds_left, with_expiry
-from scholarmart.streaming import jobs, state
+from scholarmart.streaming import folding, jobs, state
 from scholarmart.suite.registry import query
 from scholarmart.suite.roles import TABLES
 
@@ -161,6 +162,36 @@ def t_5(r):
     return jobs.running_scores(r.spark, out)
 
 
+def arrivals_by_kind(r):
+    """The events as a stream in which every kind is a micro-batch."""
+    path = scratch_path(r.spark, "arrivals")
+    kinds = sorted(x[0] for x in r.table("events").select("event_type").distinct().collect())
+    for kind in kinds:  # files are taken in the order of their times
+        r.table("events").filter(F.col("event_type") == kind).coalesce(1).write.mode("append").parquet(path)
+    return jobs.event_stream(r.spark, path, TABLES["events"], "*.parquet", 1)
+
+
+@query("t_5_fold", "SELECT query_texto, count(*) AS score FROM busqueda GROUP BY query_texto")
+def t_5_fold(r):
+    """Popularity by day in a sink that folds itself: each day has two folders at most."""
+    root, checkpoint = places(r, "popularity-fold")
+    queries = arrivals_by_kind(r).select("ts", F.concat(F.lit("tema "), F.get_json_object("props", "$.k")).alias("query_texto"))
+    folding.fold_counts(queries, root, checkpoint, ["query_texto"], F.col("ts"), most=3)
+    by_day = folding.folded(r.spark, root, T.StructType([T.StructField("query_texto", T.StringType())]))
+    return by_day.groupBy("query_texto").agg(F.sum("n").alias("score"))
+
+
+@query(
+    "t_1_fold",
+    "SELECT user_id, CAST(ts AS DATE) AS dia, count(*) AS n FROM events WHERE CAST(ts AS DATE) >= (SELECT CAST(max(ts) AS DATE) - 6 FROM events) GROUP BY ALL",
+)
+def t_1_fold(r):
+    """Requests per user and day of the last seven days; earlier days have expired."""
+    root, checkpoint = places(r, "requests-fold")
+    folding.fold_counts(arrivals_by_kind(r), root, checkpoint, ["user_id"], F.col("ts"), most=3, keep_days=6)
+    return folding.folded(r.spark, root, T.StructType([TABLES["events"]["user_id"]])).select("user_id", "dia", "n")
+
+
 @query(
     "t_6",
     f"""SELECT event_id, CASE WHEN ts <= TIMESTAMP '{NOON}' AND TIMESTAMP '{NOON}' < ts + INTERVAL 6 HOUR
@@ -224,6 +255,16 @@ def t_9(r):
     return jobs.daily_fact(r.spark, out)
 
 
+@query("t_9_fold", "SELECT * FROM fact_interaccion_documento WHERE id_tipo_interaccion = 2")
+def t_9_fold(r):
+    """The daily fact from a sink that folds itself."""
+    root, checkpoint = places(r, "rollup-fold")
+    views = views_stream(r)
+    folding.fold_counts(views, root, checkpoint, ["id_documento"], F.col("created_at"))
+    by_day = folding.folded(r.spark, root, T.StructType([views.schema["id_documento"]]))
+    return by_day.select(F.col("dia").alias("fecha"), "id_documento", F.lit(VIEW).alias("id_tipo_interaccion"), F.col("n").alias("cant_interacciones"))
+
+
 @query("t_9_author", "SELECT * FROM fact_interaccion_autor WHERE id_tipo_interaccion = 2")
 def t_9_author(r):
     out, checkpoint = places(r, "rollup-author")
@@ -250,11 +291,7 @@ def t_10_stream(r):
     A batch drops what is behind the watermark that the batch before it ran with, which is made of those before that one.
     """
     out, checkpoint = places(r, "late")
-    arrivals = scratch_path(r.spark, "arrivals")
-    kinds = sorted(x[0] for x in r.table("events").select("event_type").distinct().collect())
-    for kind in kinds:  # files are taken in the order of their times
-        r.table("events").filter(F.col("event_type") == kind).coalesce(1).write.mode("append").parquet(arrivals)
-    once = jobs.stream_deduplicated(jobs.event_stream(r.spark, arrivals, TABLES["events"], "*.parquet", 1), "1 hour")
+    once = jobs.stream_deduplicated(arrivals_by_kind(r), "1 hour")
     jobs.run(once, out, checkpoint, metrics=f"{out}-metrics")
     sums = jobs.batch_metrics(r.spark, f"{out}-metrics").agg(F.sum("entradas").alias("entradas"), F.sum("tardias").alias("tardias"))
     return sums.withColumn("unicas", stored(r, out, once).agg(F.count("*").alias("n")).scalar())

@@ -55,3 +55,23 @@ def test_group_limit_runs_before_the_shuffle(spark):
 def test_latest_version(spark):
     df = spark.createDataFrame([(1, 1, "a"), (1, 3, "c"), (1, 2, "b"), (2, 1, "z")], "doc int, version int, t string")
     assert {(r["doc"], r["t"]) for r in ranking.latest_version(df, "doc", "version").collect()} == {(1, "c"), (2, "z")}
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 90])
+@pytest.mark.parametrize("values", [(1,), (None, 5), (None, 1, 1, 1, 1, 2, 3, 40)])
+def test_ntile_by_counts_like_sql(spark, n, values):
+    rng = random.Random(n)
+    df = spark.createDataFrame([(i, rng.choice(values), rng.random() // 0.25) for i in rng.sample(range(1000), n)], "id int, v int, w double")
+    tiles = {"a": ("v", 2), "b": ("v", 7), "c": ("w", 4), "d": ("w", 1)}
+    got = {tuple(r) for r in ranking.ntile_by_counts(df, tiles, "id", slices=3).collect()}
+    df.createOrReplaceTempView("nt")
+    over = ", ".join(f"ntile({k}) OVER (ORDER BY {m}, id) AS {name}" for name, (m, k) in tiles.items())
+    assert got == {tuple(r) for r in spark.sql(f"SELECT id, v, w, {over} FROM nt").collect()} and len(got) == n
+
+
+def test_ntile_by_counts_neither_sorts_nor_moves_the_rows(spark, tmp_path):
+    spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50).alias("v")).write.parquet(str(tmp_path / "t"))
+    out = ranking.ntile_by_counts(spark.read.parquet(str(tmp_path / "t")), {"t": ("v", 10)}, "id")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not any(node in plan for node in ("Exchange", "Sort", "Window", "Join", "ExistingRDD"))
+    assert {r["count"] for r in out.groupBy("t").count().collect()} == {300}

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from scholarmart.functions.text import deletion_keys, query_prefixes
 from scholarmart.operators import suggest
+from scholarmart.plans import completions
 
 # A few searched texts with their scores.
 QUERIES = [
@@ -71,3 +72,29 @@ def test_increment_and_remove(spark):
     after = suggest.increment(scores, used)
     assert {tuple(r) for r in after.collect()} == {("a", 7), ("b", 1)}
     assert suggest.remove(after, spark.createDataFrame([("a",)], "query_texto string")).count() == 1
+
+
+def test_completions_equal_single_look_ups(spark, queries, tmp_path):
+    extra = [("rueda", 64), ("r", 1), ("", 3), (None, 9), ("ñandú", None), ("redes neuronales", 2)]
+    raw = queries.union(spark.createDataFrame(extra, "text string, score int")).groupBy(F.col("text").alias("query_texto")).agg(F.sum("score").alias("score"))
+    root = str(tmp_path / "table")
+    completions.store(raw, root, 3)
+    table, typed = completions.stored(spark, root), ["", "r", "re", "rw", "rde", "DEEP", "machne", "xyz", "ñan", "redes neuronales recurrentes", None]
+    asked = spark.createDataFrame([(t,) for t in typed + typed], "prefix string")
+    for many, one in ((completions.complete, suggest.suggest), (completions.complete_fuzzy, suggest.suggest_fuzzy)):
+        got = many(table, asked, 2).orderBy("prefix", "posicion").collect()
+        for t in typed[:-1]:
+            want = [tuple(r) for r in one(raw.filter("query_texto is not null"), t, 2).collect()]
+            assert [(r["query_texto"], r["score"]) for r in got if r["prefix"] == t] == want, t
+        assert all(r["prefix"] is not None for r in got)
+    single = completions.stored(spark, root, ["re", "deep"])
+    assert {r["prefijo"] for r in single.collect()} == {"re", "deep"} and len(single.inputFiles()) <= 2
+    completions.store(raw.limit(0), root, 3)
+    assert completions.complete(completions.stored(spark, root), asked, 2).count() == 0
+
+
+def test_short_prefixes_share_no_key(spark):
+    table = completions.completions(spark.createDataFrame([(chr(97 + i) * 3, i) for i in range(26)], "query_texto string, score int"), 2)
+    typed = spark.createDataFrame([(chr(97 + i),) for i in range(26)], "prefix string")
+    plan = completions.complete_fuzzy(table, typed, 2)
+    assert plan.count() == 52 and {r["query_texto"] for r in plan.collect()} == {"zzz", "yyy"}
