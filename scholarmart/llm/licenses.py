@@ -116,9 +116,13 @@ class Searcher:
         out = []
         for notice, own in stretches.items():
             pattern = self.patterns[notice]
-            for low, high in own:
-                for m in pattern.finditer(text, low, high):
+            shortest = len(notice) - edits(notice)
+            while own:  # the best place of a stretch, then what lies before and behind it
+                low, high = own.pop()
+                m = pattern.search(text, low, high) if high - low >= shortest else None
+                if m:
                     out.append((m.start(), m.end(), self.notices[notice], sum(m.fuzzy_counts)))
+                    own += [[low, m.start()], [m.end(), high]]
         return sorted(out)
 
     def verdict(self, text: str | None) -> tuple:

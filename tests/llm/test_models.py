@@ -184,6 +184,14 @@ def words_by_rule(text):
     return re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode()))
 
 
+@pytest.mark.parametrize("text", ["all rights reservd all rights reserved", "all rights reserved all rights reservd", "all rights reservd all rights reserved all rihts reserved"])
+def test_edited_notices_side_by_side(text):
+    words = text.split()
+    spans = Searcher().verdict(text)[7]
+    wanted = [(i, i + 2, "proprietary", int(words[i : i + 3] != ["all", "rights", "reserved"])) for i in range(0, len(words), 3)]
+    assert [(a, b, label, e) for a, b, label, e in spans] == wanted
+
+
 def test_licenses_equal_brute_force(docs_of, odd_rows):
     texts = ["Under the MIT-License; under THE mit license", "CC BY-NC 4.0 cc.by.nc", "apache license, version 2.0", "under the mit  ü license", "Releasd under tha MIT license"]
     rows = [(r[0], r[1]) for r in odd_rows] + [(50 + i, t) for i, t in enumerate(texts)]
