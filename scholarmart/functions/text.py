@@ -42,6 +42,12 @@ def search_tokens(*texts: ColumnLike, stop_words: Sequence[str] = STOP_WORDS, st
     return F.filter(tokens, lambda w: ~w.isin("", *stop_words))
 
 
+def spoken_tokens(*texts: ColumnLike, stop_words: Sequence[str] = STOP_WORDS) -> Column:
+    """Words in lower case with their accents, which a stemmer needs, without stop words."""
+    tokens = F.split(F.lower(F.concat_ws(" ", *[_c(t) for t in texts])), r"[^\p{L}\p{N}]+")
+    return F.filter(tokens, lambda w: ~w.isin("", *stop_words))
+
+
 def query_prefixes(text: ColumnLike, stop_words: Sequence[str] = STOP_WORDS) -> Column:
     """Suggested sub-queries of a query, longest last.
 

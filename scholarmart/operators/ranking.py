@@ -150,6 +150,54 @@ def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column], nam
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 
 
+def spread_rank(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "posicion", slices: int | None = None) -> DataFrame:
+    """Position of every row inside its group, when one group may hold most rows.
+
+    Rows are cut into slices of about equal size by (keys, order), so a large group lies in several. Only a group that comes over from the slice before
+    needs an offset, one for each slice: what it has in earlier slices. ``order`` must be unique within a group.
+    """
+    ranged = _slices(df, [*map(F.col, keys), *order], slices)
+    counts = ranged.groupBy("_slice", *keys).agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_before", F.sum("_n").over(earlier)).filter("_before is not null")
+    offsets = offsets.select(F.col("_slice").alias("_of"), *[F.col(k).alias(f"_key_{k}") for k in keys], "_before")
+    same = F.col("_slice") == F.col("_of")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+    inside = F.row_number().over(Window.partitionBy("_slice", *keys).orderBy(*order))
+    numbered = ranged.withColumn("_inside", inside).join(F.broadcast(offsets), same, "left")  # at most one row for each slice
+    return numbered.select(*df.columns, (F.col("_inside") + F.coalesce("_before", F.lit(0))).cast("long").alias(name))
+
+
+def page_after(df: DataFrame, size: int, order: Mapping[str, bool], after: Sequence[object] | None = None) -> DataFrame:
+    """The page behind the row with these values; ``order`` has the columns, the last one unique, with true for falling ones.
+
+    What a page costs does not depend on its number: rows up to ``after``, the values of the last row seen, are filtered in the scan, and
+    each task keeps ``size`` rows. Nulls come last in either direction.
+    """
+    if after is not None:
+        behind, equal = F.lit(False), F.lit(True)
+        for (name, falling), value in zip(order.items(), after, strict=True):
+            column = F.col(name)
+            if value is None:
+                equal = equal & column.isNull()
+                continue
+            further = (column < F.lit(value)) if falling else (column > F.lit(value))
+            behind = behind | (equal & (further | column.isNull()))
+            equal = equal & (column == F.lit(value))
+        first, value = next(iter(order)), after[0]
+        if value is not None:  # a plain bound, which files are skipped by
+            behind = behind & (F.col(first).isNull() | ((F.col(first) <= F.lit(value)) if order[first] else (F.col(first) >= F.lit(value))))
+        df = df.filter(behind)
+    return top_k(df, size, *[F.col(c).desc_nulls_last() if falling else F.col(c).asc_nulls_last() for c, falling in order.items()])
+
+
+def last_of(page_: DataFrame, order: Mapping[str, bool]) -> tuple | None:
+    """The token for the next page: the values of the last row, or None behind the end."""
+    rows = page_.select(*order).tail(1)
+    return tuple(rows[0]) if rows else None
+
+
 def page(df: DataFrame, number: int, size: int, order: Sequence[Column]) -> DataFrame:
     """Rows of one result page, counted from one."""
     top = numbered_top_k(df, number * size, order, "posicion")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scholarmart.contracts import INT, LONG, TEXT, struct
+from scholarmart.functions.stemming import by_stem
 from scholarmart.operators.ranking import top_k, top_k_per_group
 from scholarmart.sources import versions
 from scholarmart.sources.versions import Manifest
@@ -43,23 +44,24 @@ def count_postings(docs: DataFrame, tokens: str = "tokens", key: str = "id") ->
     return words.filter(F.col("termino").isNotNull()).groupBy("termino", "id", "dl").agg(F.count("*").alias("tf")).select("termino", "id", "tf", "dl")
 
 
-def append(docs: DataFrame, root: str, tokens: str = "tokens", key: str = "id") -> Manifest:
-    """Add documents as a segment. Ids that are stored already have to be removed before."""
+def append(docs: DataFrame, root: str, tokens: str = "tokens", key: str = "id", stems: bool = False) -> Manifest:
+    """Add documents as a segment, under their words or the Spanish stems of these. Ids that are stored already have to be removed before."""
     spark = docs.sparkSession
     base, passing = versions.manifest(spark, root), versions.new_folder()
     # texts are tokenised once, for lengths and postings alike
     slim = docs.select(F.col(key).cast("long").alias("id"), F.col(tokens).alias("tokens"))
     slim.write.parquet(f"{root}/{passing}")
     slim = spark.read.schema(slim.schema).parquet(f"{root}/{passing}")
-    done = versions.commit(spark, root, base, added=segment(slim, root, base))
+    done = versions.commit(spark, root, base, added=segment(slim, root, base, stems=stems))
     versions.drop(spark, root, passing)
     return done
 
 
-def segment(docs: DataFrame, root: str, base: Manifest, tokens: str = "tokens", key: str = "id") -> dict[str, versions.Parts]:
+def segment(docs: DataFrame, root: str, base: Manifest, tokens: str = "tokens", key: str = "id", stems: bool = False) -> dict[str, versions.Parts]:
     """The written parts of a segment behind ``base``, to be committed, alone or with other tables."""
     lengths = docs.select(F.col(key).cast("long").alias("id"), F.greatest(F.size(tokens), F.lit(0)).cast("long").alias("dl"))
-    return _write(docs.sparkSession, root, versions.new_folder(), base.version + 1, count_postings(docs, tokens, key), lengths)
+    counted = count_postings(docs, tokens, key)
+    return _write(docs.sparkSession, root, versions.new_folder(), base.version + 1, by_stem(counted) if stems else counted, lengths)
 
 
 def _write(spark: SparkSession, root: str, folder: str, segment: int, postings: DataFrame, lengths: DataFrame) -> dict[str, versions.Parts]:

@@ -245,6 +245,23 @@ def w_1_ties(r):
     return ranking.ntile_by_counts(rows, {"decil": ("hora", 10), "tercio": ("largo", 3)}, "event_id").drop("largo")
 
 
+@query("w_3_hot", "SELECT event_id, event_type, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id) AS posicion FROM events")
+def w_3_hot(r):
+    """Places within a few large groups, each spread over many tasks."""
+    rows = r.table("events").select("event_id", "event_type", "ts")
+    return ranking.spread_rank(rows, ["event_type"], [F.col("ts").desc(), F.col("event_id").asc()]).drop("ts")
+
+
+@query("l_4_keyset", "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders ORDER BY o_orderdate DESC, o_orderkey LIMIT 25 OFFSET 50")
+def l_4_keyset(r):
+    """The third page, reached by the last rows of the two before it."""
+    order, after = {"o_orderdate": True, "o_orderkey": False}, None
+    rows = r.table("orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    for _ in range(2):
+        after = ranking.last_of(ranking.page_after(rows, 25, order, after), order)
+    return ranking.page_after(rows, 25, order, after)
+
+
 @query("w_2", SERIES_SQL)
 def w_2(r):
     return mining.view_series(r.part_fact, r.dim_tipo_interaccion)

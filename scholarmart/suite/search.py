@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from scholarmart.contracts import WAREHOUSE_TABLES
 from scholarmart.functions.scalar import round_half_up
-from scholarmart.functions.text import search_tokens
+from scholarmart.functions.stemming import by_stem, stem
+from scholarmart.functions.text import search_tokens, spoken_tokens
 from scholarmart.operators import neighbours, ranking, search, selection, suggest
 from scholarmart.plans import completions, indexing, metrics, postings
 from scholarmart.plans.popularity import load_popularity
@@ -168,6 +169,21 @@ def h_9_batch(r):
     return suggest.fuzzy_matches(r.popularidad, typed)
 
 
+@query("h_4_stem")
+def h_4_stem(r):
+    """BM25 over postings stored by Spanish stems; what is asked for is stemmed alike."""
+    root = scratch_path(r.spark, "stems")
+    postings.append(r.table("documents").select(F.col("doc_id").alias("id"), spoken_tokens("text").alias("tokens")), root, stems=True)
+    return postings.Index(r.spark, root).search([stem(t) for t in ("datos", "lenguas", "modelos", "estudiando")], 20)
+
+
+@query("x_18_stem")
+def x_18_stem(r):
+    """How many documents hold every stem, and how often."""
+    docs = r.table("documents").select(F.col("doc_id").cast("long").alias("id"), spoken_tokens("text").alias("tokens"))
+    return by_stem(postings.count_postings(docs)).groupBy("termino").agg(F.count("*").alias("documentos"), F.sum("tf").alias("apariciones"))
+
+
 def batch_sql(typed: str, hit: str, n: int) -> str:
     """The first ``n`` hits of every prefix that was typed."""
     return f"""SELECT prefix, posicion, query_texto, score FROM (SELECT t.prefix, p.query_texto, p.score,

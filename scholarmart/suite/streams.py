@@ -260,7 +260,7 @@ def t_9_fold(r):
     """The daily fact from a sink that folds itself."""
     root, checkpoint = places(r, "rollup-fold")
     views = views_stream(r)
-    folding.fold_counts(views, root, checkpoint, ["id_documento"], F.col("created_at"))
+    folding.fold_counts(views, root, checkpoint, ["id_documento"], F.col("created_at"), grain="month")
     by_day = folding.folded(r.spark, root, T.StructType([views.schema["id_documento"]]))
     return by_day.select(F.col("dia").alias("fecha"), "id_documento", F.lit(VIEW).alias("id_tipo_interaccion"), F.col("n").alias("cant_interacciones"))
 

@@ -2,6 +2,7 @@ import datetime as dt
 import os
 import random
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,7 +35,27 @@ def stored(spark, root, since=None):
     return {(r["dia"], r["k"]): r["n"] for r in folding.folded(spark, root, KEYS, since).collect()}
 
 
-def test_files_stay_bounded_over_200_batches(spark, tmp_path):
+@pytest.fixture
+def one_task(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_months_of_days(spark, tmp_path):
+    root = str(tmp_path / "sink")
+    rows = [[(utc(2026, m, d), "a") for m in (1, 2) for d in (1, 9, 9 + i)] + [(None, "b")] for i in range(3)]
+    for i, part in enumerate(rows):
+        folding.fold_batch(batch(spark, part), i, root, ["k"], F.col("ts"), most=2, grain="month")
+    now = versions.manifest(spark, root)
+    assert len(now.tables[folding.TABLE]) == 3 and stored(spark, root) == counts(sum(rows, []))
+    late = folding.folded(spark, root, KEYS, dt.date(2026, 1, 11), "month")
+    assert {r["dia"] for r in late.collect()} == {dt.date(2026, 1, 11)} | {dt.date(2026, 2, d) for d in (1, 9, 10, 11)}
+    with pytest.raises(ValueError):
+        folding.fold_batch(batch(spark, []), 9, root, ["k"], F.col("ts"), keep_days=1, grain="month")
+
+
+def test_files_stay_bounded_over_200_batches(spark, tmp_path, one_task):
     root, rng, seen, most_files = str(tmp_path / "sink"), random.Random(3), [], 0
     for i in range(200):
         rows = [(utc(2026, 1, 1 + i // 100, rng.randrange(24)), rng.choice(["a", "a", "b", None])) for _ in range(3)]

@@ -75,3 +75,35 @@ def test_ntile_by_counts_neither_sorts_nor_moves_the_rows(spark, tmp_path):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert not any(node in plan for node in ("Exchange", "Sort", "Window", "Join", "ExistingRDD"))
     assert {r["count"] for r in out.groupBy("t").count().collect()} == {300}
+
+
+@pytest.mark.parametrize("n", [0, 1, 400])
+def test_places_within_a_hot_group(spark, n):
+    rng = random.Random(n)
+    # one day has nine tenths of the rows, one group is null, a key of two columns
+    rows = [(i, 1 if rng.random() < 0.9 else rng.choice([None, 2, 3]), rng.choice("ab"), rng.randrange(9)) for i in range(n)]
+    df = spark.createDataFrame(rows, "id int, day int, kind string, v int").repartition(3)
+    order = [F.col("v").desc(), F.col("id").asc()]
+    got = ranking.spread_rank(df, ["day"], order, "p", slices=6)
+    df.createOrReplaceTempView("hot")
+    want = spark.sql("SELECT *, row_number() OVER (PARTITION BY day ORDER BY v DESC, id) AS p FROM hot")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    both = ranking.spread_rank(df, ["day", "kind"], order, "p", slices=5)
+    want = spark.sql("SELECT *, row_number() OVER (PARTITION BY day, kind ORDER BY v DESC, id) AS p FROM hot")
+    assert sorted(map(str, both.collect())) == sorted(map(str, want.collect()))
+
+
+@pytest.mark.parametrize("falling", [True, False])
+def test_pages_by_keys_are_the_whole_order(spark, falling, tmp_path):
+    rows = [(i, None if i % 7 == 0 else i % 4) for i in range(30)]
+    spark.createDataFrame(rows, "id int, v int").coalesce(1).write.parquet(str(tmp_path / "t"))
+    df, order, after, seen = spark.read.parquet(str(tmp_path / "t")), {"v": falling, "id": False}, None, []
+    while True:
+        page = ranking.page_after(df, 4, order, after)
+        after = ranking.last_of(page, order)
+        if after is None:
+            break
+        seen += [tuple(r) for r in page.collect()]
+    assert seen == sorted(rows, key=lambda r: (r[1] is None, (-r[1] if falling else r[1]) if r[1] is not None else 0, r[0]))
+    plan = ranking.page_after(df, 4, order, (2, 6))._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or" in plan and "TakeOrderedAndProject" in plan
