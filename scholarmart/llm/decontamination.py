@@ -110,8 +110,10 @@ def _found(docs: DataFrame, items: DataFrame, size: int, tenths: int) -> DataFra
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).select(_uid().alias("uid"), "doc_id", "text")
     hits = written(slim.mapInPandas(_search(size, classes, known_keys, known_shingles), "uid long, doc_id long, keys array<long>, own array<long>"), "hits")
     pairs = hits.select("uid", F.explode("keys").alias("key")).join(item_keys, "key").select("uid", "item_id").distinct()
-    counts = hits.select("uid", "doc_id", F.explode("own").alias("shingle")).distinct().join(item_shingles, "shingle").groupBy("uid", "doc_id", "item_id").agg(F.max("n").alias("n_shingles"), F.count("*").alias("n_found"))
-    return counts.where(10 * F.col("n_found") >= tenths * F.col("n_shingles")).join(pairs, ["uid", "item_id"])
+    # shared shingles are counted for these candidates only, so a phrase of many documents and items makes no rows of its own
+    held = hits.select("uid", "doc_id", "own").join(pairs, "uid").select("uid", "doc_id", "item_id", F.explode("own").alias("shingle")).distinct()
+    counts = held.join(item_shingles, ["item_id", "shingle"]).groupBy("uid", "doc_id", "item_id").agg(F.max("n").alias("n_shingles"), F.count("*").alias("n_found"))
+    return counts.where(10 * F.col("n_found") >= tenths * F.col("n_shingles"))
 
 
 def contained_items(docs: DataFrame, items: DataFrame, size: int = 5, tenths: int = 8) -> DataFrame:
