@@ -2,13 +2,14 @@
 
 Terms of a text are its words in lower case and their first 4, 5 and 6 letters, hashed to ``2 ** BITS`` places; each counts once
 a window. The machine adds linear weights and, by factors of ``RANK`` numbers a term, the interaction of every pair of terms
-in the window, so it can learn that an insult with a mention of a group weighs more than both. A text is cut into
-windows of ``WINDOW`` words over its whole length, and its most toxic window decides: the score is the
-largest of them, so long clean parts do not water an insult down.
-
-It is fitted by AdaGrad in numpy on a sample bounded by ``PER_CLASS`` labelled texts of each class in expectation, chosen by a
-hash of the id. In each pass the most toxic window of a toxic text learns the label 1 and, of a clean text, ``CLEAN_WINDOWS``
-windows learn the label 0, its most toxic one among them. A fifth of the sample is not learned but sets slope and offset of
+in the window, so it can learn that an insult with a mention of a group weighs more than both. A text is cut over its
+whole length into windows of ``2 * STEP`` words, one every ``STEP`` words, so two words at most ``STEP`` apart meet in one; its most
+toxic window decides: the score is the largest of them, so long clean parts do not water an insult down.
+
+It is fitted by AdaGrad in numpy on a sample of labelled texts chosen by a hash of the id: ``PER_CLASS`` of each class in expectation, and in that
+order only texts whose terms fit in ``MOST_PLACES`` places together (256 MB), so one very long text cannot fill the driver. As no
+label says which window is toxic, the first ``WHOLE`` passes learn a text's label for all its windows with equal weights; every further pass halves the
+share that is learned, the most toxic windows first, down to one. A fifth of the sample is not learned but sets slope and offset of
 the logistic that turns a text's largest margin into its score, with equal weight for either class. Empty texts and nulls have no terms and score by
 the offset alone. Without labels of both classes all scores are 0.
 """
@@ -24,10 +25,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scholarmart.llm.common import remainder
+from scholarmart.llm.common import remainder, written
 
-BITS, RANK, WINDOW = 18, 8, 64
-PER_CLASS, CLEAN_WINDOWS, EPOCHS, RATE, DECAY, SEED = 2500, 2, 6, 0.3, 1e-4, 1
+BITS, RANK, STEP = 18, 8, 32
+PER_CLASS, MOST_PLACES, BATCH, EPOCHS, WHOLE, RATE, DECAY, SEED = 2500, 1 << 26, 32, 12, 2, 0.3, 1e-4, 1
 MASK = (1 << BITS) - 1
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -46,12 +47,15 @@ class Terms(dict):
 def windows(text: str | None, terms: Terms) -> tuple[np.ndarray, np.ndarray]:
     """Places of all terms window after window, and where each window begins. There is one window at least."""
     words = WORD.findall(text.lower()) if text else []
+    parts: list[set[int]] = []
+    for at in range(0, len(words), STEP):
+        own: set[int] = set()
+        own.update(*map(terms.__getitem__, words[at : at + STEP]))
+        parts.append(own)
     out, starts = [], []
-    for at in range(0, max(1, len(words)), WINDOW):
+    for k in range(max(1, len(parts) - 1)):  # a window is two parts
         starts.append(len(out))
-        own: set[int] = set()
-        own.update(*map(terms.__getitem__, words[at : at + WINDOW]))
-        out.extend(own)
+        out.extend(set().union(*parts[k : k + 2]))
     return np.array(out, np.int32), np.array(starts, np.int64)
 
 
@@ -75,7 +79,6 @@ class Machine:
             out[full] += np.add.reduceat(self.linear[places], at) / np.sqrt(n) + 0.5 * ((sums * sums).sum(axis=1) - squares) / n
         return out
 
-
     def score(self, places: np.ndarray, starts: np.ndarray) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.slope * float(self.margins(places, starts).max()) + self.shift, -30, 30))))
 
@@ -94,39 +97,43 @@ def calibrate(fm: Machine, margins: np.ndarray, y: np.ndarray) -> None:
         fm.slope, fm.shift = map(float, theta)
 
 
+def _picked(fm: Machine, text: tuple[np.ndarray, np.ndarray], share: float) -> tuple[list[np.ndarray], float]:
+    """The most toxic windows of a text, a share of them but one at least, and the weight of each."""
+    places, starts = text
+    count = max(1, int(len(starts) * share))
+    top = range(count) if count == len(starts) else np.argpartition(-fm.margins(places, starts), count - 1)[:count]
+    ends = np.append(starts[1:], len(places))
+    return [places[starts[k] : ends[k]] for k in top], 1 / count
+
+
 def train(texts: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, epochs: int = EPOCHS) -> Machine:
     rng = np.random.default_rng(SEED)
     fm = Machine(rng)
     everything = rng.permutation(len(texts))
     kept, learned = everything[: len(texts) // 5], everything[len(texts) // 5 :]
     seen_w, seen_v, seen_b = np.full(1 << BITS, 1e-6, np.float32), np.full((1 << BITS, RANK), 1e-6, np.float32), 1e-6
-    for _ in range(epochs):
+    for epoch in range(epochs):
+        share = 0.5 ** max(0, epoch - WHOLE + 1)
         order = rng.permutation(learned)
-        for part in np.array_split(order, max(1, len(order) // 64)):
-            chosen, label = [], []
+        for part in np.array_split(order, max(1, len(order) // BATCH)):
+            chosen, label, weight = [], [], []
             for i in part:
-                places, starts = texts[i]
-                ends = np.append(starts[1:], len(places))
-                top = int(fm.margins(places, starts).argmax())
-                picks = {top} if y[i] else {top, *rng.integers(0, len(starts), CLEAN_WINDOWS - 1).tolist()}
-                for k in picks:
-                    chosen.append(places[starts[k] : ends[k]])
-                    label.append(y[i])
-            label = np.array(label, np.float32)
-            sizes = np.array([len(c) for c in chosen])
+                own, each = _picked(fm, texts[i], share)
+                chosen += own
+                label += [y[i]] * len(own)
+                weight += [each] * len(own)
+            label, sizes = np.array(label, np.float32), np.array([len(c) for c in chosen])
             flat, starts = np.concatenate(chosen), np.append(0, np.cumsum(sizes)[:-1])
             p = 1 / (1 + np.exp(-np.clip(fm.margins(flat, starts), -30, 30)))
-            d = (p - label) / len(label)
+            d = (p - label) * np.array(weight, np.float32) / len(part)
             owner = np.repeat(np.arange(len(sizes)), sizes)
             n = np.maximum(sizes, 1).astype(np.float32)
             v = fm.factors[flat]
-            sums = np.zeros((len(sizes), RANK), np.float32)
-            np.add.at(sums, owner, v)
+            sums = np.stack([np.bincount(owner, column, len(sizes)) for column in v.T], axis=1).astype(np.float32)
             gw, gv = d[owner] / np.sqrt(n[owner]), (d / n)[owner][:, None] * (sums[owner] - v)
             used, inverse = np.unique(flat, return_inverse=True)
-            dw, dv = np.bincount(inverse, gw, len(used)).astype(np.float32) + DECAY * fm.linear[used], np.zeros((len(used), RANK), np.float32)
-            np.add.at(dv, inverse, gv.astype(np.float32))
-            dv += DECAY * fm.factors[used]
+            dw = np.bincount(inverse, gw, len(used)).astype(np.float32) + DECAY * fm.linear[used]
+            dv = np.stack([np.bincount(inverse, column, len(used)) for column in gv.T], axis=1).astype(np.float32) + DECAY * fm.factors[used]
             seen_w[used] += dw * dw
             seen_v[used] += dv * dv
             fm.linear[used] -= RATE * dw / np.sqrt(seen_w[used])
@@ -137,11 +144,14 @@ def train(texts: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, epochs: int
     return fm
 
 
+FEATURED = "doc_id long, toxic int, turn long, places binary, starts binary"
+
+
 def _featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     terms = Terms()
     for batch in batches:
         rows = [windows(text, terms) for text in batch["text"]]
-        yield pd.DataFrame({"doc_id": batch["doc_id"], "toxic": batch["toxic"], "places": [p.tobytes() for p, _ in rows], "starts": [s.tobytes() for _, s in rows]})
+        yield pd.DataFrame({"doc_id": batch["doc_id"], "toxic": batch["toxic"], "turn": batch["turn"], "places": [p.tobytes() for p, _ in rows], "starts": [s.tobytes() for _, s in rows]})
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Machine | None:
@@ -152,13 +162,17 @@ def fit(docs: DataFrame, labels: DataFrame) -> Machine | None:
         return None
     unit = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
     rate = F.when(F.col("toxic") == 1, min(1.0, PER_CLASS / counts[1])).otherwise(min(1.0, PER_CLASS / counts[0]))
-    # at most about twice PER_CLASS rows of 12 bytes, so the plan may send them to all tasks
-    chosen = known.where(unit < rate)
+    # at most about twice PER_CLASS rows of 20 bytes, so the plan may send them to all tasks
+    chosen = known.where(unit < rate).withColumn("turn", F.xxhash64(F.lit(SEED + 1), "doc_id"))
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
-    rows = sorted((r.doc_id, r.toxic, bytes(r.places), bytes(r.starts)) for r in found.mapInPandas(_featured, "doc_id long, toxic int, places binary, starts binary").toLocalIterator())
-    if len({r[1] for r in rows}) < 2:
+    rows, room = [], MOST_PLACES
+    for r in written(found.mapInPandas(_featured, FEATURED), "features").orderBy("turn", "doc_id", "starts", "places").toLocalIterator():
+        if len(r.places) // 4 <= room:
+            room -= len(r.places) // 4
+            rows.append((r.toxic, np.frombuffer(r.places, np.int32), np.frombuffer(r.starts, np.int64)))
+    if len({r[0] for r in rows}) < 2:
         return None
-    return train([(np.frombuffer(p, np.int32), np.frombuffer(s, np.int64)) for _, _, p, s in rows], np.array([r[1] for r in rows]))
+    return train([(p, s) for _, p, s in rows], np.array([y for y, _, _ in rows]))
 
 
 def _score(model):

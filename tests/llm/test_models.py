@@ -11,13 +11,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from scholarmart.llm import ppm
+from scholarmart.llm import toxicity as toxicity_module
 from scholarmart.llm.decontamination import contained_items, plain_words, without_items
 from scholarmart.llm.language import identify, with_language
 from scholarmart.llm.licenses import BASE, NOTICES, Searcher, edits, plain, scan
 from scholarmart.llm.mixing import mix, rates, tempered
 from scholarmart.llm.ppm import ORDER, Index, Trie, grams, scores
 from scholarmart.llm.surrogates import PATTERN, replace_entities
-from scholarmart.llm.toxicity import Machine, toxicity
+from scholarmart.llm.toxicity import Machine, Terms, toxicity, train, windows
 
 
 def held(i, parts, rest):
@@ -57,6 +58,48 @@ def test_toxicity_learns_interactions_and_whole_texts(spark, docs_of):
     assert all(r.held_out == held(i, 5, 0) and r.predicted == int(r.score >= 0.5) and 0 <= r.score <= 1 for i, r in out.items())
 
 
+def made_text(rng, size, kind, gap=1, at=None):
+    words = [f"w{chr(97 + rng.randrange(26))}{chr(97 + rng.randrange(26))}" for _ in range(size)]
+    at = rng.randrange(size - gap) if at is None else at
+    if kind in ("both", "insult"):
+        words[at] = "vile"
+    if kind in ("both", "group"):
+        words[at + gap] = "folk"
+    return " ".join(words)
+
+
+def test_the_pair_is_learned_in_texts_of_many_windows():
+    rng, terms, kinds = random.Random(4), Terms(), ["both", "insult", "group", "neither"]
+    drawn = [rng.choice(kinds) for _ in range(3000)]
+    fm = train([windows(made_text(rng, rng.choice([60, 200, 2000]), k, rng.randint(1, 30)), terms) for k in drawn], np.array([int(k == "both") for k in drawn]))
+    rate = lambda *a, n=100: np.mean([fm.score(*windows(made_text(rng, *a), terms)) >= 0.5 for _ in range(n)])
+    for size in (200, 2000):
+        assert all(rate(size, "both", gap) >= 0.9 for gap in (1, 10, 20, 30)), size
+        assert all(rate(size, kind) <= 0.1 for kind in kinds[1:]), size
+    # across every border of a window
+    assert np.mean([fm.score(*windows(made_text(rng, 200, "both", 15, at), terms)) >= 0.5 for at in range(100)]) >= 0.9
+
+
+def test_windows_cover_every_word_and_close_pair():
+    terms = Terms()
+    for size in (0, 1, 31, 32, 33, 64, 65, 96, 97, 500):
+        words = [f"q{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(size)]
+        places, starts = windows(" ".join(words), terms)
+        own = [set(p.tolist()) for p in np.split(places, starts[1:])]
+        assert len(starts) == max(1, -(-size // 32) - 1)
+        assert all(any({*terms[words[i]], *terms[words[j]]} <= w for w in own) for i in range(size) for j in (i, min(i + 32, size - 1)))
+
+
+def test_the_sample_is_bounded_by_its_terms(spark, docs_of, monkeypatch):
+    rng = random.Random(2)
+    rows = [(i, made_text(rng, 4000 if i % 10 == 0 else 20, "both" if i % 2 else "neither")) for i in range(200)]
+    marks = spark.createDataFrame([(i, 1, i % 2) for i, _ in rows], "doc_id long, quality int, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity_module, "MOST_PLACES", 20_000)
+    monkeypatch.setattr(toxicity_module, "train", lambda texts, y: seen.extend(len(p) for p, _ in texts))
+    assert toxicity_module.fit(docs_of(rows), marks) is None and 100 < len(seen) and sum(seen) <= 20_000
+
+
 def test_toxicity_of_odd_rows(spark, docs_of, odd_rows):
     labels = spark.createDataFrame([(5, 1, 1), (4, 1, 0), (None, None, None), (7, 0, None), (6, 1, 1), (2, 1, 0), (3, 0, 0)], "doc_id long, quality int, toxic int")
     for marks in (labels, labels.limit(0)):
