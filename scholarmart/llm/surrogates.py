@@ -6,8 +6,11 @@ same case, addresses of private networks by private ones, name parts by invented
 title or a known given name tells it, gender. A surrogate follows from a keyed SHA-256 hash of kind and canonical form, so an
 entity gets the same one in all documents and in all its spellings (coreference).
 
-Distinct entities keep distinct surrogates: all surrogates are compared with each other and with the originals of the whole
-table, and the later ones of a collision are drawn again until none is left. ``key`` must be kept secret.
+All but names are replaced by a keyed permutation of the forms of their format (``_permuted``), in which no form stands for itself, so entities of one
+format keep distinct surrogates by construction. Where a format has at least ``ROOM`` times as many forms as entities, and for names, surrogates
+are moreover compared with each other and with the originals of the whole table, and the later ones of a collision are drawn again by another
+permutation (a name: with a syllable more) until none is left. A fuller format, such as private addresses of which most occur, has no
+room for that: there a surrogate may be the original of another entity, but never its own. ``key`` must be kept secret.
 
 Null texts stay null, texts without entities stay as they are, repeated rows are replaced alike, and other columns are left
 alone except ``n_chars``, which is counted anew, and ``n_entities``, which is added or replaced.
@@ -30,7 +33,7 @@ _NAME = r"\p{Lu}[\p{L}'’-]+"
 KINDS = {
     "email": r"(?<![\w.+-])[\w.+-]+@[\w-]+(?:\.[\w-]+)+",
     "secret": r"\b(?i:AKIA[0-9A-Z]{16})\b|(?<=\b(?i:password)=)[^\s\"']{6,}|(?<=\b(?i:token) = \")[0-9A-Za-z]{16,}|\b(?i:gh[pousr])_[0-9A-Za-z]{20,}",
-    "phone": r"(?<![\w+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3}[ .-]?\d{3,4}(?!\w)|(?<![\w+])\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\w)|(?<!\w)\(\d{3}\) \d{3}-\d{4}(?!\w)|(?<![\w-])\d{3}-\d{3}-\d{4}(?![\w-])",
+    "phone": r"(?<![\w+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3}[ .-]?\d{3,4}(?!\w)|(?<![\w+])\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\w)|(?<!\w)\(\d{3}\) \d{3}-\d{4}(?!\w)|(?<![\w-])\d{3}-\d{3}-\d{4}(?![\w-])|(?<![\w.-])\d{3}\.\d{3}\.\d{4}(?![\w-])",
     "social": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "card": r"(?<![\w-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?![\w-])",
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\w|\.\d)",
@@ -41,7 +44,13 @@ KINDS = {
 HINT = rf"@|\d{{3}}|\d\.\d|\+\d|(?i:AKIA|password=|token = |gh[pousr]_)|\b(?iu:{'|'.join([*TITLES.values(), *GIVEN.values()])})\b"
 PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
 KEY = "change-me"
-MOST_ROUNDS = 64
+ROOM, TURNS = 4, 4
+#: what may stand in place of a piece of an entity, by a name of one letter; parts of an address are pieces of their own
+FORMS = {
+    "d": list("0123456789"), "l": list("abcdefghijklmnopqrstuvwxyz"), "u": list("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), "h": list("abcdef"), "m": list("!#$%&*?@^~"), "n": list("123456789"),
+    "o": range(256), "first": [k for k in range(1, 224) if k not in (10, 127, 172, 192)], "reserved": [0, *range(224, 256)],
+    "private-172": range(16, 32), "public-172": [k for k in range(256) if not 16 <= k <= 31], "public-192": [k for k in range(256) if k != 168],
+}
 
 
 def matches(text: Column) -> Column:
@@ -74,7 +83,7 @@ def _parts(value: Column, kind: Column) -> Column:
 
 
 def _canonical(role: Column, raw: Column) -> Column:
-    return F.when(role.isin("phone", "card", "social"), _digits(raw)).when(role == "secret", raw).otherwise(F.lower(raw))
+    return F.when(role.isin("phone", "card", "social"), _digits(raw)).when(role == "secret", raw).when(role == "iban", F.lower(F.replace(raw, F.lit(" "), F.lit("")))).otherwise(F.lower(raw))
 
 
 def _draw(key: str, below: int, at: Column | int = 0) -> Column:
@@ -96,37 +105,96 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), n), F.lit(0), lambda a, i: a + F.when((n - i) % 2 == 1, twice(i)).otherwise(one(i))) % 10
 
 
-def _shaped(key: str, kept: Column | int = 0) -> Column:
-    """Letters for letters and digits for digits, of the canonical form; the first ``kept`` characters stay."""
-    chars, hexadecimal = F.split("canonical", ""), F.col("canonical").rlike("^[0-9a-f]{16,}$")
-    one = lambda c, i: (
-        F.when(i < kept, c).when(c.rlike("^[0-9]$"), _pick("0123456789", _draw(key, 10, i))).when(hexadecimal & c.rlike("^[a-f]$"), _pick("abcdef", _draw(key, 6, i))).when(c.rlike("^[a-z]$"), _pick("abcdefghijklmnopqrstuvwxyz", _draw(key, 26, i))).when(c.rlike("^[A-Z]$"), _pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ", _draw(key, 26, i))).when(c.rlike(r"^\p{L}$"), _pick("abcdefghijklmnopqrstuvwxyz", _draw(key, 26, i))).otherwise(c)
+def _forms() -> Column:
+    return F.create_map(*(x for name, own in FORMS.items() for x in (F.lit(name), F.array(*(F.lit(str(v)) for v in own)))))
+
+
+def _check_digit(digits: Column) -> Column:
+    """The last digit that makes the checksum hold."""
+    return (10 - _luhn(F.concat(F.substring(digits, F.lit(1), F.length(digits) - 1), F.lit("0")))) % 10
+
+
+def _pieces(role: Column, canonical: Column) -> Column:
+    """Pieces ``(name, value)`` of a canonical form: the name says what may stand there (``FORMS``), ``=`` and the value that it stays."""
+    piece = lambda name, value: F.struct((F.lit(name) if isinstance(name, str) else name).alias("name"), value.alias("value"))
+    fixed = lambda value: piece(F.concat(F.lit("="), value), value)
+    kept = F.when(role == "card", 1).when(role == "phone", F.greatest(F.lit(0), F.length(canonical) - 10)).when(role == "iban", 2).when((role == "secret") & canonical.rlike("^(?i:AKIA|gh[pousr]_)"), 4).otherwise(0)
+    end = F.length(canonical) - F.when(role == "email", F.length(F.substring_index(canonical, ".", -1))).otherwise(0)
+    hexadecimal = canonical.rlike("^[0-9a-f]{16,}$")
+    marks = F.lit("".join(FORMS["m"]))
+    name = lambda c: F.when(c.rlike("^[0-9]$"), "d").when(hexadecimal & c.rlike("^[a-f]$"), "h").when(c.rlike("^[a-z]$"), "l").when(c.rlike("^[A-Z]$"), "u").when((role == "secret") & marks.contains(c), "m").otherwise(F.concat(F.lit("="), c))
+    chars = F.transform(F.filter(F.split(canonical, ""), lambda c: c != ""), lambda c, i: F.when((i < kept) | (i >= end), fixed(c)).otherwise(piece(name(c), c)))
+    # in place of a card's last digit: by how much it misses the one that makes the checksum hold
+    miss = F.pmod(F.substring(canonical, -1, 1).cast("int") - _check_digit(canonical), F.lit(10)).cast("string")
+    card = F.concat(F.slice(chars, F.lit(1), F.size(chars) - 1), F.array(F.when(miss == "0", fixed(miss)).otherwise(piece("n", miss))))
+
+    octet = F.transform(F.split(canonical, r"\."), lambda o: o.cast("int").cast("string"))
+    address = lambda first, second: F.array(first, second, piece("o", octet[2]), piece("o", octet[3]))
+    stays, middle, second = fixed(octet[0]), octet[1].cast("int").between(16, 31), piece("o", octet[1])
+    ip = (
+        F.when(octet[0].isin("10", "127"), address(stays, second))
+        .when((octet[0] == "192") & (octet[1] == "168"), address(stays, fixed(octet[1]))).when(octet[0] == "192", address(stays, piece("public-192", octet[1])))
+        .when((octet[0] == "172") & middle, address(stays, piece("private-172", octet[1]))).when(octet[0] == "172", address(stays, piece("public-172", octet[1])))
+        .when(octet[0].isin(*map(str, FORMS["first"])), address(piece("first", octet[0]), second)).otherwise(address(piece("reserved", octet[0]), second))
     )
-    return F.array_join(F.transform(F.filter(chars, lambda c: c != ""), one), "")
+    return F.when(role == "ip", ip).when(role == "card", card).otherwise(chars)
+
+
+def _shaped(parts: DataFrame) -> DataFrame:
+    """``parts(role, canonical)`` with the format, its number of forms (null for names), and the pieces as numbers.
+
+    ``ats`` are the places of the pieces among the ``sizes`` forms that may stand there, ``sides`` deal the pieces that change to the two sides of ``_permuted``.
+    """
+    pieces = F.when(~_named(F.col("role")), _pieces(F.col("role"), F.col("canonical")))
+    out = parts.withColumn("pieces", pieces).withColumn("names", F.col("pieces.name"))
+    out = out.withColumn("sizes", F.transform("names", lambda n: F.when(n.startswith("="), 1).otherwise(F.size(F.element_at(_forms(), n)))))
+    ats = F.transform("pieces", lambda p: F.when(p["name"].startswith("="), 0).otherwise(F.array_position(F.element_at(_forms(), p["name"]), p["value"]).cast("int") - 1))
+    before = lambda i: F.size(F.filter(F.slice("sizes", F.lit(1), i), lambda n: n > 1))
+    sides = F.transform("sizes", lambda n, i: F.when(n == 1, -1).otherwise(before(i) % 2))
+    out = out.withColumn("ats", ats).withColumn("sides", sides).withColumn("format", F.concat(F.col("role"), F.lit("|"), F.array_join("names", "")))
+    return out.withColumn("forms", F.aggregate("sizes", F.lit(1.0), lambda n, k: n * k)).drop("pieces")
+
+
+def _permuted(key: str) -> Column:
+    """The places of another form of the format, by a keyed permutation without fixed points.
+
+    A network of ``TURNS`` turns adds to the pieces of either side numbers hashed from the other side, which can be undone, so it
+    permutes the forms. Between the network and its undoing the first piece moves on by one, which no form survives unchanged.
+    """
+    first = F.array_position("sides", 0) - 1
+
+    def turn(ats: Column, t: Column) -> Column:
+        k, sign = F.least(t, 2 * TURNS - t), F.when(t < TURNS, 1).otherwise(-1)
+        other = F.array_join(F.transform(F.filter(ats, lambda a, i: F.col("sides")[i] == 1 - k % 2), lambda a: a.cast("string")), ",")
+        digest = F.sha2(F.concat_ws("|", F.lit(key), "format", F.col("attempt").cast("string"), k.cast("string"), other).cast("binary"), 256)
+        size, side = lambda i: F.col("sizes")[i], lambda i: F.col("sides")[i]
+        added = lambda h: F.transform(ats, lambda a, i: F.when(side(i) == k % 2, F.pmod(a + sign * F.pmod(F.xxhash64(h, i), size(i)), size(i)).cast("int")).otherwise(a))
+        moved = F.transform(ats, lambda a, i: F.when(i == first, (a + 1) % size(i)).otherwise(a))
+        return F.when(t == TURNS, moved).otherwise(F.transform(F.array(digest), added)[0])  # hashed once
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(2 * TURNS)), F.col("ats"), turn)
 
 
 def _name(key: str, consonants: str, vowels: str, female: str, male: str) -> Column:
-    """Syllables of a script with an ending of the gender; later attempts are longer."""
+    """Syllables of a script with an ending of the gender; every attempt is longer than the one before."""
     syllable = lambda i: F.concat(_pick(consonants, _draw(key, len(consonants), 2 * i)), _pick(vowels, _draw(key, len(vowels), 2 * i + 1)))
-    body = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(2) + F.col("attempt") % 4), syllable), "")
-    end = F.when(F.col("role") == "given-f", F.lit(female)).when(F.col("role") == "given-m", F.lit(male)).otherwise(_pick(consonants, _draw(key, len(consonants), 99)))
+    body = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(2) + F.col("attempt")), syllable), "")
+    end = F.when(F.col("role") == "given-f", F.lit(female)).when(F.col("role") == "given-m", F.lit(male)).otherwise(_pick(consonants, _draw(key, len(consonants), -1)))
     return F.concat(body, end)
 
 
 def _surrogate(key: str) -> Column:
     role, canonical = F.col("role"), F.col("canonical")
-    random = _shaped(key, F.when(role == "card", 1).when(role == "phone", F.greatest(F.lit(0), F.length("canonical") - 10)).when(role == "iban", 2).when((role == "secret") & canonical.rlike("^(?i:AKIA|gh[pousr]_)"), 4).otherwise(0))
-    card_body = F.concat(F.substring(random, F.lit(1), F.length(random) - 1), F.lit("0"))
-    card = F.when(_luhn(canonical) == 0, F.concat(F.substring(random, F.lit(1), F.length(random) - 1), ((10 - _luhn(card_body)) % 10).cast("string"))).otherwise(random)
-    octet = lambda i: (_draw(key, 254, i) + 1).cast("string")
-    ip = F.when(canonical.rlike(r"^(10|127)\."), F.concat_ws(".", F.split(canonical, r"\.")[0], octet(1), octet(2), octet(3))).when(canonical.rlike(r"^192\.168\."), F.concat_ws(".", F.lit("192.168"), octet(2), octet(3))).otherwise(F.concat_ws(".", (_draw(key, 115, 0) + 11).cast("string"), octet(1), octet(2), octet(3)))
-    at = F.length(F.substring_index(canonical, ".", -1))
-    email = F.concat(F.substring(random, F.lit(1), F.length(random) - at), F.substring_index(canonical, ".", -1))
+    letters = F.transform(F.col("moved"), lambda a, i: F.when(F.col("names")[i].startswith("="), F.substring(F.col("names")[i], 2, 9)).otherwise(F.element_at(_forms(), F.col("names")[i])[a]))
+    joined = F.when(role == "ip", F.array_join(letters, ".")).otherwise(F.array_join(letters, ""))
+    card = F.concat(F.substring(joined, F.lit(1), F.length(joined) - 1), ((_check_digit(joined) + F.substring(joined, -1, 1).cast("int")) % 10).cast("string"))
+    # a secret of which nothing can change gets hexadecimal digits, more with every attempt
+    fresh = F.substring(F.sha2(F.concat_ws("|", F.lit(key), canonical, F.col("attempt").cast("string")).cast("binary"), 256), F.lit(1), F.length(canonical) + F.col("attempt"))
     cyrillic = _name(key, "бвгдклмнпрст", "аеиоу", "а", "н")
-    latin = _name(key, "bcdfglmnprst", "aeiou", "na", "ro")
     greek = _name(key, "βγδκλμνπρστ", "αειου", "α", "ος")
-    name = F.when(canonical.rlike(r"\p{IsCyrillic}"), cyrillic).when(canonical.rlike(r"\p{IsGreek}"), greek).when(canonical.rlike(r"\p{IsLatin}"), latin).otherwise(random)
-    return F.when(role == "title", canonical).when(role == "ip", ip).when(role == "card", card).when(role == "email", email).when(role.startswith("given") | (role == "surname"), name).otherwise(random)
+    armenian = _name(key, "բգդկլմնպրստ", "աեիու", "ա", "ն")
+    name = F.when(canonical.rlike(r"\p{IsCyrillic}"), cyrillic).when(canonical.rlike(r"\p{IsGreek}"), greek).when(canonical.rlike(r"\p{IsArmenian}"), armenian).otherwise(_name(key, "bcdfglmnprst", "aeiou", "na", "ro"))
+    return F.when(_named(role), name).when(F.col("forms") == 1, fresh).when(role == "card", card).otherwise(joined)
 
 
 def _formatted(role: Column, raw: Column, surrogate: Column) -> Column:
@@ -135,34 +203,43 @@ def _formatted(role: Column, raw: Column, surrogate: Column) -> Column:
     digit_at = lambda i: F.length(_digits(F.substring(raw, F.lit(1), i + 1)))
     spelled = F.array_join(F.transform(chars, lambda c, i: F.when(c.rlike("^[0-9]$"), F.substring(surrogate, digit_at(i), F.lit(1))).otherwise(c)), "")
     cased = F.array_join(F.transform(chars, lambda c, i: F.when(c != F.lower(c), F.upper(F.substring(surrogate, i + 1, F.lit(1)))).otherwise(F.substring(surrogate, i + 1, F.lit(1)))), "")
+    grouped = F.array_join(F.transform(chars, lambda c, i: F.when(c == " ", c).otherwise(F.upper(F.substring(surrogate, F.length(F.replace(F.substring(raw, F.lit(1), i + 1), F.lit(" "), F.lit(""))), F.lit(1))))), "")
     named = F.when((raw == F.upper(raw)) & (F.length(raw) > 1), F.upper(surrogate)).otherwise(F.initcap(surrogate))
-    return F.when(role == "title", raw).when(role.isin("phone", "card", "social"), spelled).when(role.isin("email", "iban"), cased).when(role.startswith("given") | (role == "surname"), named).otherwise(surrogate)
+    return F.when(role == "title", raw).when(role.isin("phone", "card", "social"), spelled).when(role == "email", cased).when(role == "iban", grouped).when(role.startswith("given") | (role == "surname"), named).otherwise(surrogate)
+
+
+def _named(role: Column) -> Column:
+    return role.startswith("given") | (role == "surname")
 
 
 def _space(role: Column) -> Column:
     """Roles whose surrogates must not meet each other: all parts of names, else the role itself."""
-    return F.when(role.startswith("given") | (role == "surname"), F.lit("name")).otherwise(role)
+    return F.when(_named(role), F.lit("name")).otherwise(role)
+
+
+def _drawn(todo: DataFrame, key: str) -> DataFrame:
+    return todo.withColumn("moved", _permuted(key)).withColumn("surrogate", _surrogate(key)).drop("moved")
 
 
 def surrogate_table(parts: DataFrame, key: str) -> DataFrame:
-    """``role, canonical, surrogate`` for ``parts(role, canonical)``, distinct within each kind and unlike every original."""
-    todo = written(parts.where("role <> 'title'").distinct().withColumn("space", _space(F.col("role"))), "originals")
-    originals = todo.select("space", F.col("canonical").alias("surrogate")).distinct()
-    todo, done = todo.withColumn("attempt", F.lit(0)), None
-    for _ in range(MOST_ROUNDS):
-        drawn = todo.withColumn("surrogate", _surrogate(key))
-        taken = originals if done is None else originals.union(done.select("space", "surrogate")).distinct()
-        free = drawn.join(taken.withColumn("taken", F.lit(True)), ["space", "surrogate"], "left")
+    """``role, canonical, surrogate`` for ``parts(role, canonical)``, distinct within each kind, and unlike every original
+    where a format has room (see above)."""
+    tasks = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shaped = _shaped(parts.where("role <> 'title'").distinct().repartition(tasks, F.xxhash64("role", "canonical")))
+    shaped = written(shaped.withColumn("space", _space(F.col("role"))), "originals")
+    originals = shaped.select("space", F.col("canonical").alias("surrogate")).distinct()
+    full = written(shaped.where("forms > 1").groupBy("format").agg(F.count("*").alias("n"), F.first("forms").alias("forms")).where(F.col("n") * ROOM > F.col("forms")).select("format"), "full-formats")
+    done = _drawn(shaped.join(full, "format").withColumn("attempt", F.lit(0)), key).select("space", "role", "canonical", "surrogate")
+    done = written(done, "permuted")
+    todo = shaped.join(full, "format", "left_anti").withColumn("attempt", F.lit(0))
+    while not todo.isEmpty():
+        taken = originals.union(done.select("space", "surrogate")).distinct()
+        free = _drawn(todo, key).join(taken.withColumn("taken", F.lit(True)), ["space", "surrogate"], "left")
         first = F.row_number().over(Window.partitionBy("space", "surrogate").orderBy("role", "canonical")) == 1
-        # a space that is used up grows: after some attempts a longer form is drawn
         judged = written(free.withColumn("good", F.col("taken").isNull() & first), "drawn")
-        good = judged.where("good").select("space", "role", "canonical", "surrogate")
-        done = good if done is None else done.union(good)
-        bad = judged.where("not good")
-        if bad.isEmpty():
-            return done.select("role", "canonical", "surrogate")
-        todo = bad.select("space", "role", "canonical", (F.col("attempt") + 1).alias("attempt"))
-    raise RuntimeError("no free surrogates are left for some entities; their format has too few forms")
+        done = done.union(judged.where("good").select("space", "role", "canonical", "surrogate"))
+        todo = judged.where("not good").drop("surrogate", "taken", "good").withColumn("attempt", F.col("attempt") + 1)
+    return done.select("role", "canonical", "surrogate")
 
 
 def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:

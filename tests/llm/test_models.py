@@ -380,3 +380,35 @@ def test_surrogates_of_a_small_space_stay_distinct(docs_of):
     found = [re.findall(PATTERN.replace(r"\p{Lu}", "[A-Z]").replace(r"\p{L}", "A-Za-z"), r.text) for r in out]
     flat = [x for f in found for x in f]
     assert len(flat) == len(set(flat)) == 400 and not set(flat) & {x for _, t in rows for x in t.split(" and ")}
+
+
+def test_a_full_format_is_permuted(docs_of):
+    """All addresses of 192.168/16 and most addresses of a short format, beside a roomy one."""
+    private = [f"192.168.{a}.{b}" for a in range(256) for b in range(256)]
+    mails = [f"{a}@{b}.com" for a in "abcdefghijklmnopqrst" for b in "abcdefghijklmnopqrst"]
+    rows = [(k, " ".join(private[k * 64 : k * 64 + 64])) for k in range(1024)] + [(2000 + k, " ".join(mails[k * 40 : k * 40 + 40])) for k in range(10)] + [(3000, "8.8.8.8 172.20.1.1 172.40.1.1 password=!!!!!!! password=------- GB82 WEST 1234 5698 7654 32 GB82WEST12345698765432 555.123.4567")]
+    out = {r.doc_id: r.text.split() for r in replace_entities(docs_of(rows)).collect()}
+    found = [x for k in range(1024) for x in out[k]]
+    assert len(set(found)) == len(private) == len(found) and set(found) == set(private) and all(a != b for a, b in zip(found, private))
+    # neighbours do not stay neighbours
+    assert sum(a.rsplit(".", 1)[0] == b.rsplit(".", 1)[0] for a, b in zip(found, found[1:])) < 2000
+    short = [x for k in range(10) for x in out[2000 + k]]
+    assert len(set(short)) == 400 and all(re.fullmatch(r"[a-z]@[a-z]\.com", x) for x in short) and all(a != b for a, b in zip(short, mails))
+    rest = out[3000]
+    assert rest[0] != "8.8.8.8" and rest[1].startswith("172.") and 16 <= int(rest[1].split(".")[1]) <= 31 and not 16 <= int(rest[2].split(".")[1]) <= 31
+    assert rest[3] != "password=!!!!!!!" and rest[4].startswith("password=") and "-----" not in rest[4]
+    assert "".join(rest[5:11]) == rest[11] != "GB82WEST12345698765432" and rest[11].startswith("GB") and re.fullmatch(r"\d{3}\.\d{3}\.\d{4}", rest[12]) and rest[12] != "555.123.4567"
+
+
+def test_cards_keep_whether_their_checksum_holds(docs_of):
+    def luhn(x):
+        return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(x))) % 10
+
+    rng = random.Random(6)
+    cards = ["".join(rng.choice("0123456789") for _ in range(16)) for _ in range(150)]
+    cards += [c[:-1] + str((10 - luhn(c[:-1] + "0")) % 10) for c in cards]
+    out = {r.doc_id: r.text for r in replace_entities(docs_of(list(enumerate(cards)))).collect()}
+    assert len(set(out.values())) == len(set(cards)) and not set(out.values()) & set(cards)
+    assert all((luhn(out[i]) == 0) == (luhn(c) == 0) and out[i][0] == c[0] and len(out[i]) == 16 for i, c in enumerate(cards))
+
+
