@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -30,6 +31,8 @@ from scholarmart.llm.common import remainder, written
 BITS, RANK, STEP = 18, 8, 32
 PER_CLASS, MOST_PLACES, BATCH, EPOCHS, WHOLE, RATE, DECAY, SEED = 2500, 1 << 26, 32, 12, 2, 0.3, 1e-4, 1
 MASK = (1 << BITS) - 1
+#: words that are scored together, a multiple of STEP
+LONGEST = STEP << 10
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -64,6 +67,7 @@ class Machine:
         self.offset = np.zeros(1, np.float32)
         self.linear = np.zeros(1 << BITS, np.float32)
         self.slope, self.shift = 1.0, 0.0
+        self.columns: np.ndarray | None = None  # made by the first score, when nothing is learned any more
         self.factors = rng.normal(0, 0.01, (1 << BITS, RANK)).astype(np.float32)
 
     def margins(self, places: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -79,8 +83,43 @@ class Machine:
             out[full] += np.add.reduceat(self.linear[places], at) / np.sqrt(n) + 0.5 * ((sums * sums).sum(axis=1) - squares) / n
         return out
 
-    def score(self, places: np.ndarray, starts: np.ndarray) -> float:
-        return float(1 / (1 + np.exp(-np.clip(self.slope * float(self.margins(places, starts).max()) + self.shift, -30, 30))))
+    def largest(self, text: str | None, terms: Terms) -> float:
+        """The largest of the margins of a text's windows, from sums over its parts of ``STEP`` words.
+
+        A window's sums are those of its two parts less those of the terms that both parts hold. Words go through in
+        blocks that begin with the last part of the block before, so memory does not grow with the text.
+        """
+        words = WORD.findall(text.lower()) if text else []
+        best = -np.inf
+        for at in range(0, max(1, len(words) - STEP), LONGEST):
+            own = list(map(terms.__getitem__, words[at : at + LONGEST + STEP]))
+            flat = np.fromiter(chain.from_iterable(own), np.int64)
+            part = np.repeat(np.arange(len(own)) // STEP, np.fromiter(map(len, own), np.int64, len(own)))
+            keys = np.unique((part << BITS) | flat)
+            parts = max(1, -(-len(own) // STEP))
+            sums = self._sums(keys, parts)
+            if parts > 1:
+                twice = keys[np.isin(keys + (1 << BITS), keys, assume_unique=True)]
+                sums = sums[:-1] + sums[1:] - self._sums(twice, parts)[:-1]
+            n = np.maximum(sums[:, 0], 1)
+            margins = self.offset[0] + sums[:, 1] / np.sqrt(n) + 0.5 * ((sums[:, 3:] ** 2).sum(axis=1) - sums[:, 2]) / n
+            best = max(best, float(margins.max()))
+        return best
+
+    def _sums(self, keys: np.ndarray, parts: int) -> np.ndarray:
+        """Of the terms of each part, given as sorted ``part << BITS | place``: number, weights, squares and factors summed."""
+        if self.columns is None:
+            squares = (self.factors * self.factors).sum(axis=1)
+            self.columns = np.column_stack([np.ones_like(self.linear), self.linear, squares, self.factors]).astype(np.float64)
+        out = np.zeros((parts, 3 + RANK))
+        if len(keys):
+            part = keys >> BITS
+            first = np.flatnonzero(np.diff(part, prepend=-1))
+            out[part[first]] = np.add.reduceat(self.columns[keys & MASK], first, axis=0)
+        return out
+
+    def score(self, text: str | None, terms: Terms) -> float:
+        return float(1 / (1 + np.exp(-np.clip(self.slope * self.largest(text, terms) + self.shift, -30, 30))))
 
 
 def calibrate(fm: Machine, margins: np.ndarray, y: np.ndarray) -> None:
@@ -181,7 +220,7 @@ def _score(model):
         for batch in batches:
             score = np.zeros(len(batch))
             for k, text in enumerate(batch.pop("text") if fm else []):
-                score[k] = fm.score(*windows(text, terms))
+                score[k] = fm.score(text, terms)
             batch["score"] = score
             yield batch[["doc_id", "score"]]
 

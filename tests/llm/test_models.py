@@ -72,12 +72,12 @@ def test_the_pair_is_learned_in_texts_of_many_windows():
     rng, terms, kinds = random.Random(4), Terms(), ["both", "insult", "group", "neither"]
     drawn = [rng.choice(kinds) for _ in range(3000)]
     fm = train([windows(made_text(rng, rng.choice([60, 200, 2000]), k, rng.randint(1, 30)), terms) for k in drawn], np.array([int(k == "both") for k in drawn]))
-    rate = lambda *a, n=100: np.mean([fm.score(*windows(made_text(rng, *a), terms)) >= 0.5 for _ in range(n)])
+    rate = lambda *a, n=100: np.mean([fm.score(made_text(rng, *a), terms) >= 0.5 for _ in range(n)])
     for size in (200, 2000):
         assert all(rate(size, "both", gap) >= 0.9 for gap in (1, 10, 20, 30)), size
         assert all(rate(size, kind) <= 0.1 for kind in kinds[1:]), size
     # across every border of a window
-    assert np.mean([fm.score(*windows(made_text(rng, 200, "both", 15, at), terms)) >= 0.5 for at in range(100)]) >= 0.9
+    assert np.mean([fm.score(made_text(rng, 200, "both", 15, at), terms) >= 0.5 for at in range(100)]) >= 0.9
 
 
 def test_windows_cover_every_word_and_close_pair():
@@ -90,6 +90,18 @@ def test_windows_cover_every_word_and_close_pair():
         assert all(any({*terms[words[i]], *terms[words[j]]} <= w for w in own) for i in range(size) for j in (i, min(i + 32, size - 1)))
 
 
+@pytest.mark.parametrize("longest", [32, 64, 1 << 15])
+def test_the_largest_margin_is_that_of_the_windows(monkeypatch, longest):
+    monkeypatch.setattr(toxicity_module, "LONGEST", longest)
+    fm, rng, terms = Machine(np.random.default_rng(0)), random.Random(1), Terms()
+    fm.linear[:] = np.random.default_rng(1).normal(size=len(fm.linear))
+    fm.factors[:] = np.random.default_rng(2).normal(size=fm.factors.shape)
+    for size in (0, 1, 31, 32, 33, 63, 64, 65, 96, 97, 128, 129, 500):
+        text = " ".join(f"word{rng.choice('abcdefghij')}{rng.choice('abcdefghij')}" for _ in range(size))
+        assert fm.largest(text, terms) == pytest.approx(float(fm.margins(*windows(text, terms)).max()), rel=1e-3), size
+    assert fm.largest(None, terms) == fm.offset[0]
+
+
 def test_the_sample_is_bounded_by_its_terms(spark, docs_of, monkeypatch):
     rng = random.Random(2)
     rows = [(i, made_text(rng, 4000 if i % 10 == 0 else 20, "both" if i % 2 else "neither")) for i in range(200)]
