@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scholarmart.operators.ranking import top_k
+from scholarmart.session import tasks_for
 
 
 def flatten_subjects(subjects: DataFrame, degrees: DataFrame, schools: DataFrame) -> DataFrame:
@@ -46,12 +47,13 @@ def credit_authors(daily: DataFrame, bridge: DataFrame) -> DataFrame:
     """Spread daily document counts over the authors; each author is credited in full.
 
     Counts are already summed per day and document, so a hot document brings one row per day into the join.
+    Hardly two credits of a task are equal, so they are not gathered before their shuffle. There are as many tasks as the input is worth: what one
+    holds does not grow.
     """
-    return (
-        daily.join(bridge.select("id_documento", "id_usuario"), "id_documento")
-        .groupBy("fecha", "id_usuario", "id_tipo_interaccion")
-        .agg(F.sum("cant_interacciones").alias("cant_interacciones"))
-    )
+    keys, n = ["fecha", "id_usuario", "id_tipo_interaccion"], tasks_for(daily, bridge)
+    authors = bridge.select("id_documento", "id_usuario").repartition(n, "id_documento")
+    credited = daily.repartition(n, "id_documento").join(authors, "id_documento").select(*keys, "cant_interacciones")
+    return credited.repartition(n, *keys[:2]).groupBy(*keys).agg(F.sum("cant_interacciones").alias("cant_interacciones"))
 
 
 def with_constants(df: DataFrame, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:

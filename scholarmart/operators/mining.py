@@ -21,9 +21,10 @@ def author_metrics(
 ) -> DataFrame:
     """Publications and impact of every author with some interaction in the period.
 
-    The fact is summed per author before the user dimension is joined.
+    The fact is summed per author and type before a dimension is joined: the join by type has a handful of keys.
     """
-    named = fact.filter(F.col("fecha").between(F.lit(start), F.lit(end))).join(types, "id_tipo_interaccion")
+    inside = fact.filter(F.col("fecha").between(F.lit(start), F.lit(end))).groupBy("id_usuario", "id_tipo_interaccion")
+    named = inside.agg(F.sum("cant_interacciones").alias("cant_interacciones")).join(types, "id_tipo_interaccion")
     sums = named.groupBy("id_usuario").agg(
         sum_if(F.col("nombre") == "publicacion").alias("n_publicaciones"),
         sum_if(F.col("nombre").isin("visualizacion", "favorito_agregar")).alias("impacto"),

@@ -71,3 +71,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def tasks_for(*frames: DataFrame, each: int = 4 << 20) -> int:
+    """How many tasks the files that some frames are read from are worth, so that what one task holds does not grow with the input."""
+    sc = frames[0].sparkSession.sparkContext
+    bytes_read = 0
+    for file in {f for df in frames for f in df.inputFiles()}:
+        path = sc._jvm.org.apache.hadoop.fs.Path(file)
+        bytes_read += path.getFileSystem(sc._jsc.hadoopConfiguration()).getFileStatus(path).getLen()
+    return max(sc.defaultParallelism, -(-bytes_read // each))
