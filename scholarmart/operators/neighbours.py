@@ -14,8 +14,9 @@ from pyspark.sql import types as T
 from scholarmart.operators.ranking import top_k_per_group
 from scholarmart.session import materialize
 
-BLOCK_ROWS = 4096  # vectors of either side that meet in one task
+BLOCK_ROWS = 16384  # vectors of either side that meet in one task
 PIVOTS = 64
+CHUNK, GROUP = 128, 64  # queries and stored vectors that are compared at once
 
 
 def _unit_rows(vectors: pd.Series) -> np.ndarray:
@@ -68,11 +69,55 @@ def search_list(
     return top_k_per_group(parts, [query_key], k, [F.round("similitud", 9).desc(), F.col(key).asc()])
 
 
-def _pieces(counts: dict[int, int]) -> tuple[dict[int, int], Column]:
-    """Pieces of at most ``BLOCK_ROWS`` rows per cell, and the column that looks the number up."""
-    pieces = {c: max(1, math.ceil(n / BLOCK_ROWS)) for c, n in counts.items()}
-    table = F.create_map(*[F.lit(x) for pair in pieces.items() for x in pair])
-    return pieces, table[F.col("_cell")]
+def _closest(queries: np.ndarray, stored: np.ndarray, limits: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of both sides and the similarity of the ``limits`` closest unit vectors at or above the threshold for each query; earlier ones win ties.
+
+    Single precision finds who may be among them: the ``n`` highest maxima of groups of stored vectors belong to ``n`` different ones, so what lies
+    below the last of these by more than the rounding is out. The rest is measured again in double precision.
+    """
+    found = []
+    queried, kept = (np.flatnonzero(~np.isnan(m).any(axis=1)) for m in (queries, stored))  # those of length zero have no direction
+    q, d = queries[queried], stored[kept]
+    q32, d32, slack = q.astype(np.float32), d.astype(np.float32), 2e-7 * (d.shape[1] + 8)
+    groups = -(-len(d) // GROUP)
+    for a in range(0, len(q) if len(d) else 0, CHUNK):
+        some = limits[queried[a : a + CHUNK]]
+        sims = np.full((len(some), groups * GROUP), -2.0, np.float32)
+        sims[:, : len(d)] = q32[a : a + CHUNK] @ d32.T
+        sims = sims.reshape(len(some), groups, GROUP)
+        highest = sims.max(axis=2)
+        last = np.sort(highest, axis=1)[np.arange(len(some)), np.maximum(groups - some, 0)]
+        bound = np.maximum(np.where(some > groups, -2.0, last), threshold) - slack
+        row, group = np.nonzero(highest >= bound[:, None])
+        pair, at = np.nonzero(sims[row, group] >= bound[row, None])
+        row, at = row[pair], group[pair] * GROUP + at
+        step = 1 << 16
+        exact = np.concatenate([np.zeros(0), *[np.einsum("ij,ij->i", q[a + row[i : i + step]], d[at[i : i + step]]) for i in range(0, len(row), step)]])
+        row, at, exact = (x[exact >= threshold] for x in (row, at, exact))
+        order = np.lexsort((at, -np.round(exact, 9), row))
+        row, at, exact = row[order], at[order], exact[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        first = place < some[row]
+        found.append((queried[a + row[first]], kept[at[first]], exact[first]))
+    if not found:
+        return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _lookup(numbers: Mapping[int, int], key: str) -> Column:
+    return F.create_map(*[F.lit(x) for pair in numbers.items() for x in pair])[F.col(key)]
+
+
+def _blocks(cells: Mapping[int, int]) -> dict[int, tuple[int, int]]:
+    """The first block and the number of blocks of every cell: small cells share one, crowded ones have several."""
+    blocks, at, room = {}, -1, 0
+    for cell, n in sorted(cells.items()):
+        if n > room:
+            at, room = at + 1, BLOCK_ROWS
+        more = max(0, math.ceil(n / BLOCK_ROWS) - 1)
+        blocks[cell] = (at, more + 1)
+        at, room = at + more, max(0, room - n)
+    return blocks
 
 
 def nearest(
@@ -92,8 +137,8 @@ def nearest(
     plus twice the threshold angle, and no farther than the cell radius plus the
     threshold angle. It visits these cells only; the higher the threshold, the fewer.
 
-    Crowded cells: both sides of a cell are cut into pieces of ``BLOCK_ROWS`` rows and
-    each pair of pieces is a task of its own, which yields at most ``k`` rows per query.
+    Blocks: small cells share a block, crowded ones are cut into several. A query goes once to each block with a cell it visits; the queries of a
+    block are cut into pieces of ``BLOCK_ROWS``, and each pair of a block and a piece is a task of its own, which yields at most ``k`` rows per query.
 
     Copies: equal query vectors are searched once, and of equal index vectors only
     as many of the smallest keys as a query wants can win the tie; only these are kept.
@@ -125,45 +170,47 @@ def nearest(
     for row in stats:
         radius[row["_cell"]] = row["radius"]
 
+    blocks = _blocks({r["_cell"]: r["n"] for r in stats})
+    holds = np.zeros((max(len(chosen), 1), sum(n for _, n in blocks.values()) + 1), bool)
+    for cell, (first, n) in blocks.items():
+        holds[cell, first : first + n] = True
+
     def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if not pdf.empty:
                 angle = _angles(pdf[vector], centre)
                 near = (angle <= angle.min(axis=1, keepdims=True) + 2 * reach + slack) & (angle <= radius + reach + slack)
-                yield pdf.assign(_cells=[np.flatnonzero(row).astype("int32") for row in near])
+                yield pdf.assign(_blocks=[np.flatnonzero(holds[row].any(axis=0)).astype("int32") for row in near])
 
-    distinct = asked.groupBy(vector).agg(F.max("_want").alias("_want"))
-    probe_schema = T.StructType([*distinct.schema.fields, T.StructField("_cells", T.ArrayType(T.IntegerType()))])
-    hit_schema = T.StructType([*distinct.schema.fields, index.schema[key], T.StructField("similitud", T.DoubleType())])
+    # each vector that is asked for gets a number, which its hits carry instead of the vector
+    distinct = asked.groupBy(vector).agg(F.max("_want").alias("_want")).withColumn("_probe", F.monotonically_increasing_id())
+    probe_schema = T.StructType([*distinct.schema.fields, T.StructField("_blocks", T.ArrayType(T.IntegerType()))])
+    hit_schema = T.StructType([T.StructField("_probe", T.LongType()), index.schema[key], T.StructField("similitud", T.DoubleType())])
     if not stats:
-        empty = queries.sparkSession.createDataFrame([], hit_schema)
+        empty = queries.sparkSession.createDataFrame([], T.StructType([asked.schema[vector], *hit_schema.fields[1:]]))
         return asked.drop("_want").join(empty, vector).select(query_key, key, "similitud", F.lit(1).alias("posicion"))
     probes = materialize(distinct.mapInPandas(visit, probe_schema))
-    visits = probes.select(vector, "_want", F.explode("_cells").alias("_cell"))
-    visited = {r["_cell"]: r["n"] for r in visits.groupBy("_cell").agg(F.count("*").alias("n")).collect()}  # one row per pivot
+    visits = probes.select("_probe", vector, "_want", F.explode("_blocks").alias("_block"))
+    visited = {r["_block"]: r["n"] for r in visits.groupBy("_block").agg(F.count("*").alias("n")).collect()}  # one row per block
 
-    blocks, block_count = _pieces({r["_cell"]: r["n"] for r in stats})
-    parts, part_count = _pieces({c: visited.get(c, 0) for c in blocks})
-    every = lambda count: F.explode(F.sequence(F.lit(0), count - 1))
-    left = visits.withColumn("_part", F.pmod(F.xxhash64(vector), part_count).cast("int")).withColumn("_block", every(block_count))
-    right = homes.withColumn("_block", F.pmod(F.xxhash64(key), block_count).cast("int")).withColumn("_part", every(part_count))
+    parts = {b: max(1, math.ceil(visited.get(b, 0) / BLOCK_ROWS)) for first, n in blocks.values() for b in range(first, first + n)}
+    left = visits.withColumn("_part", F.pmod(F.xxhash64("_probe"), _lookup(parts, "_block")).cast("int"))
+    own = F.pmod(F.xxhash64(key), _lookup({c: n for c, (_, n) in blocks.items()}, "_cell")).cast("int")
+    homed = homes.select(key, vector, (_lookup({c: first for c, (first, _) in blocks.items()}, "_cell") + own).alias("_block"))
+    right = homed.withColumn("_part", F.explode(F.sequence(F.lit(0), _lookup(parts, "_block") - 1)))
 
     def compare(wanted: pd.DataFrame, stored: pd.DataFrame) -> pd.DataFrame:
         if wanted.empty or stored.empty:
-            return pd.DataFrame({vector: [], "_want": [], key: [], "similitud": []})
+            return pd.DataFrame({"_probe": [], key: [], "similitud": []})
         stored = stored.sort_values(key, kind="stable")
-        ids, sims = stored[key].to_numpy(), _unit_rows(wanted[vector]) @ _unit_rows(stored[vector]).T
-        limits = wanted["_want"].to_numpy()
-        tops = [_best(row, threshold, n) for row, n in zip(sims, limits)]
-        which = np.repeat(np.arange(len(wanted)), [len(t) for t in tops])
-        rows = np.concatenate(tops)
-        found = {vector: wanted[vector].to_numpy()[which], "_want": limits[which], key: ids[rows], "similitud": sims[which, rows]}
-        return pd.DataFrame(found)
-
-    meet = ["_cell", "_block", "_part"]
+        which, rows, sims = _closest(_unit_rows(wanted[vector]), _unit_rows(stored[vector]), wanted["_want"].to_numpy(), threshold)
+        return pd.DataFrame({"_probe": wanted["_probe"].to_numpy()[which], key: stored[key].to_numpy()[rows], "similitud": sims})
+
+    meet = ["_block", "_part"]
     hits = left.groupBy(*meet).cogroup(right.groupBy(*meet)).applyInPandas(compare, hit_schema)
-    best = top_k_per_group(hits, [vector], most, [F.round("similitud", 9).desc(), F.col(key).asc()]).drop("_want")
-    return asked.join(best, vector).filter(F.col("posicion") <= F.col("_want")).select(query_key, key, "similitud", "posicion")
+    best = top_k_per_group(hits, ["_probe"], most, [F.round("similitud", 9).desc(), F.col(key).asc()])
+    named = asked.join(probes.select(vector, "_probe"), vector).select(query_key, F.col("_want"), "_probe")
+    return named.join(best, "_probe").filter(F.col("posicion") <= F.col("_want")).select(query_key, key, "similitud", "posicion")
 
 
 def related(docs: DataFrame, k: int, min_similarity: float, key: str = "id", vector: str = "embedding") -> DataFrame:

@@ -2,8 +2,10 @@
 
 import datetime as dt
 
+import numpy as np
 from pyspark.sql import functions as F
 
+from scholarmart.operators import neighbours
 from scholarmart.operators.joins import credit_authors
 from scholarmart.operators.mining import author_metrics
 
@@ -28,3 +30,25 @@ def test_authors_are_summed_before_types_are_joined(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     by_type = plan[plan.index("id_tipo_interaccion#") :]
     assert by_type.count("Aggregate [id_usuario") >= 1, plan  # below the join by type, which has a handful of keys
+
+
+def test_a_query_goes_once_to_a_block_of_small_cells():
+    blocks = neighbours._blocks({0: 10, 1: 20, 2: 2 * neighbours.BLOCK_ROWS, 3: 5, 4: 7})
+    assert blocks == {0: (0, 1), 1: (0, 1), 2: (1, 2), 3: (3, 1), 4: (3, 1)}
+
+
+def test_closest_of_groups_equals_brute_force():
+    rng = np.random.default_rng(4)
+    stored = rng.normal(size=(1000, 8))
+    stored[100:160] = stored[7]  # ties: earlier ones win
+    queries = np.vstack([rng.normal(size=(200, 8)), stored[7:8]])
+    with np.errstate(invalid="ignore"):
+        unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
+        stored[5], queries[3] = 0, 0  # no direction
+        q, d = unit(queries), unit(stored)
+    limits = rng.integers(1, 60, len(q))
+    which, rows, sims = neighbours._closest(q, d, limits, 0.1)
+    for i, n in enumerate(limits):
+        exact = np.nan_to_num(d @ q[i], nan=-9.0)
+        best = [j for j in np.lexsort((np.arange(len(d)), -np.round(exact, 9))) if exact[j] >= 0.1][:n]
+        assert rows[which == i].tolist() == best and np.allclose(sims[which == i], exact[best])
