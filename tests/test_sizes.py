@@ -3,11 +3,13 @@
 import datetime as dt
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from scholarmart.operators import neighbours
 from scholarmart.operators.joins import credit_authors
 from scholarmart.operators.mining import author_metrics
+from scholarmart.streaming import state
 
 DAY = dt.date(2024, 1, 1)
 
@@ -52,3 +54,30 @@ def test_closest_of_groups_equals_brute_force():
         exact = np.nan_to_num(d @ q[i], nan=-9.0)
         best = [j for j in np.lexsort((np.arange(len(d)), -np.round(exact, 9))) if exact[j] >= 0.1][:n]
         assert rows[which == i].tolist() == best and np.allclose(sims[which == i], exact[best])
+
+
+def test_a_user_is_one_call_and_one_value_however_many_windows():
+    class Value:
+        kept, timers = None, []
+
+        exists = lambda self: self.kept is not None
+        get = lambda self: self.kept
+
+        def update(self, new):
+            self.kept = new
+
+        def clear(self):
+            self.kept = None
+
+    class Now:
+        getCurrentWatermarkInMs = lambda self: 120_000
+
+    value, limits = Value(), state.Limits(2, 60)
+    handle = type("Handle", (), {"getValueState": lambda self, name, schema: value, "registerTimer": lambda self, at: value.timers.append(at)})
+    limits.init(handle())
+    rows = lambda *of: pd.DataFrame([(5, i, 60 * (t // 60), t) for i, t in of], columns=["clave", "pedido", "ventana", "momento"])
+    first = pd.concat(limits.handleInputRows((5,), iter([rows((1, 70), (2, 65)), rows((3, 75), (4, 130))]), None))
+    assert dict(zip(first.pedido, first.aceptado)) == {1: True, 2: True, 3: False, 4: True}
+    second = pd.concat(limits.handleInputRows((5,), iter([rows((5, 140), (6, 150), (7, 30))]), None))
+    assert dict(zip(second.pedido, second.aceptado)) == {5: True, 6: False, 7: True} and value.timers == [120_000, 60_000]
+    assert list(limits.handleExpiredTimer((5,), Now(), None)) == [] and value.kept == ([120], [3]) and value.timers[-1] == 180_000
