@@ -2,7 +2,7 @@
 
 Every batch of documents is a segment of a versioned folder (``sources/versions.py``): postings by bucket of the term's hash, sorted by
 term, each with the length of its document, so that scoring needs no other table; frequencies of the terms by bucket;
-lengths of the documents. A query reads the buckets of its own terms and filters them on the term, which the statistics of the files
+lengths of the documents, and their counted words. A query reads the buckets of its own terms and filters them on the term, which the statistics of the files
 answer too. Appending writes one more segment and commits; removal writes the ids that no longer count in older segments;
 ``compact`` makes one segment of all.
 """
@@ -19,13 +19,17 @@ from pyspark.sql import types as T
 from scholarmart.contracts import INT, LONG, TEXT, struct
 from scholarmart.functions.stemming import by_stem
 from scholarmart.operators.ranking import top_k, top_k_per_group
+from scholarmart.session import tasks_for
 from scholarmart.sources import versions
 from scholarmart.sources.versions import Manifest
 
 BUCKETS = 64
+#: terms whose frequencies are sent to every task
+FREQUENT = 1 << 17
 POSTINGS = struct(("termino", TEXT), ("id", LONG), ("tf", LONG), ("dl", LONG), ("segmento", INT))
 TERMS = struct(("termino", TEXT), ("df", LONG), ("segmento", INT))
 LENGTHS = struct(("id", LONG), ("dl", LONG), ("segmento", INT))
+WORDS = struct(("id", LONG), ("dl", LONG), ("palabras", T.ArrayType(struct(("termino", TEXT), ("tf", LONG)))), ("segmento", INT))
 REMOVED = struct(("id", LONG), ("segmento", INT))
 
 
@@ -37,37 +41,77 @@ def bucket_of(term: str = "termino") -> Column:
     return F.crc32(F.col(term).cast("binary")) % BUCKETS
 
 
+def counted(tokens: Column) -> Column:
+    """``[(termino, tf)]`` of one array of tokens; nulls are no terms. The array is put in order and its runs are measured."""
+
+    def runs(w: Column) -> Column:
+        first = F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: (i == 0) | (F.get(w, i) != F.get(w, i - 1)))
+        tf = lambda s, e: F.struct(F.get(w, s).alias("termino"), (e - s).cast("long").alias("tf"))
+        return F.transform(F.array(first), lambda s: F.zip_with(s, F.concat(F.slice(s, F.lit(2), F.size(s)), F.array(F.size(w))), tf))[0]
+
+    # bound to a variable, or it would be sorted again for every word
+    ordered = F.filter(F.array(F.sort_array(F.array_compact(tokens))), lambda w: F.size(w) > 0)
+    return F.get(F.transform(ordered, runs), F.lit(0))
+
+
+def _by_document(docs: DataFrame, tokens: str, key: str) -> DataFrame:
+    return docs.select(F.col(key).cast("long").alias("id"), F.size(tokens).cast("long").alias("dl"), counted(F.col(tokens)).alias("palabras"))
+
+
+def _words(documents: DataFrame) -> DataFrame:
+    """``termino, id, tf, dl`` of rows with counted words; rows that repeat an id are not summed yet."""
+    # a plain explode would count twice: once in a filter for empty arrays that is inferred from it
+    return documents.select("id", "dl", F.explode_outer("palabras").alias("w")).filter("w is not null").select("w.termino", "id", "w.tf", "dl")
+
+
 def count_postings(docs: DataFrame, tokens: str = "tokens", key: str = "id") -> DataFrame:
-    """``termino, id, tf, dl`` of documents with one id a row; combined in every task before the shuffle."""
-    # a plain explode would tokenise twice: once in a filter for empty arrays that is inferred from it
-    words = docs.select(F.col(key).cast("long").alias("id"), F.size(tokens).cast("long").alias("dl"), F.explode_outer(tokens).alias("termino"))
-    return words.filter(F.col("termino").isNotNull()).groupBy("termino", "id", "dl").agg(F.count("*").alias("tf")).select("termino", "id", "tf", "dl")
+    """``termino, id, tf, dl``; rows of one id and length are one document. Counted within the rows, so one shuffle is enough to sum them."""
+    spread = _words(_by_document(docs, tokens, key)).repartition(tasks_for(docs), "termino", "id")
+    return spread.groupBy("termino", "id", "dl").agg(F.sum("tf").alias("tf")).select("termino", "id", "tf", "dl")
+
+
+def _laid(documents: DataFrame) -> DataFrame:
+    """The postings with their ``cubeta``, summed and laid by buckets in the same shuffle. Buckets are cut by ids into as many pieces as the files are worth."""
+    tasks = tasks_for(documents)
+    piece = F.pmod(F.xxhash64("id"), F.lit(-(-tasks // (BUCKETS // 2)))).cast("int").alias("_piece")
+    spread = _words(documents).select("*", bucket_of().alias("cubeta"), piece).repartition(tasks, "cubeta", "_piece")
+    return spread.groupBy("cubeta", "_piece", "termino", "id", "dl").agg(F.sum("tf").alias("tf"))
 
 
 def append(docs: DataFrame, root: str, tokens: str = "tokens", key: str = "id", stems: bool = False) -> Manifest:
     """Add documents as a segment, under their words or the Spanish stems of these. Ids that are stored already have to be removed before."""
-    spark = docs.sparkSession
-    base, passing = versions.manifest(spark, root), versions.new_folder()
-    # texts are tokenised once, for lengths and postings alike
-    slim = docs.select(F.col(key).cast("long").alias("id"), F.col(tokens).alias("tokens"))
-    slim.write.parquet(f"{root}/{passing}")
-    slim = spark.read.schema(slim.schema).parquet(f"{root}/{passing}")
-    done = versions.commit(spark, root, base, added=segment(slim, root, base, stems=stems))
-    versions.drop(spark, root, passing)
-    return done
+    base = versions.manifest(docs.sparkSession, root)
+    return versions.commit(docs.sparkSession, root, base, added=segment(docs, root, base, tokens, key, stems))
 
 
 def segment(docs: DataFrame, root: str, base: Manifest, tokens: str = "tokens", key: str = "id", stems: bool = False) -> dict[str, versions.Parts]:
     """The written parts of a segment behind ``base``, to be committed, alone or with other tables."""
-    lengths = docs.select(F.col(key).cast("long").alias("id"), F.greatest(F.size(tokens), F.lit(0)).cast("long").alias("dl"))
-    counted = count_postings(docs, tokens, key)
-    return _write(docs.sparkSession, root, versions.new_folder(), base.version + 1, by_stem(counted) if stems else counted, lengths)
+    spark, folder, number = docs.sparkSession, versions.new_folder(), base.version + 1
+    if stems:
+        # texts are tokenised once, for lengths and postings alike
+        passing = f"{folder}/passing"
+        slim = docs.select(F.col(key).cast("long").alias("id"), F.col(tokens).alias("tokens"))
+        versions.write_parts(slim, root, passing)
+        slim = spark.read.schema(slim.schema).parquet(f"{root}/{passing}")
+        lengths = slim.select("id", F.greatest(F.size("tokens"), F.lit(0)).cast("long").alias("dl"))
+        written = _write(spark, root, folder, number, _rebalanced(by_stem(count_postings(slim))), lengths)
+        versions.drop(spark, root, passing)
+        return written
+    counts = _by_document(docs, tokens, key).withColumn("segmento", F.lit(number))
+    words = {"words": versions.write_parts(counts, root, f"{folder}/words")}
+    stored = versions.scan(spark, root, Manifest(1, words), "words", counts.schema)
+    lengths = stored.select("id", F.greatest("dl", F.lit(0)).cast("long").alias("dl"))
+    return words | _write(spark, root, folder, number, _laid(stored), lengths)
+
+
+def _rebalanced(postings: DataFrame) -> DataFrame:
+    # a bucket with a frequent term is split into several files by AQE
+    return postings.select("termino", "id", "tf", "dl", bucket_of().alias("cubeta")).hint("rebalance", "cubeta")
 
 
-def _write(spark: SparkSession, root: str, folder: str, segment: int, postings: DataFrame, lengths: DataFrame) -> dict[str, versions.Parts]:
+def _write(spark: SparkSession, root: str, folder: str, segment: int, laid: DataFrame, lengths: DataFrame) -> dict[str, versions.Parts]:
     number = F.lit(segment).alias("segmento")
-    # a bucket with a frequent term is split into several files by AQE
-    laid = postings.select("termino", "id", "tf", "dl", number, bucket_of().alias("cubeta")).hint("rebalance", "cubeta")
+    laid = laid.select("termino", "id", "tf", "dl", number, "cubeta")
     written = {"postings": versions.write_parts(laid.sortWithinPartitions("cubeta", "termino", "id"), root, f"{folder}/postings", "cubeta")}
     stored = versions.scan(spark, root, Manifest(1, written), "postings", POSTINGS)
     terms = stored.groupBy("termino").agg(F.count("*").alias("df")).select("termino", "df", number, bucket_of().alias("cubeta"))
@@ -88,7 +132,11 @@ def compact(spark: SparkSession, root: str) -> Manifest:
     """One segment of all that counts. Readers of earlier manifests keep their files until ``versions.vacuum``."""
     base, folder = versions.manifest(spark, root), versions.new_folder()
     index = Index(spark, root, base)
-    whole = _write(spark, root, folder, base.version + 1, index.postings(), index.lengths())
+    whole = _write(spark, root, folder, base.version + 1, _rebalanced(index.postings()), index.lengths())
+    whole["words"] = {}
+    if index.has_words():
+        words = index.words().withColumn("segmento", F.lit(base.version + 1))
+        whole["words"] = versions.write_parts(words, root, f"{folder}/words")
     return versions.commit(spark, root, base, replaced={**whole, "removed": {}})
 
 
@@ -140,9 +188,37 @@ class Index:
         """The ``k`` best documents by BM25."""
         return top_k(self.scores(terms, allowed), k, F.round("puntaje", 9).desc(), F.col("id").asc())
 
+    def has_words(self) -> bool:
+        """Whether every segment has its words by document; those of stems have none."""
+        segments = {name: len(self.now.tables.get(name, {}).get("", [])) for name in ("words", "lengths")}
+        return segments["words"] == segments["lengths"]
+
+    def words(self) -> DataFrame:
+        return self._live("words", WORDS)
+
     def keywords(self, n: int) -> DataFrame:
-        """The ``n`` terms of highest tf-idf of every document; the limit is applied in every task before the only shuffle by document."""
+        """The ``n`` terms of highest tf-idf of every document.
+
+        The words of a document lie in one row, so those among the ``FREQUENT`` most frequent terms are weighed, and all but ``n`` of them dropped,
+        before a term is shuffled. Only the seldom terms meet their frequencies in a shuffle, and the documents whose id is there twice, whose counts have to be
+        added up first.
+        """
         total = self.lengths().agg(F.count("*").alias("n")).scalar()
+        df = self.frequencies()
+        if self.has_words():
+            frequent = F.broadcast(top_k(df, FREQUENT, F.col("df").desc(), F.col("termino").asc()))
+            again = self.lengths().groupBy(F.col("id").alias("_id")).count().filter("count > 1").select("_id")
+            once, same = self.words(), F.col("id").eqNullSafe(F.col("_id"))
+            several = None if again.isEmpty() else self.postings().join(again, same, "left_semi").select("id", "termino", "tf")
+            once = once if several is None else once.join(again, same, "left_anti")
+            # whole documents are dealt over as many tasks as their files are worth, or the order within a task would grow with a split
+            rows = once.select("id", "palabras").repartition(tasks_for(self.words()), "id").select("id", F.explode("palabras").alias("w")).select("id", "w.termino", "w.tf")
+            seldom = rows.join(frequent, "termino", "left_anti")
+            counts = rows.join(frequent, "termino").select("id", "termino", "tf", "df")
+            met = (seldom if several is None else seldom.union(several.select(*seldom.columns))).join(df, "termino")
+            counts = counts.union(met.select("id", "termino", "tf", "df"))
+        else:
+            counts = self.postings().join(df, "termino")
         weight = F.col("tf") * F.log((total + 1) / (F.col("df") + 1))
-        weighed = self.postings().join(self.frequencies(), "termino").select("id", "termino", weight.alias("peso"))
+        weighed = counts.select("id", "termino", weight.alias("peso"))
         return top_k_per_group(weighed, ["id"], n, [F.round("peso", 9).desc(), F.col("termino").asc()])

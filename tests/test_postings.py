@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from scholarmart.operators.ranking import top_k_per_group
 from scholarmart.operators.search import fuse_scores
 from scholarmart.plans import indexing, postings
 from scholarmart.sources import versions
@@ -98,6 +99,33 @@ def test_keywords(spark, stored):
     assert sorted((r.id, r.termino) for r in postings.Index(spark, root).keywords(3).collect()) == sorted(wanted)
 
 
+def test_postings_take_one_shuffle(spark):
+    rows = [(1, ["b", "a", "b", None]), (2, []), (3, None), (4, ["b"]), (1, ["b", "c", "c", "c"]), (1, ["b"]), (None, ["a"]), (None, ["a"])]
+    docs = frame(spark, rows)
+    wanted = sorted([("a", 1, 1, 4), ("b", 1, 3, 4), ("c", 1, 3, 4), ("b", 1, 1, 1), ("b", 4, 1, 1), ("a", -1, 2, 1)])
+    for found in (postings.count_postings(docs), postings._laid(postings._by_document(docs, "tokens", "id"))):
+        assert sorted(tuple(r) for r in found.select("termino", F.coalesce("id", F.lit(-1)), "tf", "dl").collect()) == wanted
+        assert found._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+def test_keywords_shuffle_only_what_is_left(spark, tmp_path, monkeypatch):
+    rows = library(5, 0, 60) + [(0, ["w1", "w2", "w2"]), (1, ["común"]), (None, ["w1"]), (None, ["w1", "w3"])]
+    monkeypatch.setattr(postings, "FREQUENT", 5)
+    for name, own in (("once", library(5, 0, 60)), ("twice", rows)):
+        root = str(tmp_path / name)
+        postings.append(frame(spark, own), root)
+        index = postings.Index(spark, root)
+        found = index.keywords(3)
+        slow = index.postings().join(index.frequencies(), "termino").withColumn("peso", F.col("tf") * F.log((F.lit(len(own)) + 1) / (F.col("df") + 1)))
+        wanted = top_k_per_group(slow.select("id", "termino", "peso"), ["id"], 3, [F.round("peso", 9).desc(), F.col("termino").asc()])
+        order = lambda df: sorted((-1 if r.id is None else r.id, r.posicion, r.termino, round(r.peso, 9)) for r in df.collect())
+        assert order(found) == order(wanted)
+        now = postings.compact(spark, root)
+        assert len(now.tables["words"][""]) == 1 and order(postings.Index(spark, root).keywords(3)) == order(wanted)
+        if name == "once":  # frequent terms are limited to 3 of a document in the scan, before the only shuffle by document
+            assert "BroadcastHashJoin" in (plan := found._jdf.queryExecution().executedPlan().toString()) and plan.count("WindowGroupLimit") >= 2
+
+
 def test_odd_documents(spark, tmp_path):
     root = str(tmp_path)
     rows = [(1, []), (2, None), (3, ["a"] * 500 + ["b"])]
