@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from scholarmart.contracts import FAVOURITE, VIEW
 from scholarmart.operators.aggregates import daily_counts, publications
 from scholarmart.operators.joins import credit_authors
+from scholarmart.session import tasks_for
 
 
 def document_deltas(views: DataFrame, favourites: DataFrame, docs: DataFrame) -> dict[str, DataFrame]:
@@ -28,8 +29,12 @@ def union_all(frames) -> DataFrame:
 
 
 def document_fact(views: DataFrame, favourites: DataFrame, docs: DataFrame) -> DataFrame:
-    """The whole fact in one load."""
-    return union_all(document_deltas(views, favourites, docs).values())
+    """The whole fact in one load. Events are dealt by day and document over as many tasks as their files are worth: what one task counts does not grow."""
+    return union_all(document_deltas(_dealt(views), _dealt(favourites), docs).values())
+
+
+def _dealt(events: DataFrame) -> DataFrame:
+    return events.select("id_documento", "created_at").repartition(tasks_for(events), F.to_date("created_at"), F.col("id_documento"))
 
 
 def author_fact(document: DataFrame, bridge: DataFrame) -> DataFrame:

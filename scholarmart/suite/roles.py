@@ -15,6 +15,7 @@ from scholarmart.operators.ranking import rank_within, top_k_per_group
 from scholarmart.operators.suggest import popularity
 from scholarmart.plans.dims import calendar, document_dim, interaction_types, type_dim
 from scholarmart.plans.facts import author_fact, document_fact
+from scholarmart.session import tasks_for
 
 DBL = T.DoubleType()
 
@@ -195,8 +196,10 @@ class Roles:
 
     @cached_property
     def bridge(self) -> DataFrame:
-        """The author bridge where the signing order is not needed."""
-        return self.table("lineitem").select(F.col("l_orderkey").alias("id_documento"), (F.col("l_suppkey") + 1).alias("id_usuario")).distinct()
+        """The author bridge where the signing order is not needed; lines hardly repeat a pair, so they are dealt by size before pairs are told apart."""
+        lines = self.table("lineitem")
+        pairs = lines.select(F.col("l_orderkey").alias("id_documento"), (F.col("l_suppkey") + 1).alias("id_usuario"))
+        return pairs.repartition(tasks_for(lines), "id_documento", "id_usuario").distinct()
 
     def _interactions(self, flag: str) -> DataFrame:
         return self.table("lineitem").filter(F.col("l_returnflag") == flag).select(

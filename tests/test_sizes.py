@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from scholarmart.operators import neighbours
 from scholarmart.operators.joins import credit_authors
 from scholarmart.operators.mining import author_metrics
+from scholarmart.plans.facts import document_fact
 from scholarmart.streaming import state
+from scholarmart.suite.roles import TABLES, Roles
 
 DAY = dt.date(2024, 1, 1)
 
@@ -81,3 +83,14 @@ def test_a_user_is_one_call_and_one_value_however_many_windows():
     second = pd.concat(limits.handleInputRows((5,), iter([rows((5, 140), (6, 150), (7, 30))]), None))
     assert dict(zip(second.pedido, second.aceptado)) == {5: True, 6: False, 7: True} and value.timers == [120_000, 60_000]
     assert list(limits.handleExpiredTimer((5,), Now(), None)) == [] and value.kept == ([120], [3]) and value.timers[-1] == 180_000
+
+
+def test_events_and_pairs_are_dealt_by_the_size_of_the_input(spark, tmp_path):
+    lines = spark.range(1_500_000).select(F.xxhash64("id").alias("l_orderkey"), F.xxhash64(F.col("id") + 1).alias("l_suppkey"))  # 24 MB that do not compress
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in TABLES["lineitem"] if f.name not in lines.columns]
+    lines.select("*", *empty).write.parquet(f"{tmp_path}/lineitem.parquet")
+    events = Roles(spark, str(tmp_path)).table("lineitem").select(F.col("l_orderkey").alias("id_documento"), F.timestamp_seconds(F.pmod("l_orderkey", F.lit(86400 * 90))).alias("created_at"))
+    none = spark.createDataFrame([], "id long, created_at timestamp")
+    for frame in (Roles(spark, str(tmp_path)).bridge, document_fact(events, events.limit(0), none)):
+        sizes = [r["count"] for r in frame.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 1_500_000 and max(sizes) < 300_000  # a task for 4 MB; shuffle.partitions is 4 here
