@@ -76,6 +76,23 @@ def test_link_finds_every_link_of_a_crowded_bucket(spark):
     assert found == brute(sets)
 
 
+@pytest.mark.parametrize("size, spots", [(30, 28), (90, 88)])
+def test_copies_with_edits_of_their_own_make_few_pairs(spark, monkeypatch, size, spots):
+    """Members differ by two lost elements and two new ones of their own; the pairs that are looked at grow with the members, not with their square."""
+    sets = {i: (set(range(size)) - {i % spots, i % spots + 1}) | {1000 + 2 * i, 1001 + 2 * i} for i in range(300)}
+    keys = spark.createDataFrame([(1, i, len(s)) for i, s in sets.items()], "key long, id long, n long")
+    frame = spark.createDataFrame([(i, sorted(s)) for i, s in sets.items()], "id long, s array<long>")
+    seen, confirmed = [], link.__globals__["_confirmed"]
+
+    def counted(pairs, *rest):
+        seen.append(pairs.count())
+        return confirmed(pairs, *rest)
+
+    monkeypatch.setitem(link.__globals__, "_confirmed", counted)
+    found = {i: i for i in sets} | {r.id: r.component for r in link(keys, frame).collect()}
+    assert found == brute(sets) and sum(seen) <= 10 * len(sets), seen
+
+
 def test_near_groups_equal_brute_force(docs_of, copies):
     found = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_groups(docs_of(copies), size=4).collect()}
     hashes = WordHashes()
