@@ -191,23 +191,23 @@ def batch_sql(typed: str, hit: str, n: int) -> str:
         FROM popularidad p JOIN ({typed}) t ON {hit}) WHERE posicion <= {n}"""
 
 
-def completion_table(r, n: int):
+def completion_table(r, n: int, longest: int):
     root = scratch_path(r.spark, "completions")
     completions.store(r.popularidad, root, n)
-    return completions.stored(r.spark, root)
+    return completions.stored(r.spark, root, longest=longest)
 
 
 @query("h_8_batch", batch_sql("SELECT DISTINCT substr(lower(text), 1, n) AS prefix FROM benchmark, range(0, 6) s(n)", "starts_with(p.query_texto, t.prefix)", 5))
 def h_8_batch(r):
     typed = r.table("benchmark").select(F.explode(F.transform(F.sequence(F.lit(0), F.lit(5)), lambda n: F.substring(F.lower("text"), F.lit(1), n))).alias("prefix"))
-    return completions.complete(completion_table(r, 5), typed, 5)
+    return completions.complete(completion_table(r, 5, 5), typed, 5)
 
 
 @query("h_9_batch_n", batch_sql("SELECT DISTINCT substr(string_split(lower(text), ' ')[1], 1, n) AS prefix FROM benchmark, range(1, 5) s(n)", near_sql("p.query_texto", "t.prefix"), 4))
 def h_9_batch_n(r):
     first = F.element_at(F.split(F.lower("text"), " "), 1)
     typed = r.table("benchmark").select(F.explode(F.transform(F.sequence(F.lit(1), F.lit(4)), lambda n: F.substring(first, F.lit(1), n))).alias("prefix"))
-    return completions.complete_fuzzy(completion_table(r, 4), typed, 4)
+    return completions.complete_fuzzy(completion_table(r, 4, 5), typed, 4)  # an edit away from four letters are five at most
 
 
 @query("h_10", "SELECT query_texto, sum(score)::BIGINT AS score FROM (SELECT * FROM popularidad UNION ALL SELECT text, 1 FROM raw_queries) GROUP BY query_texto")

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -98,3 +99,20 @@ def test_short_prefixes_share_no_key(spark):
     typed = spark.createDataFrame([(chr(97 + i),) for i in range(26)], "prefix string")
     plan = completions.complete_fuzzy(table, typed, 2)
     assert plan.count() == 52 and {r["query_texto"] for r in plan.collect()} == {"zzz", "yyy"}
+
+
+def test_completions_are_stored_by_runs_not_by_letters(spark, tmp_path):
+    """Every prefix has the places that all entries give it, over several tasks; what is stored grows with entries, not with their letters."""
+    rng = random.Random(7)
+    entries = [("".join(rng.choice("añb ") for _ in range(4)) + "x" * rng.randrange(0, 90), rng.choice([None, 1, 2, 2**60])) for _ in range(200)]
+    entries += entries[:20]
+    want = {}
+    for text, score in entries:
+        for size in range(len(text) + 1):
+            want.setdefault(text[:size], []).append((score is None, -(score or 0), text, score))
+    want = {(p, k, e[2], e[3]) for p, es in want.items() for k, e in enumerate(sorted(es, key=lambda e: e[:3])[:2], 1)}
+    root = str(tmp_path / "table")
+    completions.store(spark.createDataFrame(entries, "query_texto string, score long").repartition(4), root, 2)
+    assert {tuple(r) for r in completions.stored(spark, root).collect()} == want
+    assert {tuple(r) for r in completions.stored(spark, root, longest=3).collect()} == {w for w in want if len(w[0]) <= 3}
+    assert spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/_data").count() < 3000 < len(want)
