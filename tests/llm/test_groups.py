@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from scholarmart.llm.common import WordHashes, shingles, words_of
 from scholarmart.llm.components import components, link
 from scholarmart.llm.fingerprints import fingerprints, near_copies, runs
-from scholarmart.llm.line_dedup import WIDTH, dedup_lines, without_repeated_lines
+from scholarmart.llm.line_dedup import WIDTH, _candidates, dedup_lines, line_classes, without_repeated_lines
 from scholarmart.llm.near_dedup import keep_one, near_groups
 
 
@@ -159,6 +159,20 @@ def test_lines_of_odd_rows(docs_of, odd_rows):
     assert dedup_lines(docs_of([])).count() == 0
 
 
+def test_lines_that_share_a_band_by_chance_are_no_candidates(docs_of):
+    """Lines of the same syllables, about 0.1 to 0.2 alike, share many bands; near copies among them stay candidates."""
+    rng = random.Random(11)
+    syllables = ["".join(rng.choice("aeioulnrst") for _ in range(rng.choice([2, 3, 4]))) for _ in range(24)]
+    lines = ["".join(rng.choice(syllables) + rng.choice(["", "", " "]) for _ in range(rng.randrange(110, 130))) for _ in range(1500)]
+    copies = [line[:150] + "7" + line[151:] for line in lines[:40]]
+    classes = line_classes(docs_of([(1, "\n".join(lines)), (2, "\n".join(copies))]))
+    by = {r.id: (r.first.doc_id, r.first.pos) for r in classes.select("id", "first").collect()}
+    met = classes.select("id", F.explode("bands").alias("key")).groupBy("key").agg(F.collect_set("id").alias("ids")).where("size(ids) > 1").select(F.explode("ids")).distinct().count()
+    found = {by[r.id] for r in _candidates(classes).select("id").distinct().collect()}
+    assert found >= {(d, p) for d in (1, 2) for p in range(40)}
+    assert met > 600 and len(found) < 200, (met, len(found))
+
+
 def test_line_dedup_stage_keeps_columns_of_any_name(docs_of):
     line = "this very line stands in both of the documents"
     docs = docs_of([(1, f"{line}\nand one"), (2, f"{line}\nand two")])
