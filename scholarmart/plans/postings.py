@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scholarmart.contracts import INT, LONG, TEXT, struct
-from scholarmart.functions.stemming import by_stem
+from scholarmart.functions.stemming import stem_words
 from scholarmart.operators.ranking import top_k, top_k_per_group
-from scholarmart.session import tasks_for
+from scholarmart.session import shuffles_freed, tasks_for
 from scholarmart.sources import versions
 from scholarmart.sources.versions import Manifest
 
@@ -65,16 +65,23 @@ def _words(documents: DataFrame) -> DataFrame:
 
 
 def count_postings(docs: DataFrame, tokens: str = "tokens", key: str = "id") -> DataFrame:
-    """``termino, id, tf, dl``; rows of one id and length are one document. Counted within the rows, so one shuffle is enough to sum them."""
-    spread = _words(_by_document(docs, tokens, key)).repartition(tasks_for(docs), "termino", "id")
+    """``termino, id, tf, dl``; rows of one id and length are one document. Counted within the rows, so one shuffle is enough to sum them,
+    and none where no id is there twice."""
+    spread = _words(_by_document(docs, tokens, key))
+    with shuffles_freed(docs.sparkSession):
+        if docs.groupBy(key).count().filter("count > 1").isEmpty():
+            return spread.select("termino", "id", "tf", "dl")
+    spread = spread.repartition(tasks_for(docs), "termino", "id")
     return spread.groupBy("termino", "id", "dl").agg(F.sum("tf").alias("tf")).select("termino", "id", "tf", "dl")
 
 
-def _laid(documents: DataFrame) -> DataFrame:
-    """The postings with their ``cubeta``, summed and laid by buckets in the same shuffle. Buckets are cut by ids into as many pieces as the files are worth."""
+def _laid(documents: DataFrame, stems: bool = False) -> DataFrame:
+    """The postings with their ``cubeta``, under words or their stems, summed and laid by buckets in the same shuffle. Buckets are cut by ids into as many pieces as the files are worth."""
     tasks = tasks_for(documents)
-    piece = F.pmod(F.xxhash64("id"), F.lit(-(-tasks // (BUCKETS // 2)))).cast("int").alias("_piece")
-    spread = _words(documents).select("*", bucket_of().alias("cubeta"), piece).repartition(tasks, "cubeta", "_piece")
+    piece = F.pmod(F.xxhash64("id"), F.lit(-(-tasks // (BUCKETS // 2)))).cast("int")
+    spread = _words(documents)
+    spread = stem_words(spread).select(F.col("raiz").alias("termino"), "id", "tf", "dl") if stems else spread
+    spread = spread.repartition(tasks, bucket_of(), piece).select("*", bucket_of().alias("cubeta"), piece.alias("_piece"))  # neither travels
     return spread.groupBy("cubeta", "_piece", "termino", "id", "dl").agg(F.sum("tf").alias("tf"))
 
 
@@ -87,21 +94,15 @@ def append(docs: DataFrame, root: str, tokens: str = "tokens", key: str = "id",
 def segment(docs: DataFrame, root: str, base: Manifest, tokens: str = "tokens", key: str = "id", stems: bool = False) -> dict[str, versions.Parts]:
     """The written parts of a segment behind ``base``, to be committed, alone or with other tables."""
     spark, folder, number = docs.sparkSession, versions.new_folder(), base.version + 1
-    if stems:
-        # texts are tokenised once, for lengths and postings alike
-        passing = f"{folder}/passing"
-        slim = docs.select(F.col(key).cast("long").alias("id"), F.col(tokens).alias("tokens"))
-        versions.write_parts(slim, root, passing)
-        slim = spark.read.schema(slim.schema).parquet(f"{root}/{passing}")
-        lengths = slim.select("id", F.greatest(F.size("tokens"), F.lit(0)).cast("long").alias("dl"))
-        written = _write(spark, root, folder, number, _rebalanced(by_stem(count_postings(slim))), lengths)
-        versions.drop(spark, root, passing)
-        return written
     counts = _by_document(docs, tokens, key).withColumn("segmento", F.lit(number))
-    words = {"words": versions.write_parts(counts, root, f"{folder}/words")}
+    words = {"words": versions.write_parts(counts, root, f"{folder}/words", compression="zstd")}
     stored = versions.scan(spark, root, Manifest(1, words), "words", counts.schema)
     lengths = stored.select("id", F.greatest("dl", F.lit(0)).cast("long").alias("dl"))
-    return words | _write(spark, root, folder, number, _laid(stored), lengths)
+    written = _write(spark, root, folder, number, _laid(stored, stems), lengths)
+    if not stems:
+        return words | written
+    versions.drop(spark, root, f"{folder}/words")  # an index of stems has no words
+    return written
 
 
 def _rebalanced(postings: DataFrame) -> DataFrame:

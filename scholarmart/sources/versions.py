@@ -21,6 +21,8 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from scholarmart.session import shuffles_freed
+
 FOLDER, DATA = "_versions", "_data"
 Parts = Mapping[str, list[str]]
 
@@ -129,14 +131,14 @@ def scan(spark: SparkSession, root: str, now: Manifest, name: str, schema: T.Str
     return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
 
-def write_parts(df: DataFrame, root: str, folder: str, by: str | None = None) -> dict[str, list[str]]:
+def write_parts(df: DataFrame, root: str, folder: str, by: str | None = None, **options: str) -> dict[str, list[str]]:
     """Write content below a fresh folder, by the values of one column if named; returns its parts for a commit."""
     spark = df.sparkSession
-    writer = df.write.mode("error")
+    writer = df.write.mode("error").options(**options)
+    with shuffles_freed(spark):
+        (writer if by is None else writer.partitionBy(by)).parquet(f"{root}/{folder}")
     if by is None:
-        writer.parquet(f"{root}/{folder}")
         return {"": [folder]}
-    writer.partitionBy(by).parquet(f"{root}/{folder}")
     return parts_of(spark, root, folder)
 
 
